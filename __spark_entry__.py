@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
+from orderloom.functions import typing  # noqa: E402
 from orderloom.functions.typing import as_double  # noqa: E402
-from orderloom.operators import cleaning, enrich, marts, paging, quality, views  # noqa: E402
+from orderloom.operators import cleaning, enrich, marts, paging, quality, skew, views  # noqa: E402
 from orderloom.plans import clean_orders as clean_plan, daily_run as daily_plan  # noqa: E402
 from orderloom.session import configure, scratch_path, stored  # noqa: E402
 from orderloom.sources import csv, daily, tpch  # noqa: E402
@@ -38,6 +39,20 @@ def _valid(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFram
     )
 
 
+def _hot(spark: SparkSession, sf: str, *sides: str) -> skew.HotKeys:
+    """Hot order ids, looked for in the unfiltered key columns only."""
+    sources = {"items": tpch.items, "orders": tpch.orders, "reviews": tpch.reviews}
+    return skew.hot_keys({s: sources[s](spark, sf) for s in sides}, enrich.KEY)
+
+
+def _seller_facts(spark, sf):
+    return enrich.seller_facts(*_valid(spark, sf), hot=_hot(spark, sf, *enrich.SELLER_SIDES))
+
+
+def _order_facts(spark, sf):
+    return enrich.order_facts(*_valid(spark, sf), hot=_hot(spark, sf, *enrich.ORDER_SIDES))
+
+
 # --- inputs and rules ---------------------------------------------------------
 
 
@@ -46,13 +61,12 @@ def typed_inputs(spark, sf):
         {"score": "review_score", "price_txt": "price", "ts_txt": "order_purchase_timestamp"}
     )
     typed = quality.typed_reviews(text)
-    typed = typed.withColumns(
+    return typed.withColumns(
         {
-            "price": quality.typing.money(text, "price"),
-            "order_purchase_timestamp": quality.typing.timestamp(text, "order_purchase_timestamp"),
+            "price": typing.amount(text, "price"),
+            "order_purchase_timestamp": typing.timestamp(text, "order_purchase_timestamp"),
         }
     )
-    return as_double(typed, "price")
 
 
 def items_valid(spark, sf):
@@ -75,23 +89,24 @@ def quality_funnel(spark, sf):
 
 
 def orders_enriched(spark, sf):
-    return as_double(enrich.orders_enriched(*_valid(spark, sf)), "price", "freight_value", "total_amount")
+    rows = enrich.orders_enriched(*_valid(spark, sf), hot=_hot(spark, sf, *enrich.ROW_SIDES))
+    return as_double(rows, "price", "freight_value", "total_amount")
 
 
 def seller_ranking(spark, sf):
-    return marts.seller_ranking(enrich.seller_facts(*_valid(spark, sf)))
+    return marts.seller_ranking(_seller_facts(spark, sf))
 
 
 def seller_ranking_bucketed(spark, sf):
-    return marts.seller_ranking(enrich.seller_facts(*_valid(spark, sf)), single_task_rows=0)
+    return marts.seller_ranking(_seller_facts(spark, sf), single_task_rows=0)
 
 
 def monthly_stats(spark, sf):
-    return marts.monthly_stats(enrich.order_facts(*_valid(spark, sf)))
+    return marts.monthly_stats(_order_facts(spark, sf))
 
 
 def dm_order_status_performance(spark, sf):
-    mart = marts.status_performance(enrich.order_facts(*_valid(spark, sf)))
+    mart = marts.status_performance(_order_facts(spark, sf))
     return views.in_mart_order(mart, "dm_order_status_performance")
 
 
@@ -104,7 +119,7 @@ def dm_monthly_revenue(spark, sf):
 
 
 def dm_review_distribution(spark, sf):
-    mart = marts.review_distribution(enrich.order_facts(*_valid(spark, sf)))
+    mart = marts.review_distribution(_order_facts(spark, sf))
     return views.in_mart_order(mart, "dm_review_distribution")
 
 
@@ -207,8 +222,7 @@ def raw_roundtrip(spark, sf):
     daily.write_day(items, base, "order_items", first, files=4)
     daily.write_day(items.where("order_item_id > 1"), base, "order_items", second, files=4)
     daily.write_day(items, base, "order_items", second, files=4)
-    back = daily.read_day(spark, base, "order_items", second)
-    return as_double(back, "price", "freight_value")
+    return daily.read_day(spark, base, "order_items", second)
 
 
 def _write_csv_sources(spark, sf) -> dict[str, str]:

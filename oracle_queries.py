@@ -152,7 +152,7 @@ SQL: dict[str, str] = {
          CASE WHEN event_id % 19 = 0 THEN 'bad' ELSE strftime(ts, {TIME}) END AS ts_txt
   FROM events)
 SELECT event_id, TRY_CAST(trunc(TRY_CAST(score AS DOUBLE)) AS INTEGER) AS review_score,
-       CAST(CAST(TRY_CAST(price_txt AS DOUBLE) AS DECIMAL(18,2)) AS DOUBLE) AS price,
+       TRY_CAST(price_txt AS DOUBLE) AS price,
        try_strptime(ts_txt, {TIME}) AS order_purchase_timestamp
 FROM t""",
     "items_valid": f"WITH {VALID} SELECT {_ITEM_DOUBLES} FROM items_v",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# Widest amount, in cents; another scale can be passed to ``money``.
+# Amounts with two decimals; further ones are rounded. ``money`` takes another scale.
 MONEY = T.DecimalType(18, 2)
 
 
@@ -12,15 +14,26 @@ def _kind(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
-def money(df: DataFrame, name: str, to: T.DecimalType = MONEY) -> Column:
-    """A double amount held as a decimal, so that sums do not depend on row order.
-
-    NaN and infinite amounts have no decimal form and become null.
-    """
+def amount(df: DataFrame, name: str) -> Column:
+    """An amount as a double, or as it is if it is a decimal already."""
     value = F.col(name)
-    if not isinstance(_kind(df, name), T.DecimalType):
-        value = value.try_cast("double")
-    return value.try_cast(to)
+    return value if isinstance(_kind(df, name), T.DecimalType) else value.try_cast("double")
+
+
+def money(name: str, to: T.DecimalType = MONEY) -> Column:
+    """An amount held as a decimal, so that sums do not depend on row order."""
+    return F.col(name).try_cast(to)
+
+
+def cents(value: Column) -> Column:
+    """A money value in hundredths. Sums of whole cents are exact and far cheaper than
+    decimal ones; past 9.2e18 cents they fail and do not wrap (see ``session``)."""
+    return (value * 100).cast("bigint")
+
+
+def from_cents(value: Column) -> Column:
+    """Hundredths as money again."""
+    return value.cast("decimal(20,0)") * F.lit(Decimal("0.01"))
 
 
 def whole_number(df: DataFrame, name: str) -> Column:

@@ -4,21 +4,30 @@ The full form has one row per item and matching review. The counted form stops
 before that fan-out: reviews of one order are counted per score, and the counts
 go into the marts as weights, so no pair of item and review is ever built for
 them. All inputs are valid rows (see ``quality.valid``).
+
+``hot`` takes the hot orders if they are known, best found in the unfiltered key
+columns (see ``skew.hot_keys``); left out, they are looked for in the inputs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import dates
+from ..functions import dates, typing
 from ..functions.typing import MONEY
 from . import skew
 
 KEY = "order_id"
 SCORES = (1, 2, 3, 4, 5)
 PER_SCORE = [f"n_{s}" for s in SCORES]
+# Sides on which each join may meet hot orders. The rows of the others are summed
+# up per order before they move.
+ROW_SIDES = ("items", "orders", "reviews")
+SELLER_SIDES = ("items",)
+ORDER_SIDES = ("orders",)
 # Copies of one item row that are generated from one array.
 BLOCK = 10_000
 
@@ -32,19 +41,28 @@ def delay_days() -> Column:
 
 
 def review_counts(reviews: DataFrame) -> DataFrame:
-    """One row per reviewed order: how often each score was given.
+    """One row per reviewed order: reviews, sum of scores, reviews per score.
 
     Counted before the shuffle, so an order with very many reviews is one row per
-    task by the time it moves.
+    task by the time it moves. Columns a query does not use are not computed.
     """
+    score = F.col("review_score")
     return (
         reviews.select(KEY, "review_score")
         .where(F.col(KEY).isNotNull())
         .groupBy(KEY)
-        .agg(*[F.count_if(F.col("review_score") == s).alias(n) for s, n in zip(SCORES, PER_SCORE)])
+        .agg(
+            F.count("*").alias("n_scored"),
+            F.sum(score).alias("score_sum"),
+            *[F.count_if(score == s).alias(n) for s, n in zip(SCORES, PER_SCORE)],
+        )
     )
 
 
+def _blocks(copies: Column) -> Column:
+    return F.ceil(copies / BLOCK)
+
+
 def _scores_and_copies() -> Column:
     """The scores of an order with their counts, or one null score without a review."""
     given = F.array(*[F.struct(F.lit(s).alias("score"), F.col(n).alias("copies")) for s, n in zip(SCORES, PER_SCORE)])
@@ -53,7 +71,7 @@ def _scores_and_copies() -> Column:
 
 
 def orders_enriched(
-    items: DataFrame, orders: DataFrame, reviews: DataFrame, min_hot_rows: int = skew.MIN_HOT_ROWS
+    items: DataFrame, orders: DataFrame, reviews: DataFrame, hot: skew.HotKeys | None = None
 ) -> DataFrame:
     """Every item with its order, once per review of that order (once if it has none).
 
@@ -61,19 +79,19 @@ def orders_enriched(
     orders are split on whichever side they are hot, and the copies an order's
     reviews call for are generated in blocks on many tasks.
     """
-    scored = reviews.select(KEY, "review_score")
-    hot = skew.hot_keys({"items": items, "orders": orders, "reviews": scored}, KEY, min_hot_rows)
+    hot = hot or skew.hot_keys(dict(zip(ROW_SIDES, (items, orders, reviews))), KEY)
+    counts = review_counts(reviews).select(KEY, *PER_SCORE)
     joined = (
         hot.spread(items, "items")
         .join(hot.spread(orders, "orders"), hot.join_on, "inner")
-        .join(hot.spread(review_counts(scored), "reviews", counts=PER_SCORE), hot.join_on, "left")
+        .join(hot.spread(counts, "reviews", counts=PER_SCORE), hot.join_on, "left")
     )
     if hot.table is not None:
         # An item without reviews was copied to every review salt: keep one.
         joined = joined.where((F.col("salt_reviews") == 0) | F.col(PER_SCORE[0]).isNotNull())
     item_columns = [c for c in items.columns if c != KEY]
     order_columns = [c for c in orders.columns if c != KEY]
-    block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("r.copies") - 1) / BLOCK)))
+    block = F.explode(F.sequence(F.lit(0).cast("bigint"), _blocks(F.col("r.copies")) - 1))
     in_block = F.least(F.lit(BLOCK), F.col("r.copies") - F.col("block") * BLOCK).cast("int")
     return (
         joined.withColumn("r", F.explode(_scores_and_copies()))
@@ -95,38 +113,45 @@ def orders_enriched(
 #
 # A frame of facts has its group columns and
 #   n_rows      how many enriched rows the row stands for
-#   amount      the sum of the amount over those rows
+#   cents       the sum of the amount over those rows
+#   n_scored    how many of those rows have a score
+#   score_sum   the sum of their scores
 #   n_1 .. n_5  how many of those rows have each score
+SCORE_SUMS = ["n_scored", "score_sum", *PER_SCORE]
+
 
+def _facts(joined: DataFrame, keep: list[str], per_review: Column, cents: Callable[[Column], Column]) -> DataFrame:
+    """Facts of joined rows that each stand for ``per_review`` rows before the reviews fan out.
 
-def _facts(joined: DataFrame, keep: list[str], n: Column, amount: Column) -> DataFrame:
-    counts = [F.coalesce(F.col(c), F.lit(0)) for c in PER_SCORE]
-    fan_out = F.greatest(reduce(Column.__add__, counts), F.lit(1))
+    ``cents`` is given the fan-out: the number of reviews, or 1 without any.
+    """
+    fan_out = F.coalesce(F.col("n_scored"), F.lit(1))
     return joined.select(
         *keep,
-        (n * fan_out).alias("n_rows"),
-        (amount * fan_out).alias("amount"),
-        *[(n * c).alias(name) for c, name in zip(counts, PER_SCORE)],
+        (per_review * fan_out).alias("n_rows"),
+        cents(fan_out).alias("cents"),
+        *[(per_review * F.coalesce(F.col(c), F.lit(0))).alias(c) for c in SCORE_SUMS],
     )
 
 
 def seller_facts(
-    items: DataFrame, orders: DataFrame, reviews: DataFrame, min_hot_rows: int = skew.MIN_HOT_ROWS
+    items: DataFrame, orders: DataFrame, reviews: DataFrame, hot: skew.HotKeys | None = None
 ) -> DataFrame:
     """Facts per item with ``seller_id``; the amount is the price without freight."""
     fact = items.select(KEY, "seller_id", "price")
     copies = orders.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.count("*").alias("n"))
-    hot = skew.hot_keys({"items": fact}, KEY, min_hot_rows)
+    hot = hot or skew.hot_keys(dict(zip(SELLER_SIDES, (items,))), KEY)
     joined = (
         hot.spread(fact, "items")
         .join(hot.spread(copies), hot.join_on, "inner")
         .join(hot.spread(review_counts(reviews)), hot.join_on, "left")
     )
-    return _facts(joined, ["seller_id"], F.col("n"), F.col("price") * F.col("n"))
+    n = F.col("n")
+    return _facts(joined, ["seller_id"], n, lambda fan_out: typing.cents(F.col("price")) * n * fan_out)
 
 
 def order_facts(
-    items: DataFrame, orders: DataFrame, reviews: DataFrame, min_hot_rows: int = skew.MIN_HOT_ROWS
+    items: DataFrame, orders: DataFrame, reviews: DataFrame, hot: skew.HotKeys | None = None
 ) -> DataFrame:
     """Facts per order row with status, purchase time and delay; the amount includes freight.
 
@@ -135,29 +160,32 @@ def order_facts(
     sums = (
         items.where(F.col(KEY).isNotNull())
         .groupBy(KEY)
-        .agg(F.count("*").alias("n"), F.sum(total_amount()).alias("sum_amount"))
+        .agg(F.count("*").alias("n"), F.sum(typing.cents(total_amount())).alias("sum_cents"))
     )
     rows = orders.select(
         KEY, "order_status", "order_purchase_timestamp", delay_days().alias("delivery_delay_days")
     )
-    hot = skew.hot_keys({"orders": rows}, KEY, min_hot_rows)
+    hot = hot or skew.hot_keys(dict(zip(ORDER_SIDES, (orders,))), KEY)
     joined = (
         hot.spread(rows, "orders")
         .join(hot.spread(sums), hot.join_on, "inner")
         .join(hot.spread(review_counts(reviews)), hot.join_on, "left")
     )
     keep = ["order_status", "order_purchase_timestamp", "delivery_delay_days"]
-    return _facts(joined, keep, F.col("n"), F.col("sum_amount"))
+    return _facts(joined, keep, F.col("n"), lambda fan_out: F.col("sum_cents") * fan_out)
 
 
 def row_facts(enriched: DataFrame, amount: str, *keep: str) -> DataFrame:
     """Facts read off stored enriched rows, each of which stands for itself."""
+    score = F.col("review_score")
     return enriched.select(
         *keep,
         F.lit(1).cast("bigint").alias("n_rows"),
-        F.col(amount).alias("amount"),
+        typing.cents(F.col(amount)).alias("cents"),
+        score.isNotNull().cast("bigint").alias("n_scored"),
+        F.coalesce(score, F.lit(0)).cast("bigint").alias("score_sum"),
         *[
-            F.coalesce(F.col("review_score") == s, F.lit(False)).cast("bigint").alias(n)
+            F.coalesce(score == s, F.lit(False)).cast("bigint").alias(n)
             for s, n in zip(SCORES, PER_SCORE)
         ],
     )
@@ -165,5 +193,5 @@ def row_facts(enriched: DataFrame, amount: str, *keep: str) -> DataFrame:
 
 def by_status_and_delay(facts: DataFrame) -> DataFrame:
     """Facts summed per status and delay, which is all the status and review marts need."""
-    sums = ["n_rows", "amount", *PER_SCORE]
+    sums = ["n_rows", "cents", *SCORE_SUMS]
     return facts.groupBy("order_status", "delivery_delay_days").agg(*[F.sum(c).alias(c) for c in sums])

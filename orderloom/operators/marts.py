@@ -7,24 +7,21 @@ with two items and two reviews counts four times.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import dates
-from ..functions.typing import as_double
+from ..functions.typing import as_double, from_cents
 from ..session import stored
 from . import ranking
 from .enrich import PER_SCORE, SCORES
 
+
 def _nb_orders() -> Column:
     return F.sum("n_rows").alias("nb_orders")
 
 
 def _avg_score() -> Column:
-    total = reduce(Column.__add__, [s * F.sum(n) for s, n in zip(SCORES, PER_SCORE)])
-    given = reduce(Column.__add__, [F.sum(n) for n in PER_SCORE])
-    return F.try_divide(total.cast("double"), given.cast("double"))
+    return F.try_divide(F.sum("score_sum").cast("double"), F.sum("n_scored").cast("double"))
 
 
 def _avg_delay(weight: str) -> Column:
@@ -38,7 +35,7 @@ def seller_stats(facts: DataFrame) -> DataFrame:
     """Rows, revenue (price only) and mean score per seller."""
     return facts.groupBy("seller_id").agg(
         _nb_orders(),
-        F.sum("amount").cast("decimal(38,2)").alias("total_revenue"),
+        from_cents(F.sum("cents")).alias("total_revenue"),
         _avg_score().alias("avg_review_score"),
     )
 
@@ -57,7 +54,7 @@ def monthly_stats(facts: DataFrame) -> DataFrame:
     Orders without a purchase time form a null month, which comes first.
     """
     months = facts.groupBy(dates.month_start("order_purchase_timestamp").alias("order_month")).agg(
-        _nb_orders(), F.sum("amount").cast("decimal(38,2)").alias("monthly_revenue")
+        _nb_orders(), from_cents(F.sum("cents")).alias("monthly_revenue")
     )
     totals = ranking.running_total(
         months, "monthly_revenue", F.col("order_month").asc_nulls_first(), "cumulative_revenue"
@@ -67,7 +64,7 @@ def monthly_stats(facts: DataFrame) -> DataFrame:
 
 def status_performance(facts: DataFrame) -> DataFrame:
     """Rows, amounts, mean score and mean delay per order status."""
-    revenue = F.sum("amount").cast("double")
+    revenue = from_cents(F.sum("cents")).cast("double")
     return facts.groupBy("order_status").agg(
         _nb_orders(),
         (revenue / F.sum("n_rows").cast("double")).alias("avg_amount"),

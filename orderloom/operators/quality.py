@@ -18,12 +18,25 @@ class Rule:
     keep: Callable[[], Column]
 
 
+# Amounts from here on do not fit the money type; NaN and infinity compare as larger.
+TOO_LARGE = 1e16
+
+
+def _fits(amount: str) -> Column:
+    return F.col(amount) < F.lit(TOO_LARGE)
+
+
 # A comparison with null is null, so a row with a null amount or score is dropped.
+# Bare columns against literals: on a Parquet source the rules reach the scan.
 RULES: dict[str, list[Rule]] = {
     "order_items": [
         Rule("R1", "order_id is present", lambda: F.col("order_id").isNotNull()),
-        Rule("R2", "price is above 0", lambda: F.col("price") > 0),
-        Rule("R3", "freight is not negative", lambda: F.col("freight_value") >= 0),
+        Rule("R2", "price is above 0", lambda: (F.col("price") > 0) & _fits("price")),
+        Rule(
+            "R3",
+            "freight is not negative",
+            lambda: (F.col("freight_value") >= 0) & _fits("freight_value"),
+        ),
     ],
     "reviews": [
         Rule("R4", "score is from 1 to 5", lambda: F.col("review_score").between(1, 5)),
@@ -34,8 +47,11 @@ RULES: dict[str, list[Rule]] = {
 }
 
 
+AMOUNTS = ("price", "freight_value")
+
+
 def typed_items(items: DataFrame) -> DataFrame:
-    return items.withColumns({c: typing.money(items, c) for c in ("price", "freight_value")})
+    return items.withColumns({c: typing.amount(items, c) for c in AMOUNTS})
 
 
 def typed_reviews(reviews: DataFrame) -> DataFrame:
@@ -57,10 +73,12 @@ TYPED = {"order_items": typed_items, "reviews": typed_reviews, "orders": typed_o
 
 
 def valid(df: DataFrame, source: str) -> DataFrame:
-    """Typed rows of one source that pass all its rules."""
+    """Typed rows of one source that pass all its rules, amounts held as decimals."""
     df = TYPED[source](df)
     for rule in RULES[source]:
         df = df.where(rule.keep())
+    if source == "order_items":
+        df = df.withColumns({c: typing.money(c) for c in AMOUNTS})
     return df
 
 

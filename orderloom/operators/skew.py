@@ -50,15 +50,17 @@ class HotKeys:
         splits = {s: F.coalesce(F.col(f"splits_{s}"), F.lit(1)) for s in self.sides}
         df = df.join(F.broadcast(self.table), self.key, "left")
         if side and not counts:
-            own = F.pmod(F.monotonically_increasing_id(), splits[side]).cast("int")
+            # Hashed, as hot rows may sit at regular distances from each other.
+            own = F.pmod(F.xxhash64(F.monotonically_increasing_id()), splits[side]).cast("int")
             df = df.withColumn(f"salt_{side}", own)
         for s in self.sides:
             if s != side or counts:
                 df = df.withColumn(f"salt_{s}", F.explode(F.sequence(F.lit(0), splits[s] - 1)))
         if side and counts:
             n, salt = splits[side].cast("long"), F.col(f"salt_{side}")
+            rest = {c: F.col(c) % n for c in counts}
             df = df.withColumns(
-                {c: F.floor(F.col(c) / n) + (salt < F.col(c) % n).cast("long") for c in counts}
+                {c: ((F.col(c) - rest[c]) / n).cast("long") + (salt < rest[c]).cast("long") for c in counts}
             )
         return df.drop(*(f"splits_{s}" for s in self.sides))
 

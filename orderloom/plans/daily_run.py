@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderloom.operators import enrich, marts, quality
+from orderloom.operators import enrich, marts, quality, skew
 from orderloom.session import build_session, stored
 from orderloom.sources import csv, daily
 from orderloom.sources.tables import JdbcTables, ParquetTables
@@ -58,7 +58,9 @@ def refine(spark: SparkSession, cfg: Config, run_date: date) -> None:
     """
     raw = {name: daily.read_day(spark, cfg.raw, name, run_date) for name in SOURCES}
     valid = {name: quality.valid(df, name) for name, df in raw.items()}
-    joined = enrich.orders_enriched(valid["order_items"], valid["orders"], valid["reviews"])
+    sides = (raw["order_items"], raw["orders"], raw["reviews"])
+    hot = skew.hot_keys(dict(zip(enrich.ROW_SIDES, sides)), enrich.KEY)
+    joined = enrich.orders_enriched(valid["order_items"], valid["orders"], valid["reviews"], hot)
     daily.write_day(joined, cfg.silver, "orders_enriched", run_date, cfg.silver_files)
 
     rows = daily.read_day(spark, cfg.silver, "orders_enriched", run_date)

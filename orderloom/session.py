@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 # elsewhere can be brought in line as well.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # A sum that overflows is an error and not a wrong number.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }

@@ -20,9 +20,8 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
         "case when l_partkey % 97 = 0 then null else l_orderkey end as order_id",
         "l_linenumber as order_item_id",
         "l_suppkey as seller_id",
-        """case when l_quantity = 1 then cast(0 as decimal(18,2)) when l_quantity = 2 then null
-                else cast(l_extendedprice as decimal(18,2)) end as price""",
-        "cast(round(l_tax * 100) - 1 as decimal(18,2)) as freight_value",
+        "case when l_quantity = 1 then 0D when l_quantity = 2 then null else l_extendedprice end as price",
+        "rint(l_tax * 100) - 1 as freight_value",
     )
 
 
