@@ -1,0 +1,94 @@
+"""Cleaning of raw orders and the contract of their table."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderloom.operators import cleaning
+from orderloom.plans import clean_orders
+from orderloom.sources.tables import ORDERS_TABLE, ParquetTables, replace_orders
+
+
+def raw(spark, rows):
+    return spark.createDataFrame(
+        [(o, c, s, t, i) for i, (o, c, s, t) in enumerate(rows)],
+        "order_id string, customer_id string, order_status string, order_purchase_timestamp string, ingest_seq int",
+    )
+
+
+def cleaned(spark, rows):
+    return sorted(tuple(r) for r in cleaning.clean_orders(raw(spark, rows)).collect())
+
+
+TIME = "2017-10-02 10:56:33"
+
+
+def test_first_copy_decides(spark):
+    rows = [("a", None, "created", TIME), ("a", "c", "created", TIME), ("b", "c", "created", TIME), ("b", "d", "shipped", TIME)]
+    assert cleaned(spark, rows) == [("b", "c", "created", TIME)]
+
+
+def test_statuses_and_dates(spark):
+    rows = [
+        ("a", "c", "\t SHIPPED \n", TIME),
+        ("b", "c", "lost", TIME),
+        ("c", "c", None, TIME),
+        ("d", "c", "approved", "02/10/2017"),
+        (None, "c", "approved", TIME),
+    ]
+    assert cleaned(spark, rows) == [("a", "c", "shipped", TIME), ("d", "c", "approved", None)]
+
+
+def test_report(spark):
+    df = raw(spark, [("a", "c", "created", TIME), ("a", "c", "created", TIME), ("b", None, "created", TIME)])
+    assert tuple(cleaning.clean_report(df, cleaning.clean_orders(df)).first()) == (3, 1, 2)
+
+
+def test_copies_are_cut_before_the_shuffle(spark, capsys):
+    cleaning.clean_orders(raw(spark, [("a", "c", "created", TIME)])).explain("formatted")
+    tree = capsys.readouterr().out.split("\n\n")[0]
+    assert tree.count("WindowGroupLimit") == 2
+    assert tree.index("Exchange") < tree.rindex("WindowGroupLimit")
+
+
+def test_contract(spark, tmp_path):
+    tables = ParquetTables(str(tmp_path))
+    good = cleaning.clean_orders(raw(spark, [("a", "c", "created", TIME)]))
+    replace_orders(good, tables)
+    bad = [
+        good.unionByName(good),
+        good.withColumn("customer_id", F.lit(None).cast("string")),
+        good.withColumn("order_status", F.lit(None).cast("string")),
+    ]
+    for df, what in zip(bad, ["repeated order_id", "null customer_id", "null order_status"]):
+        with pytest.raises(cleaning.ContractError, match=what):
+            replace_orders(df, tables)
+        assert tables.read(spark, ORDERS_TABLE).count() == 1
+    replace_orders(good.limit(0), tables)
+    assert tables.read(spark, ORDERS_TABLE).count() == 0
+
+
+def test_clean_from_csv(spark, tmp_path):
+    header = "order_id,customer_id,order_status,order_purchase_timestamp\n"
+    (tmp_path / "1.csv").write_text(header + f"a,NA,created,{TIME}\nb,c,\" Created\n\",{TIME}\n")
+    (tmp_path / "2.csv").write_text(header + f"a,c,created,{TIME}\nb,d,shipped,{TIME}\nc,c,invoiced,null\n")
+    tables = ParquetTables(str(tmp_path / "tables"))
+    report = clean_orders.run_clean(spark, [str(tmp_path / "2.csv"), str(tmp_path / "1.csv")], tables)
+    assert tuple(report.first()) == (5, 2, 3)
+    rows = sorted(tuple(r) for r in tables.read(spark, ORDERS_TABLE).collect())
+    assert rows == [("b", "c", "created", TIME), ("c", "c", "invoiced", None)]
+
+
+def test_file_order_across_splits_of_one_file(spark, tmp_path):
+    lines = [f"k{i % 100},c{i},created,{TIME}" for i in range(20_000)]
+    (tmp_path / "big.csv").write_text("\n".join(["order_id,customer_id,order_status,order_purchase_timestamp", *lines]))
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        df = clean_orders.raw_orders(spark, str(tmp_path / "big.csv"), multi_line=False)
+        assert df.rdd.getNumPartitions() > 1
+        firsts = {r["order_id"]: r["customer_id"] for r in cleaning.clean_orders(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+    assert firsts == {f"k{i}": f"c{i}" for i in range(100)}
