@@ -123,18 +123,14 @@ def dm_review_distribution(spark, sf):
     return views.in_mart_order(mart, "dm_review_distribution")
 
 
-# --- pages and reports over stored marts ------------------------------------------
-
-
-def _mart(spark, sf, name) -> DataFrame:
-    return stored(globals()[name](spark, sf))
+# --- pages and reports over the marts, stored where they are read twice ------------------------------------------
 
 
 def _paged(name: str, page: int, where=None, **options) -> Query:
     def query(spark, sf):
         condition = where() if where else None
         got = paging.page(
-            _mart(spark, sf, name), page, order=paging.mart_order(name), where=condition, **options
+            stored(globals()[name](spark, sf)), page, order=paging.mart_order(name), where=condition, **options
         )
         return got.data.withColumn("total", F.lit(got.total).cast("bigint"))
 
@@ -143,40 +139,40 @@ def _paged(name: str, page: int, where=None, **options) -> Query:
 
 def pages_cover_table(spark, sf):
     name = "dm_seller_performance"
-    return paging.all_pages(_mart(spark, sf, name), paging.mart_order(name))
+    return paging.all_pages(dm_seller_performance(spark, sf), paging.mart_order(name))
 
 
 def top_sellers(spark, sf):
-    return views.top_sellers(_mart(spark, sf, "dm_seller_performance"))
+    return views.top_sellers(dm_seller_performance(spark, sf))
 
 
 def seller_scatter(spark, sf):
-    return views.seller_scatter(_mart(spark, sf, "dm_seller_performance"))
+    return views.seller_scatter(dm_seller_performance(spark, sf))
 
 
 def status_share(spark, sf):
-    return views.status_share(_mart(spark, sf, "dm_order_status_performance"))
+    return views.status_share(stored(dm_order_status_performance(spark, sf)))
 
 
 def score_histogram(spark, sf):
-    return views.score_histogram(_mart(spark, sf, "dm_review_distribution"))
+    return views.score_histogram(dm_review_distribution(spark, sf))
 
 
 def status_score_matrix(spark, sf):
-    return views.status_score_matrix(_mart(spark, sf, "dm_review_distribution"))
+    return views.status_score_matrix(dm_review_distribution(spark, sf))
 
 
 def revenue_kpis(spark, sf):
-    return views.revenue_kpis(_mart(spark, sf, "dm_monthly_revenue"))
+    return views.revenue_kpis(dm_monthly_revenue(spark, sf))
 
 
 def chart_series(spark, sf):
-    months = _mart(spark, sf, "dm_monthly_revenue")
-    return views.chart_series(months, _mart(spark, sf, "dm_order_status_performance"))
+    months = stored(dm_monthly_revenue(spark, sf))
+    return views.chart_series(months, dm_order_status_performance(spark, sf))
 
 
 def month_display(spark, sf):
-    return views.month_display(_mart(spark, sf, "dm_monthly_revenue"))
+    return views.month_display(dm_monthly_revenue(spark, sf))
 
 
 # --- cleaning branch ----------------------------------------------------------------

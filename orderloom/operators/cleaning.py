@@ -35,7 +35,7 @@ def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     many copies of one key do not meet in one task.
     """
     nth = F.row_number().over(Window.partitionBy(key).orderBy(order))
-    return df.withColumn("nth", nth).where("nth = 1").drop("nth")
+    return df.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
 
 
 def clean_orders(raw: DataFrame, order: str = "ingest_seq") -> DataFrame:

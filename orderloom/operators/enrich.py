@@ -86,18 +86,18 @@ def orders_enriched(
         .join(hot.spread(orders, "orders"), hot.join_on, "inner")
         .join(hot.spread(counts, "reviews", counts=PER_SCORE), hot.join_on, "left")
     )
-    if hot.table is not None:
+    if "reviews" in hot.sides:
         # An item without reviews was copied to every review salt: keep one.
         joined = joined.where((F.col("salt_reviews") == 0) | F.col(PER_SCORE[0]).isNotNull())
     item_columns = [c for c in items.columns if c != KEY]
     order_columns = [c for c in orders.columns if c != KEY]
-    block = F.explode(F.sequence(F.lit(0).cast("bigint"), _blocks(F.col("r.copies")) - 1))
-    in_block = F.least(F.lit(BLOCK), F.col("r.copies") - F.col("block") * BLOCK).cast("int")
+    block = F.explode(F.sequence(F.lit(0).cast("bigint"), _blocks(F.col("_r.copies")) - 1))
+    in_block = F.least(F.lit(BLOCK), F.col("_r.copies") - F.col("_block") * BLOCK).cast("int")
     return (
-        joined.withColumn("r", F.explode(_scores_and_copies()))
-        .where(F.col("r.copies") > 0)
-        .withColumn("block", block)
-        .withColumn("review_score", F.explode(F.array_repeat(F.col("r.score"), in_block)))
+        joined.withColumn("_r", F.explode(_scores_and_copies()))
+        .where(F.col("_r.copies") > 0)
+        .withColumn("_block", block)
+        .withColumn("review_score", F.explode(F.array_repeat(F.col("_r.score"), in_block)))
         .select(
             KEY,
             *item_columns,
@@ -141,11 +141,8 @@ def seller_facts(
     fact = items.select(KEY, "seller_id", "price")
     copies = orders.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.count("*").alias("n"))
     hot = hot or skew.hot_keys(dict(zip(SELLER_SIDES, (items,))), KEY)
-    joined = (
-        hot.spread(fact, "items")
-        .join(hot.spread(copies), hot.join_on, "inner")
-        .join(hot.spread(review_counts(reviews)), hot.join_on, "left")
-    )
+    per_order = copies.join(review_counts(reviews), KEY, "left")
+    joined = hot.spread(fact, "items").join(hot.spread(per_order), hot.join_on)
     n = F.col("n")
     return _facts(joined, ["seller_id"], n, lambda fan_out: typing.cents(F.col("price")) * n * fan_out)
 
@@ -166,11 +163,8 @@ def order_facts(
         KEY, "order_status", "order_purchase_timestamp", delay_days().alias("delivery_delay_days")
     )
     hot = hot or skew.hot_keys(dict(zip(ORDER_SIDES, (orders,))), KEY)
-    joined = (
-        hot.spread(rows, "orders")
-        .join(hot.spread(sums), hot.join_on, "inner")
-        .join(hot.spread(review_counts(reviews)), hot.join_on, "left")
-    )
+    per_order = sums.join(review_counts(reviews), KEY, "left")
+    joined = hot.spread(rows, "orders").join(hot.spread(per_order), hot.join_on)
     keep = ["order_status", "order_purchase_timestamp", "delivery_delay_days"]
     return _facts(joined, keep, F.col("n"), lambda fan_out: F.col("sum_cents") * fan_out)
 

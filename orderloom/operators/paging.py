@@ -44,18 +44,18 @@ def number_rows(df: DataFrame, order: list[Column], out: str = "row_number") ->
     Each sorted partition numbers its own rows; the numbers are stored with the
     rows before partition sizes turn them into positions, so both see one sort.
     """
-    placed = stored(df.orderBy(*order).withColumn("place", F.monotonically_increasing_id()))
-    placed = placed.withColumn("part", F.shiftright("place", 33))
+    placed = stored(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_part", F.shiftright("_place", 33))
     # One row per sorted partition.
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy("part")
-        .agg(F.count("*").alias("n"))
-        .select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_before"))
+        placed.groupBy("_part")
+        .agg(F.count("*").alias("_n"))
+        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
-    in_part = F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.join(F.broadcast(offsets), "part").select(
-        *df.columns, (F.col("n_before") + in_part + 1).alias(out)
+    in_part = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(F.broadcast(offsets), "_part").select(
+        *df.columns, (F.col("_before") + in_part + 1).alias(out)
     )
 
 

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 # Rows that one task may rank by itself.
 SINGLE_TASK_ROWS = 1_000_000
+# Rows and number of the buckets of a larger table.
+BUCKET_ROWS = 250_000
+MAX_BUCKETS = 1_000
 # Tasks that share the rows of one tied value.
 TIE_SALTS = 64
 
 
-def _cut_points(df: DataFrame, value: str, buckets: int) -> tuple[int, list]:
-    """Row count and the distinct quantiles of ``value``, highest first."""
+def _cut_points(df: DataFrame, value: str, buckets: int) -> list:
+    """The distinct quantiles of ``value`` that part it into ``buckets``, highest first."""
     steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    quantiles = F.percentile_approx(value, steps, 10 * buckets)
-    row = df.agg(F.count("*").alias("n"), quantiles.alias("cuts")).first()
-    return row["n"], sorted(set(row["cuts"] or []), reverse=True)
+    cuts = df.agg(F.percentile_approx(value, steps, 10 * buckets)).first()[0]
+    return sorted(set(cuts or []), reverse=True)
 
 
 def rank_descending(
@@ -24,7 +28,6 @@ def rank_descending(
     out: str,
     tie_break: str,
     single_task_rows: int = SINGLE_TASK_ROWS,
-    buckets: int | None = None,
 ) -> DataFrame:
     """``rank()`` by ``value`` descending, nulls last: ties share a rank and leave a gap.
 
@@ -32,37 +35,35 @@ def rank_descending(
     one is cut at quantiles into buckets that are ranked side by side and then
     moved up by the number of rows in higher buckets. Each cut point has a bucket
     of its own, so a value many rows share never has to be sorted.
-    ``df`` is read three times and should be stored (see ``session.stored``).
+    ``df`` is read several times and should be stored (see ``session.stored``).
     """
-    if buckets is None:
-        buckets = max(8, min(1_000, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    n, cuts = _cut_points(df, value, buckets)
+    n = df.count()
     order = F.col(value).desc_nulls_last()
     if n <= single_task_rows:
         return df.withColumn(out, F.rank().over(Window.orderBy(order)))
 
-    points = F.array(*[F.lit(c).cast(df.schema[value].dataType) for c in cuts])
+    buckets = max(8, min(MAX_BUCKETS, math.ceil(n / BUCKET_ROWS)))
+    cuts = _cut_points(df, value, buckets)
+    points = F.array(*[F.lit(c) for c in cuts]).cast(T.ArrayType(df.schema[value].dataType))
     above = F.size(F.filter(points, lambda c: c > F.col(value)))
     at_cut = F.array_contains(points, F.col(value))
-    bucket = F.when(F.col(value).isNull(), 2 * len(cuts) + 1).otherwise(
-        2 * above + at_cut.cast("int")
-    )
     # Odd buckets hold one value each: all of it ranks 1 there, on any task.
-    salt = F.when(F.col("bucket") % 2 == 1, F.pmod(F.xxhash64(tie_break), TIE_SALTS)).otherwise(0)
-    placed = df.withColumn("bucket", bucket).withColumn("salt", salt)
+    bucket = F.when(F.col(value).isNull(), 2 * len(cuts) + 1).otherwise(2 * above + at_cut.cast("int"))
+    salt = F.when(F.col("_bucket") % 2 == 1, F.pmod(F.xxhash64(tie_break), TIE_SALTS)).otherwise(0)
+    placed = df.withColumn("_bucket", bucket).withColumn("_salt", salt)
 
-    # At most 2 * buckets rows: one task, and small enough to broadcast.
-    higher = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # At most 2 * MAX_BUCKETS rows: one task, and small enough to broadcast.
+    higher = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy("bucket")
-        .agg(F.count("*").alias("n"))
-        .select("bucket", F.coalesce(F.sum("n").over(higher), F.lit(0)).alias("n_higher"))
+        placed.groupBy("_bucket")
+        .agg(F.count("*").alias("_n"))
+        .select("_bucket", F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias("_higher"))
     )
-    within = F.rank().over(Window.partitionBy("bucket", "salt").orderBy(order))
+    within = F.rank().over(Window.partitionBy("_bucket", "_salt").orderBy(order))
     return (
-        placed.withColumn("within", within)
-        .join(F.broadcast(offsets), "bucket")
-        .select(*df.columns, (F.col("n_higher") + F.col("within")).cast("int").alias(out))
+        placed.withColumn("_within", within)
+        .join(F.broadcast(offsets), "_bucket")
+        .select(*df.columns, (F.col("_higher") + F.col("_within")).cast("int").alias(out))
     )
 
 

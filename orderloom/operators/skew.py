@@ -25,15 +25,18 @@ HOT_PARTITIONS = 2
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Hot values of ``key``; ``table`` has one row per value and a split count per side."""
+    """Hot values of ``key``: ``table`` has one row per value, with a split count per side.
+
+    ``sides`` names the sides that have hot keys; only they get a salt column.
+    """
 
     key: str
-    sides: tuple[str, ...]
-    table: DataFrame | None
+    sides: tuple[str, ...] = ()
+    table: DataFrame | None = None
 
     @property
     def join_on(self) -> list[str]:
-        return [self.key] + ([f"salt_{s}" for s in self.sides] if self.table else [])
+        return [self.key, *(f"salt_{s}" for s in self.sides)]
 
     def spread(self, df: DataFrame, side: str | None = None, counts: Sequence[str] = ()) -> DataFrame:
         """Add the salt columns to the rows of one side.
@@ -49,14 +52,14 @@ class HotKeys:
             return df
         splits = {s: F.coalesce(F.col(f"splits_{s}"), F.lit(1)) for s in self.sides}
         df = df.join(F.broadcast(self.table), self.key, "left")
-        if side and not counts:
+        if side in self.sides and not counts:
             # Hashed, as hot rows may sit at regular distances from each other.
             own = F.pmod(F.xxhash64(F.monotonically_increasing_id()), splits[side]).cast("int")
             df = df.withColumn(f"salt_{side}", own)
         for s in self.sides:
             if s != side or counts:
                 df = df.withColumn(f"salt_{s}", F.explode(F.sequence(F.lit(0), splits[s] - 1)))
-        if side and counts:
+        if side in self.sides and counts:
             n, salt = splits[side].cast("long"), F.col(f"salt_{side}")
             rest = {c: F.col(c) % n for c in counts}
             df = df.withColumns(
@@ -91,9 +94,9 @@ def hot_keys(sides: Mapping[str, DataFrame], key: str, min_rows: int = MIN_HOT_R
             share = count / row["n"] * partitions
             if share >= HOT_PARTITIONS and count >= min_rows:
                 splits.setdefault(value, {})[row["side"]] = math.ceil(share)
-    names = tuple(sides)
     if not splits:
-        return HotKeys(key, names, None)
+        return HotKeys(key)
+    names = tuple(s for s in sides if any(s in by_side for by_side in splits.values()))
     fields = [T.StructField(key, first.schema[key].dataType)]
     fields += [T.StructField(f"splits_{s}", T.IntegerType()) for s in names]
     rows = [(value, *(by_side.get(s, 1) for s in names)) for value, by_side in splits.items()]

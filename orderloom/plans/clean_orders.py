@@ -10,7 +10,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.operators import cleaning
-from orderloom.session import build_session
+from orderloom.session import build_session, stored
 from orderloom.sources import csv
 from orderloom.sources.tables import ORDERS_TABLE, JdbcTables, ParquetTables, replace_orders
 
@@ -32,7 +32,8 @@ def run_clean(
 ) -> DataFrame:
     """Fill the orders table from CSV; returns its report, counted on the written table."""
     raw = raw_orders(spark, path, multi_line)
-    replace_orders(cleaning.clean_orders(raw), tables)
+    # Checked and written from one result: parsing text twice would cost more.
+    replace_orders(stored(cleaning.clean_orders(raw)), tables)
     return cleaning.clean_report(raw, tables.read(spark, ORDERS_TABLE))
 
 
