@@ -30,27 +30,27 @@ def _zone_free(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
 
 
-def _valid(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Valid items, orders and reviews."""
-    return (
-        quality.valid(tpch.items(spark, sf), "order_items"),
-        quality.valid(tpch.orders(spark, sf), "orders"),
-        quality.valid(tpch.reviews(spark, sf), "reviews"),
-    )
+SIDES = {"items": "order_items", "orders": "orders", "reviews": "reviews"}
+
 
+def _sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return {"items": tpch.items(spark, sf), "orders": tpch.orders(spark, sf), "reviews": tpch.reviews(spark, sf)}
 
-def _hot(spark: SparkSession, sf: str, *sides: str) -> skew.HotKeys:
-    """Hot order ids, looked for in the unfiltered key columns only."""
-    sources = {"items": tpch.items, "orders": tpch.orders, "reviews": tpch.reviews}
-    return skew.hot_keys({s: sources[s](spark, sf) for s in sides}, enrich.KEY)
 
+def _joined(join: Callable, hot_sides: tuple[str, ...]) -> Query:
+    """A join of valid rows; hot order ids are looked for in the raw key columns only."""
 
-def _seller_facts(spark, sf):
-    return enrich.seller_facts(*_valid(spark, sf), hot=_hot(spark, sf, *enrich.SELLER_SIDES))
+    def query(spark, sf):
+        raw = _sources(spark, sf)
+        hot = skew.hot_keys({s: raw[s] for s in hot_sides}, enrich.KEY)
+        return join(*[quality.valid(df, SIDES[s]) for s, df in raw.items()], hot=hot)
+
+    return query
 
 
-def _order_facts(spark, sf):
-    return enrich.order_facts(*_valid(spark, sf), hot=_hot(spark, sf, *enrich.ORDER_SIDES))
+_rows = _joined(enrich.orders_enriched, enrich.ROW_SIDES)
+_seller_facts = _joined(enrich.seller_facts, enrich.SELLER_SIDES)
+_order_facts = _joined(enrich.order_facts, enrich.ORDER_SIDES)
 
 
 # --- inputs and rules ---------------------------------------------------------
@@ -70,15 +70,15 @@ def typed_inputs(spark, sf):
 
 
 def items_valid(spark, sf):
-    return as_double(_valid(spark, sf)[0], "price", "freight_value")
+    return as_double(quality.valid(tpch.items(spark, sf), "order_items"), "price", "freight_value")
 
 
 def orders_valid(spark, sf):
-    return _valid(spark, sf)[1]
+    return quality.valid(tpch.orders(spark, sf), "orders")
 
 
 def reviews_valid(spark, sf):
-    return _valid(spark, sf)[2]
+    return quality.valid(tpch.reviews(spark, sf), "reviews")
 
 
 def quality_funnel(spark, sf):
@@ -89,8 +89,7 @@ def quality_funnel(spark, sf):
 
 
 def orders_enriched(spark, sf):
-    rows = enrich.orders_enriched(*_valid(spark, sf), hot=_hot(spark, sf, *enrich.ROW_SIDES))
-    return as_double(rows, "price", "freight_value", "total_amount")
+    return as_double(_rows(spark, sf), "price", "freight_value", "total_amount")
 
 
 def seller_ranking(spark, sf):

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import argparse
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from orderloom.operators import enrich, marts, quality, skew
 from orderloom.session import build_session, stored
@@ -33,7 +34,12 @@ MULTI_LINE = {"reviews"}
 
 @dataclass(frozen=True)
 class Config:
-    """Where a run reads and writes. ``csv`` maps each of SOURCES to a path."""
+    """Where a run reads and writes. ``csv`` maps each of SOURCES to a path.
+
+    ``schemas`` types raw columns while the CSV is read, so that rules on amounts
+    reach the raw Parquet scan; ``infer`` finds the types with a pass of its own.
+    With neither, the raw layer keeps the text of each cell.
+    """
 
     csv: dict[str, str]
     raw: str
@@ -41,12 +47,16 @@ class Config:
     marts: ParquetTables | JdbcTables
     raw_files: int | None = None
     silver_files: int | None = None
+    schemas: dict[str, StructType] = field(default_factory=dict)
+    infer: bool = False
 
 
 def ingest(spark: SparkSession, cfg: Config, run_date: date) -> None:
-    """Copy each CSV file to its day of the raw layer, every cell as text."""
+    """Copy each CSV file to its day of the raw layer."""
     for name in SOURCES:
-        scan = csv.read_csv(spark, cfg.csv[name], multi_line=name in MULTI_LINE)
+        scan = csv.read_csv(
+            spark, cfg.csv[name], cfg.schemas.get(name), cfg.infer, multi_line=name in MULTI_LINE
+        )
         daily.write_day(scan, cfg.raw, name, run_date, cfg.raw_files)
 
 
@@ -125,6 +135,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--date", required=True, type=date.fromisoformat)
     parser.add_argument("--raw-files", type=int)
     parser.add_argument("--silver-files", type=int)
+    parser.add_argument("--infer", action="store_true", help="find column types, with one more pass")
     args = parser.parse_args(argv)
     if bool(args.marts) == bool(args.jdbc_url):
         parser.error("give either --marts or --jdbc-url")
@@ -135,7 +146,7 @@ def main(argv: list[str] | None = None) -> None:
         tables = JdbcTables(args.jdbc_url, login)
     cfg = Config(
         {"order_items": args.items, "reviews": args.reviews, "orders": args.orders},
-        args.raw, args.silver, tables, args.raw_files, args.silver_files,
+        args.raw, args.silver, tables, args.raw_files, args.silver_files, infer=args.infer,
     )
     spark = build_session("orderloom daily run")
     run_day(spark, cfg, args.date)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -127,6 +128,24 @@ def test_daily_run(spark, tmp_path):
     assert report[("silver", "orders_enriched")] == 5 and report[("mart", "dm_review_distribution")] == 2
 
 
+def test_typed_raw_layer(spark, tmp_path):
+    """Types found or given while the CSV is read lead to the same marts."""
+    write_sources(tmp_path)
+    items = T.StructType().add("order_id", "string").add("seller_id", "string").add("price", "double")
+    items = items.add("freight_value", "double").add("product_id", "string")
+    found = None
+    for n, options in enumerate([{}, {"infer": True}, {"schemas": {"order_items": items}}]):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        cfg = replace(config(tmp_path), raw=str(folder / "raw"), silver=str(folder / "silver"), marts=ParquetTables(str(folder / "marts")), **options)
+        daily_run.run_day(spark, cfg, DAY1)
+        kind = dict(daily.read_day(spark, cfg.raw, "order_items", DAY1).dtypes)["price"]
+        assert kind == ("double" if options else "string")
+        got = [sorted(map(str, cfg.marts.read(spark, m).collect())) for m in daily_run.MARTS]
+        found = found or got
+        assert got == found
+
+
 def test_a_failed_stage_stops_the_run(spark, tmp_path):
     write_sources(tmp_path)
     (tmp_path / "orders.csv").unlink()
