@@ -32,20 +32,18 @@ def _avg_delay(weight: str) -> Column:
 
 
 def seller_stats(facts: DataFrame) -> DataFrame:
-    """Rows, revenue (price only) and mean score per seller."""
+    """Rows, revenue in cents (price only) and mean score per seller."""
     return facts.groupBy("seller_id").agg(
-        _nb_orders(),
-        from_cents(F.sum("cents")).alias("total_revenue"),
-        _avg_score().alias("avg_review_score"),
+        _nb_orders(), F.sum("cents").alias("cents"), _avg_score().alias("avg_review_score")
     )
 
 
 def seller_ranking(facts: DataFrame, **rank_options) -> DataFrame:
-    """Sellers with their competition rank by revenue."""
-    ranked = ranking.rank_descending(
-        stored(seller_stats(facts)), "total_revenue", "revenue_rank", "seller_id", **rank_options
-    )
-    return as_double(ranked, "total_revenue")
+    """Sellers with their revenue and competition rank by it."""
+    stats = stored(seller_stats(facts))
+    ranked = ranking.rank_descending(stats, "cents", "revenue_rank", "seller_id", **rank_options)
+    revenue = from_cents(F.col("cents")).cast("double").alias("total_revenue")
+    return ranked.select("seller_id", "nb_orders", revenue, "avg_review_score", "revenue_rank")
 
 
 def monthly_stats(facts: DataFrame) -> DataFrame:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Rows that one task may rank by itself.
 SINGLE_TASK_ROWS = 1_000_000
-# Rows and number of the buckets of a larger table.
+# Rows and number of the buckets of a larger table. With many more buckets the
+# search for the right one no longer compiles to machine code.
 BUCKET_ROWS = 250_000
-MAX_BUCKETS = 1_000
+MAX_BUCKETS = 64
 # Tasks that share the rows of one tied value.
 TIE_SALTS = 64
 
@@ -22,6 +23,15 @@ def _cut_points(df: DataFrame, value: str, buckets: int) -> list:
     return sorted(set(cuts or []), reverse=True)
 
 
+def _cuts_above(value: Column, cuts: list) -> Column:
+    """How many of the cuts, highest first, are above the value: a binary search."""
+    if not cuts:
+        return F.lit(0)
+    middle = len(cuts) // 2
+    below = middle + 1 + _cuts_above(value, cuts[middle + 1 :])
+    return F.when(value < F.lit(cuts[middle]), below).otherwise(_cuts_above(value, cuts[:middle]))
+
+
 def rank_descending(
     df: DataFrame,
     value: str,
@@ -44,13 +54,13 @@ def rank_descending(
 
     buckets = max(8, min(MAX_BUCKETS, math.ceil(n / BUCKET_ROWS)))
     cuts = _cut_points(df, value, buckets)
-    points = F.array(*[F.lit(c) for c in cuts]).cast(T.ArrayType(df.schema[value].dataType))
-    above = F.size(F.filter(points, lambda c: c > F.col(value)))
-    at_cut = F.array_contains(points, F.col(value))
+    at_cut = F.col(value).isin(cuts).cast("int")
     # Odd buckets hold one value each: all of it ranks 1 there, on any task.
-    bucket = F.when(F.col(value).isNull(), 2 * len(cuts) + 1).otherwise(2 * above + at_cut.cast("int"))
+    bucket = F.when(F.col(value).isNull(), 2 * len(cuts) + 1).otherwise(
+        2 * _cuts_above(F.col(value), cuts) + at_cut
+    )
     salt = F.when(F.col("_bucket") % 2 == 1, F.pmod(F.xxhash64(tie_break), TIE_SALTS)).otherwise(0)
-    placed = df.withColumn("_bucket", bucket).withColumn("_salt", salt)
+    placed = df.withColumn("_bucket", bucket).withColumn("_group", F.col("_bucket") * TIE_SALTS + salt)
 
     # At most 2 * MAX_BUCKETS rows: one task, and small enough to broadcast.
     higher = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -59,7 +69,7 @@ def rank_descending(
         .agg(F.count("*").alias("_n"))
         .select("_bucket", F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias("_higher"))
     )
-    within = F.rank().over(Window.partitionBy("_bucket", "_salt").orderBy(order))
+    within = F.rank().over(Window.partitionBy("_group").orderBy(order))
     return (
         placed.withColumn("_within", within)
         .join(F.broadcast(offsets), "_bucket")
