@@ -214,9 +214,10 @@ def csv_roundtrip(spark, sf):
 def raw_roundtrip(spark, sf):
     base, items = scratch_path(spark, "raw"), tpch.items(spark, sf)
     first, second = RUN_DATE, RUN_DATE.replace(day=16)
-    daily.write_day(items, base, "order_items", first, files=4)
-    daily.write_day(items.where("order_item_id > 1"), base, "order_items", second, files=4)
-    daily.write_day(items, base, "order_items", second, files=4)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    daily.write_day(items, base, "order_items", first)
+    daily.write_day(items.where("order_item_id > 1"), base, "order_items", second, files)
+    daily.write_day(items, base, "order_items", second, files)
     return daily.read_day(spark, base, "order_items", second)
 
 
@@ -228,18 +229,17 @@ def _write_csv_sources(spark, sf) -> dict[str, str]:
     return paths
 
 
-def _config(spark, sf, **options) -> daily_plan.Config:
+def _config(spark, sf) -> daily_plan.Config:
     return daily_plan.Config(
         _write_csv_sources(spark, sf),
         scratch_path(spark, "raw"),
         scratch_path(spark, "silver"),
         ParquetTables(scratch_path(spark, "marts")),
-        **options,
     )
 
 
 def silver_roundtrip(spark, sf):
-    cfg = _config(spark, sf, silver_files=2)
+    cfg = _config(spark, sf)
     daily_plan.ingest(spark, cfg, RUN_DATE)
     daily_plan.refine(spark, cfg, RUN_DATE)
     counts = [

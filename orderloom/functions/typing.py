@@ -31,9 +31,14 @@ def cents(value: Column) -> Column:
     return (value * 100).cast("bigint")
 
 
+def weighted_cents(value: Column, weight: Column) -> Column:
+    """Cents times a row count, wide enough for counts that no table could hold as rows."""
+    return value.cast("decimal(20,0)") * weight
+
+
 def from_cents(value: Column) -> Column:
     """Hundredths as money again."""
-    return value.cast("decimal(20,0)") * F.lit(Decimal("0.01"))
+    return value.cast("decimal(38,0)") * F.lit(Decimal("0.01"))
 
 
 def whole_number(df: DataFrame, name: str) -> Column:

@@ -11,9 +11,6 @@ columns (see ``skew.hot_keys``); left out, they are looked for in the inputs.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import dates, typing
@@ -120,17 +117,17 @@ def orders_enriched(
 SCORE_SUMS = ["n_scored", "score_sum", *PER_SCORE]
 
 
-def _facts(joined: DataFrame, keep: list[str], per_review: Column, cents: Callable[[Column], Column]) -> DataFrame:
-    """Facts of joined rows that each stand for ``per_review`` rows before the reviews fan out.
+def _facts(joined: DataFrame, keep: list[str], n: Column, cents: Column) -> DataFrame:
+    """Facts of joined rows that each stand for ``n`` rows worth ``cents`` without the reviews.
 
-    ``cents`` is given the fan-out: the number of reviews, or 1 without any.
+    The reviews multiply both: by their number, or by 1 if there are none.
     """
     fan_out = F.coalesce(F.col("n_scored"), F.lit(1))
     return joined.select(
         *keep,
-        (per_review * fan_out).alias("n_rows"),
-        cents(fan_out).alias("cents"),
-        *[(per_review * F.coalesce(F.col(c), F.lit(0))).alias(c) for c in SCORE_SUMS],
+        (n * fan_out).alias("n_rows"),
+        typing.weighted_cents(cents, fan_out).alias("cents"),
+        *[(n * F.coalesce(F.col(c), F.lit(0))).alias(c) for c in SCORE_SUMS],
     )
 
 
@@ -144,7 +141,7 @@ def seller_facts(
     per_order = copies.join(review_counts(reviews), KEY, "left")
     joined = hot.spread(fact, "items").join(hot.spread(per_order), hot.join_on)
     n = F.col("n")
-    return _facts(joined, ["seller_id"], n, lambda fan_out: typing.cents(F.col("price")) * n * fan_out)
+    return _facts(joined, ["seller_id"], n, typing.cents(F.col("price")) * n)
 
 
 def order_facts(
@@ -166,7 +163,7 @@ def order_facts(
     per_order = sums.join(review_counts(reviews), KEY, "left")
     joined = hot.spread(rows, "orders").join(hot.spread(per_order), hot.join_on)
     keep = ["order_status", "order_purchase_timestamp", "delivery_delay_days"]
-    return _facts(joined, keep, F.col("n"), lambda fan_out: F.col("sum_cents") * fan_out)
+    return _facts(joined, keep, F.col("n"), F.col("sum_cents"))
 
 
 def row_facts(enriched: DataFrame, amount: str, *keep: str) -> DataFrame:

@@ -32,18 +32,18 @@ def _avg_delay(weight: str) -> Column:
 
 
 def seller_stats(facts: DataFrame) -> DataFrame:
-    """Rows, revenue in cents (price only) and mean score per seller."""
+    """Rows, revenue (price only) and mean score per seller."""
     return facts.groupBy("seller_id").agg(
-        _nb_orders(), F.sum("cents").alias("cents"), _avg_score().alias("avg_review_score")
+        _nb_orders(),
+        from_cents(F.sum("cents")).cast("double").alias("total_revenue"),
+        _avg_score().alias("avg_review_score"),
     )
 
 
 def seller_ranking(facts: DataFrame, **rank_options) -> DataFrame:
-    """Sellers with their revenue and competition rank by it."""
+    """Sellers with their competition rank by revenue."""
     stats = stored(seller_stats(facts))
-    ranked = ranking.rank_descending(stats, "cents", "revenue_rank", "seller_id", **rank_options)
-    revenue = from_cents(F.col("cents")).cast("double").alias("total_revenue")
-    return ranked.select("seller_id", "nb_orders", revenue, "avg_review_score", "revenue_rank")
+    return ranking.rank_descending(stats, "total_revenue", "revenue_rank", "seller_id", **rank_options)
 
 
 def monthly_stats(facts: DataFrame) -> DataFrame:

@@ -152,6 +152,14 @@ def test_text_keys(spark):
     assert [tuple(r) for r in found.table.collect()] == [("x", 4)]
 
 
+def test_weights_larger_than_any_table(spark):
+    """A billion reviews of an order with a billion cents: counted, never built."""
+    joined = spark.range(1).selectExpr("'s' as seller_id", f"{10**9}L as n_scored", "4L as score_sum", *[f"0L as n_{s}" for s in range(1, 6)])
+    facts = enrich._facts(joined, ["seller_id"], F.lit(10**6).cast("bigint"), F.lit(10**15).cast("bigint"))
+    row = marts.seller_stats(facts).first()
+    assert (row["nb_orders"], row["total_revenue"]) == (10**15, 1e22)
+
+
 def test_reviews_fan_out(spark):
     items = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("c", 1), ("d", 1)], "order_id string, seller_id int")
     items = items.selectExpr("*", "cast(10 as decimal(18,2)) price", "cast(1 as decimal(18,2)) freight_value")
