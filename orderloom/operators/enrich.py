@@ -76,7 +76,7 @@ def orders_enriched(
     orders are split on whichever side they are hot, and the copies an order's
     reviews call for are generated in blocks on many tasks.
     """
-    hot = hot or skew.hot_keys(dict(zip(ROW_SIDES, (items, orders, reviews))), KEY)
+    hot = hot.only(*ROW_SIDES) if hot else skew.hot_keys(dict(zip(ROW_SIDES, (items, orders, reviews))), KEY)
     counts = review_counts(reviews).select(KEY, *PER_SCORE)
     joined = (
         hot.spread(items, "items")
@@ -137,7 +137,7 @@ def seller_facts(
     """Facts per item with ``seller_id``; the amount is the price without freight."""
     fact = items.select(KEY, "seller_id", "price")
     copies = orders.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.count("*").alias("n"))
-    hot = hot or skew.hot_keys(dict(zip(SELLER_SIDES, (items,))), KEY)
+    hot = hot.only(*SELLER_SIDES) if hot else skew.hot_keys(dict(zip(SELLER_SIDES, (items,))), KEY)
     per_order = copies.join(review_counts(reviews), KEY, "left")
     joined = hot.spread(fact, "items").join(hot.spread(per_order), hot.join_on)
     n = F.col("n")
@@ -159,7 +159,7 @@ def order_facts(
     rows = orders.select(
         KEY, "order_status", "order_purchase_timestamp", delay_days().alias("delivery_delay_days")
     )
-    hot = hot or skew.hot_keys(dict(zip(ORDER_SIDES, (orders,))), KEY)
+    hot = hot.only(*ORDER_SIDES) if hot else skew.hot_keys(dict(zip(ORDER_SIDES, (orders,))), KEY)
     per_order = sums.join(review_counts(reviews), KEY, "left")
     joined = hot.spread(rows, "orders").join(hot.spread(per_order), hot.join_on)
     keep = ["order_status", "order_purchase_timestamp", "delivery_delay_days"]

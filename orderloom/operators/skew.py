@@ -38,6 +38,15 @@ class HotKeys:
     def join_on(self) -> list[str]:
         return [self.key, *(f"salt_{s}" for s in self.sides)]
 
+    def only(self, *sides: str) -> HotKeys:
+        """The hot keys of the named sides, for a join that has no other salted side.
+
+        Every side with a salt must deal out its rows in the join; a salt that no
+        side deals out would only multiply rows.
+        """
+        kept = tuple(s for s in self.sides if s in sides)
+        return HotKeys(self.key, kept, self.table if kept else None)
+
     def spread(self, df: DataFrame, side: str | None = None, counts: Sequence[str] = ()) -> DataFrame:
         """Add the salt columns to the rows of one side.
 
@@ -50,6 +59,7 @@ class HotKeys:
         """
         if self.table is None:
             return df
+        columns = df.columns
         splits = {s: F.coalesce(F.col(f"splits_{s}"), F.lit(1)) for s in self.sides}
         df = df.join(F.broadcast(self.table), self.key, "left")
         if side in self.sides and not counts:
@@ -65,7 +75,7 @@ class HotKeys:
             df = df.withColumns(
                 {c: ((F.col(c) - rest[c]) / n).cast("long") + (salt < rest[c]).cast("long") for c in counts}
             )
-        return df.drop(*(f"splits_{s}" for s in self.sides))
+        return df.select(*columns, *(f"salt_{s}" for s in self.sides))
 
 
 def hot_keys(sides: Mapping[str, DataFrame], key: str, min_rows: int = MIN_HOT_ROWS) -> HotKeys:

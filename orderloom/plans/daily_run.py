@@ -7,7 +7,6 @@
 from __future__ import annotations
 
 import argparse
-import os
 from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
@@ -127,23 +126,15 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Run one day from CSV to marts")
     for name in ("items", "reviews", "orders", "raw", "silver"):
         parser.add_argument(f"--{name}", required=True)
-    parser.add_argument("--marts", help="folder of the Parquet marts")
-    parser.add_argument("--jdbc-url", help="database of the marts, in place of --marts")
-    parser.add_argument("--jdbc-user", default="")
-    parser.add_argument("--jdbc-password", default=os.environ.get("JDBC_PASSWORD", ""))
-    parser.add_argument("--jdbc-driver", default="org.postgresql.Driver")
+    parser.add_argument(
+        "--marts", help="folder of the Parquet marts; left out, they go to the database of JDBC_URL"
+    )
     parser.add_argument("--date", required=True, type=date.fromisoformat)
     parser.add_argument("--raw-files", type=int)
     parser.add_argument("--silver-files", type=int)
     parser.add_argument("--infer", action="store_true", help="find column types, with one more pass")
     args = parser.parse_args(argv)
-    if bool(args.marts) == bool(args.jdbc_url):
-        parser.error("give either --marts or --jdbc-url")
-    if args.marts:
-        tables = ParquetTables(args.marts)
-    else:
-        login = {"user": args.jdbc_user, "password": args.jdbc_password, "driver": args.jdbc_driver}
-        tables = JdbcTables(args.jdbc_url, login)
+    tables = ParquetTables(args.marts) if args.marts else JdbcTables.from_environment()
     cfg = Config(
         {"order_items": args.items, "reviews": args.reviews, "orders": args.orders},
         args.raw, args.silver, tables, args.raw_files, args.silver_files, infer=args.infer,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +39,13 @@ class JdbcTables:
     column_types: dict[str, str] = field(default_factory=dict)
     partitioning: dict[str, dict[str, str]] = field(default_factory=dict)
 
+    @classmethod
+    def from_environment(cls, **options) -> JdbcTables:
+        """Connection settings from JDBC_URL, JDBC_USER, JDBC_PASSWORD and JDBC_DRIVER."""
+        names = {"user": "JDBC_USER", "password": "JDBC_PASSWORD", "driver": "JDBC_DRIVER"}
+        properties = {key: os.environ[name] for key, name in names.items() if name in os.environ}
+        return cls(os.environ["JDBC_URL"], properties, **options)
+
     def replace(self, df: DataFrame, table: str) -> None:
         options = {
             "batchsize": str(self.batch_size),

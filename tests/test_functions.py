@@ -63,6 +63,14 @@ def test_strip_lower(spark, raw, expected):
     assert column(df, text.strip_lower(F.col("s"))) == [expected]
 
 
+def test_every_white_space_character_is_stripped(spark):
+    """As Python's ``strip`` does, for all characters of the basic plane."""
+    characters = [chr(i) for i in range(1, 0x10000) if not 0xD800 <= i <= 0xDFFF]
+    df = spark.createDataFrame([(c, f"{c}{c}x{c}x{c}") for c in characters], "c string, s string")
+    got = df.where(text.strip_lower(F.col("s")) == F.lower(F.concat(F.lit("x"), "c", F.lit("x")))).collect()
+    assert {r["c"] for r in got} == {c for c in characters if not c.strip()}
+
+
 def test_null_tokens(spark):
     df = spark.createDataFrame([("NA",), ("",), ("null",), ("nA",), ("x",)], "s string")
     assert column(df, text.null_if_token(F.col("s"))) == [None, None, None, "nA", "x"]
@@ -85,9 +93,16 @@ def test_month_start_and_back(spark):
 
 def test_canonical_text_accepts_one_format(spark):
     df = spark.createDataFrame(
-        [("2017-10-02 10:56:33",), ("02/10/2017",), ("2017-10-02",), ("2017-13-02 10:56:33",), (None,)], "t string"
+        [("2017-10-02 10:56:33",), ("02/10/2017",), ("2017-10-02",), ("2017-13-02 10:56:33",),
+         ("2017-02-29 10:56:33",), ("2017-10-02 24:00:00",), (" 2017-10-02 10:56:33",), (None,)],
+        "t string",
     )
-    assert column(df, dates.canonical_text("t")) == ["2017-10-02 10:56:33", None, None, None, None]
+    assert column(df, dates.canonical_text("t")) == ["2017-10-02 10:56:33"] + [None] * 7
+
+
+def test_canonical_text_of_timestamps(spark):
+    df = spark.sql("select timestamp'2017-10-02 10:56:33' as t")
+    assert column(df, dates.canonical_text("t")) == ["2017-10-02 10:56:33"]
 
 
 def test_datetime_is_utc(spark):

@@ -122,6 +122,17 @@ def test_wrong_hot_keys_do_not_change_the_result(spark):
     assert rows(enrich.orders_enriched(*sides, hot=wrong)) == rows(plain_join(*sides))
 
 
+def test_one_search_serves_all_joins(spark):
+    sides = frames(spark, hot_items=True, hot_orders=True, hot_reviews=True)
+    found = hot(spark, *sides)
+    assert found.sides == enrich.ROW_SIDES
+    n = plain_join(*sides).count()
+    for facts in (enrich.order_facts, enrich.seller_facts):
+        assert facts(*sides, hot=found).agg(F.sum("n_rows")).first()[0] == n
+    assert found.only("items").join_on == ["order_id", "salt_items"]
+    assert found.only("other") == skew.HotKeys("order_id")
+
+
 def test_hot_rows_are_dealt_out(spark):
     items, orders, reviews = frames(spark, hot_items=True)
     found = skew.hot_keys({"items": items}, "order_id", min_rows=1)

@@ -161,8 +161,12 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     where += [f"--{n}={tmp_path}/{n}" for n in ("raw", "silver", "marts")]
     daily_run.main([*where, "--date=2024-01-15"])
     assert "dm_seller_performance" in capsys.readouterr().out
-    with pytest.raises(SystemExit):
-        daily_run.main([*where, "--date=2024-01-15", "--jdbc-url=jdbc:x"])
+    monkeypatch.delenv("JDBC_URL", raising=False)
+    with pytest.raises(KeyError, match="JDBC_URL"):
+        daily_run.main([*where[:-1], "--date=2024-01-15"])
+    monkeypatch.setenv("JDBC_URL", "jdbc:x")
+    monkeypatch.setenv("JDBC_USER", "u")
+    assert JdbcTables.from_environment() == JdbcTables("jdbc:x", {"user": "u"})
 
 
 def test_shared_folder_comes_from_the_session(spark):
