@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracle_queries  # noqa: E402
 from orderloom.functions import typing  # noqa: E402
 from orderloom.functions.typing import as_double  # noqa: E402
-from orderloom.operators import cleaning, enrich, marts, paging, quality, skew, views  # noqa: E402
+from orderloom.operators import cleaning, enrich, marts, paging, quality, views  # noqa: E402
 from orderloom.plans import clean_orders as clean_plan, daily_run as daily_plan  # noqa: E402
 from orderloom.session import configure, scratch_path, stored  # noqa: E402
 from orderloom.sources import csv, daily, tpch  # noqa: E402
@@ -30,27 +30,18 @@ def _zone_free(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
 
 
-SIDES = {"items": "order_items", "orders": "orders", "reviews": "reviews"}
+def _valid(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """Valid items, orders and reviews."""
+    sources = {"order_items": tpch.items, "orders": tpch.orders, "reviews": tpch.reviews}
+    return [quality.valid(read(spark, sf), name) for name, read in sources.items()]
 
 
-def _sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {"items": tpch.items(spark, sf), "orders": tpch.orders(spark, sf), "reviews": tpch.reviews(spark, sf)}
+def _seller_facts(spark, sf):
+    return enrich.seller_facts(*_valid(spark, sf))
 
 
-def _joined(join: Callable, hot_sides: tuple[str, ...]) -> Query:
-    """A join of valid rows; hot order ids are looked for in the raw key columns only."""
-
-    def query(spark, sf):
-        raw = _sources(spark, sf)
-        hot = skew.hot_keys({s: raw[s] for s in hot_sides}, enrich.KEY)
-        return join(*[quality.valid(df, SIDES[s]) for s, df in raw.items()], hot=hot)
-
-    return query
-
-
-_rows = _joined(enrich.orders_enriched, enrich.ROW_SIDES)
-_seller_facts = _joined(enrich.seller_facts, enrich.SELLER_SIDES)
-_order_facts = _joined(enrich.order_facts, enrich.ORDER_SIDES)
+def _order_facts(spark, sf):
+    return enrich.order_facts(*_valid(spark, sf))
 
 
 # --- inputs and rules ---------------------------------------------------------
@@ -89,7 +80,7 @@ def quality_funnel(spark, sf):
 
 
 def orders_enriched(spark, sf):
-    return as_double(_rows(spark, sf), "price", "freight_value", "total_amount")
+    return as_double(enrich.orders_enriched(*_valid(spark, sf)), "price", "freight_value", "total_amount")
 
 
 def seller_ranking(spark, sf):

@@ -5,8 +5,8 @@ before that fan-out: reviews of one order are counted per score, and the counts
 go into the marts as weights, so no pair of item and review is ever built for
 them. All inputs are valid rows (see ``quality.valid``).
 
-``hot`` takes the hot orders if they are known, best found in the unfiltered key
-columns (see ``skew.hot_keys``); left out, they are looked for in the inputs.
+``hot`` takes the hot orders if they are known (see ``skew.hot_keys``); left out,
+they are looked for in the inputs.
 """
 
 from __future__ import annotations
@@ -78,10 +78,11 @@ def orders_enriched(
     """
     hot = hot.only(*ROW_SIDES) if hot else skew.hot_keys(dict(zip(ROW_SIDES, (items, orders, reviews))), KEY)
     counts = review_counts(reviews).select(KEY, *PER_SCORE)
-    joined = (
-        hot.spread(items, "items")
-        .join(hot.spread(orders, "orders"), hot.join_on, "inner")
-        .join(hot.spread(counts, "reviews", counts=PER_SCORE), hot.join_on, "left")
+    # Rows are copied to the review salts only once they are known to have an order.
+    rows, copies = hot.only("items", "orders"), hot.only("reviews")
+    ordered = rows.spread(items, "items").join(rows.spread(orders, "orders"), rows.join_on)
+    joined = copies.spread(ordered).join(
+        hot.spread(counts, "reviews", counts=PER_SCORE), hot.join_on, "left"
     )
     if "reviews" in hot.sides:
         # An item without reviews was copied to every review salt: keep one.

@@ -79,8 +79,9 @@ class HotKeys:
 
 
 def hot_keys(sides: Mapping[str, DataFrame], key: str, min_rows: int = MIN_HOT_ROWS) -> HotKeys:
-    """Find the hot values of ``key`` in each of ``sides``.
+    """Find the hot values of ``key`` in each of ``sides``, which hold the rows to be joined.
 
+    Rows a filter drops must not count: the other sides would be copied for them.
     One pass over the key columns. The driver receives at most half as many keys
     per side as there are shuffle partitions, since no more can be hot.
     """

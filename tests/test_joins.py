@@ -122,6 +122,15 @@ def test_wrong_hot_keys_do_not_change_the_result(spark):
     assert rows(enrich.orders_enriched(*sides, hot=wrong)) == rows(plain_join(*sides))
 
 
+def test_items_without_an_order_are_not_copied(spark):
+    """An id that is hot in items and reviews but unknown to orders costs nothing extra."""
+    items, orders, reviews = frames(spark, hot_items=True, hot_reviews=True)
+    orders = orders.where(F.col("order_id") != HOT)
+    assert rows(enrich.orders_enriched(items, orders, reviews, hot(spark, items, orders, reviews))) == rows(
+        plain_join(items, orders, reviews)
+    )
+
+
 def test_one_search_serves_all_joins(spark):
     sides = frames(spark, hot_items=True, hot_orders=True, hot_reviews=True)
     found = hot(spark, *sides)
