@@ -20,15 +20,22 @@ def _nb_orders() -> Column:
     return F.sum("n_rows").alias("nb_orders")
 
 
+# Means divide sums taken as doubles: exact for whole numbers up to 9e15, whatever
+# the order of the rows, and without an overflow beyond.
+
+
+def _double_sum(value: Column) -> Column:
+    return F.sum(value.cast("double"))
+
+
 def _avg_score() -> Column:
-    return F.try_divide(F.sum("score_sum").cast("double"), F.sum("n_scored").cast("double"))
+    return F.try_divide(_double_sum(F.col("score_sum")), _double_sum(F.col("n_scored")))
 
 
 def _avg_delay(weight: str) -> Column:
     """Mean delay over the delivered rows, each counted ``weight`` times."""
-    delivered = F.when(F.col("delivery_delay_days").isNotNull(), F.col(weight))
-    total = F.sum(F.col("delivery_delay_days") * F.col(weight))
-    return F.try_divide(total.cast("double"), F.sum(delivered).cast("double"))
+    delay, rows = F.col("delivery_delay_days"), F.col(weight).cast("double")
+    return F.try_divide(_double_sum(delay * rows), _double_sum(F.when(delay.isNotNull(), rows)))
 
 
 def seller_stats(facts: DataFrame) -> DataFrame:
