@@ -20,6 +20,12 @@ from orderloom.session import configure, scratch_path, stored  # noqa: E402
 from orderloom.sources import csv, daily, tpch  # noqa: E402
 from orderloom.sources.tables import ORDERS_TABLE, ParquetTables, replace_orders  # noqa: E402
 
+try:  # the text operators are an optional part
+    import corpus_pipeline
+    from orderloom.llm import queries as text_queries
+except ImportError:
+    corpus_pipeline = text_queries = None
+
 RUN_DATE = date(2024, 1, 15)
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -291,9 +297,17 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """One entry per operator; each takes the session and the folder of the tables."""
-    return {name: _registered(query) for name, query in QUERIES.items()}
+    found = dict(QUERIES)
+    if text_queries:
+        found |= text_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return {name: _registered(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
     """The same answers in SQL."""
-    return dict(oracle_queries.SQL)
+    found = dict(oracle_queries.SQL)
+    if text_queries:
+        found |= text_queries.SQL
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
