@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import quality_model, quality_rules, toxicity
+from orderloom.llm import pii, quality_model, quality_rules, toxicity, winnowing
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,12 +20,21 @@ def op2_toxicity(spark, sf):
     return toxicity.toxicity(spark, table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op4_pii(spark, sf):
+    return pii.report(table(spark, sf, "documents"))
+
+
+def op5_winnowing(spark, sf):
+    return winnowing.report(table(spark, sf, "documents"))
+
+
 def op9_quality_model(spark, sf):
     return quality_model.quality(spark, table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_quality_rules, op2_toxicity, op9_quality_model)
+    f.__name__: f
+    for f in (op1_quality_rules, op2_toxicity, op4_pii, op5_winnowing, op9_quality_model)
 }
 
 # Words and lines by regular expressions as in the operator; window counts by joins over positions.
