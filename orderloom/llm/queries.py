@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import near_dedup, packing, pii, quality_model, quality_rules, rans, toxicity, winnowing
+from orderloom.llm import bpe, near_dedup, packing, pii, quality_model, quality_rules, rans, toxicity, winnowing
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,10 +44,14 @@ def op9_quality_model(spark, sf):
     return quality_model.quality(spark, table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op10_bpe(spark, sf):
+    return bpe.digests(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (op1_quality_rules, op2_toxicity, op4_pii, op5_winnowing, op6_rans, op7_packing, op8_near_dedup,
-        op9_quality_model)
+        op9_quality_model, op10_bpe)
 }
 
 # Words and lines by regular expressions as in the operator; window counts by joins over positions.
