@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import bpe, near_dedup, packing, pii, quality_model, quality_rules, rans, toxicity, winnowing
+from orderloom.llm import bpe, html_blocks, near_dedup, packing, pii, quality_model, quality_rules, rans, toxicity, winnowing
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_toxicity(spark, sf):
     return toxicity.toxicity(spark, table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op3_html(spark, sf):
+    return html_blocks.main_text(spark, table(spark, sf, "pages"))
+
+
 def op4_pii(spark, sf):
     return pii.report(table(spark, sf, "documents"))
 
@@ -50,8 +54,10 @@ def op10_bpe(spark, sf):
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_toxicity, op4_pii, op5_winnowing, op6_rans, op7_packing, op8_near_dedup,
-        op9_quality_model, op10_bpe)
+    for f in (
+        op1_quality_rules, op2_toxicity, op3_html, op4_pii, op5_winnowing, op6_rans, op7_packing, op8_near_dedup,
+        op9_quality_model, op10_bpe,
+    )
 }
 
 # Words and lines by regular expressions as in the operator; window counts by joins over positions.
