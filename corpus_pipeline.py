@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import quality_model, toxicity
+from orderloom.llm import near_dedup, packing, pii, quality_model, toxicity
 from orderloom.llm.common import prepare, table
 from orderloom.session import scratch_path
 
@@ -29,12 +29,31 @@ def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.where(toxicity.scorer(spark, machine)(docs["text"]) < toxicity.THRESHOLD)
 
 
+def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every near-duplicate group."""
+    prepare(spark)
+    return near_dedup.distinct_documents(docs)
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data masked in their texts."""
+    return pii.masked(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the packed sequences."""
+    return packing.digest(packing.pack(docs))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_model", good),
     ("toxicity", harmless),
+    ("near_dedup", unique),
+    ("pii", private),
+    ("packing", packed),
 ]
 
-# SQL cannot express learnt models, so the whole run is tested against brute force instead.
+# SQL can express neither learnt models nor tokens, so the whole run is tested against brute force instead.
 ORACLE_SQL = None
 
 

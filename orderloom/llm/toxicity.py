@@ -11,7 +11,7 @@ word make no difference.
 
 Learning sees at most ``max_rows`` labelled documents (parameter, default ``MAX_ROWS``) from outside
 the held-out fold; every document is scored. A null or empty text scores the bias alone; without any
-labelled rows every score is 0.5.
+labelled rows every score is next to 0, so that nothing is rejected.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ MIN_SEEN = 20
 EPOCHS = 3
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
+UNTAUGHT = -35.0
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 0.1
 FACTOR_STEP, FACTOR_L2 = 0.02, 0.01
 WORD = re.compile(r"[^\W\d_]+")
@@ -168,6 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Machine
     )
     schema = "at binary, w binary, row binary, v binary, bias double"
     machine = Machine()
+    machine.bias = UNTAUGHT
     for got in made.repartition(1).mapInArrow(_train, schema).collect():
         at = np.frombuffer(got["at"], np.int32)
         machine.w[at] = np.frombuffer(got["w"], np.float32)
