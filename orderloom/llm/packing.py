@@ -45,7 +45,7 @@ def tokens(docs: DataFrame, path: str, end_id: int, drops_space: bool) -> DataFr
         part, at = TaskContext.get().partitionId(), 0
         vocab, end = vocabulary(path, drops_space), np.array([end_id], "<u2").tobytes()
         for batch in batches:
-            ids = [got + end for got in vocab.encode(batch.column("text").to_pylist())]
+            ids = [got + end for got in vocab.encode(batch.column("text"))]
             n = np.array([len(x) // 2 for x in ids], np.int64)
             starts = at + np.cumsum(n) - n
             at += int(n.sum())

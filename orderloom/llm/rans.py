@@ -221,7 +221,7 @@ def write(
 
         held = 0
         for batch in batches:
-            got = vocab.encode(batch.column("text").to_pylist())
+            got = vocab.encode(batch.column("text"))
             for doc, own in zip(batch.column("doc_id").to_pylist(), got, strict=True):
                 doc_ids.append(doc)
                 ids.append(own + end)

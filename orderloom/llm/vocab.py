@@ -10,58 +10,107 @@ from the path given.
 from __future__ import annotations
 
 import os
-import re
+from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # White space and separators other than space and line feed, for any library's idea of them.
-ODD_SPACE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
-PART = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-MOST_PARTS = 600_000
+ODD_SPACE = "[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{180e}\\x{2000}-\\x{200f}\\x{2028}-\\x{202f}\\x{205f}-\\x{2064}\\x{3000}\\x{feff}]"
+BETWEEN = "\x1f"  # one of the odd ones, so free to mark cuts with
+MOST_PARTS = 800_000
+LONG_PART = 100
 
 
-class Vocabulary(dict):
-    """Part of a text to the bytes of its ids (little-endian unsigned 16 bit)."""
+class Vocabulary:
+    """Encodes texts; parts and their ids (little-endian unsigned 16 bit) are remembered in two generations.
+
+    When the younger generation is full it becomes the elder one, and what the elder one held is forgotten.
+    A part found in the elder one moves to the younger, so parts in use stay.
+    """
 
     def __init__(self, path: str, drops_space: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         # The names of special tokens inside a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit in 16 bits")
         self.drops_space = drops_space
+        self.young: dict[str, bytes] = {}
+        self.elder: dict[str, bytes] = {}
+        self.ends = {c: array("H", self.tokenizer.encode(c, add_special_tokens=False).ids).tobytes() for c in ".,"}
+
+    def _known(self, part: str) -> bytes | None:
+        got = self.young.get(part)
+        if got is None and (got := self.elder.get(part)) is not None:
+            self.young[part] = got
+        return got
 
-    def _learn(self, parts: list[str]) -> None:
-        for start in range(0, len(parts), 4096):
-            some = parts[start : start + 4096]
-            for part, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self[part] = np.array(got.ids, "<u2").tobytes()
+    def _of(self, parts: list[str]) -> list[bytes]:
+        """The ids of distinct parts."""
+        young, elder, known = self.young, self.elder, self._known
+        found = list(map(young.get, parts))
+        new: dict[str, list[int]] = {}
+        tails = []
+        for k, got in enumerate(found):
+            if got is not None:
+                continue
+            part = parts[k]
+            if (got := elder.get(part)) is not None:
+                found[k] = young[part] = got
+                continue
+            # A full stop or comma after a letter or digit is a piece of its own.
+            if part[-1:] in (".", ",") and "0" <= part[-2:-1] <= "\u00ff" and part[-2].isalnum():
+                tails.append(k)
+                part = part[:-1]
+                if known(part) is not None:
+                    continue
+            new.setdefault(part, []).append(k)
+        wanted = list(new)
+        fresh = {}
+        for start in range(0, len(wanted), 4096):
+            some = wanted[start : start + 4096]
+            encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            for part, got in zip(some, encoded, strict=True):
+                fresh[part] = ids = array("H", got.ids).tobytes()
+                for k in new[part]:
+                    found[k] = ids
+        for k in tails:
+            base = fresh.get(parts[k][:-1])
+            found[k] = young[parts[k]] = (known(parts[k][:-1]) if base is None else base) + self.ends[parts[k][-1]]
+        young.update((part, ids) for part, ids in fresh.items() if len(part) <= LONG_PART)
+        if len(young) > MOST_PARTS:
+            self.elder, self.young = young, {}
+        return found
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of every text; none for a null or empty one."""
-        cut: list[list[str]] = []
-        for text in texts:
-            if not text:
-                cut.append([])
-            elif ODD_SPACE.search(text):
-                cut.append([text])
-            elif self.drops_space:
-                cut.append(text.replace("\n", " ").split(" "))
-            else:
-                cut.append(PART.findall(text))
-        if len(self) > MOST_PARTS:
-            self.clear()
-        new = set().union(*cut).difference(self) if cut else set()
-        long = [part for part in new if len(part) > 1000]
-        self._learn(list(new))
-        out = [b"".join(map(self.__getitem__, parts)) for parts in cut]
-        for part in long:
-            del self[part]
-        return out
+        own = texts.fill_null("")
+        odd = pc.match_substring_regex(own, ODD_SPACE)
+        whole = (odd if self.drops_space else pc.or_(odd, pc.match_substring_regex(own, "[ \\n][ \\n]"))).to_pylist()
+        if self.drops_space:
+            cut = pc.replace_substring(pc.replace_substring(own, "\n", BETWEEN), " ", BETWEEN)
+        else:
+            cut = pc.replace_substring(pc.replace_substring(own, "\n", f"{BETWEEN}\n"), " ", f"{BETWEEN} ")
+        parts = pc.split_pattern(cut, BETWEEN)
+        if any(whole):
+            parts = pa.array([[t] if w else p for t, w, p in zip(own.to_pylist(), whole, parts.to_pylist(), strict=True)], pa.list_(pa.string()))
+        coded = parts.flatten().dictionary_encode()
+        ids = self._of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        flat = np.frombuffer(b"".join(ids), "<u2")
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+        starts = np.cumsum(sizes) - sizes
+        which = coded.indices.to_numpy()
+        each = sizes[which]
+        ends = np.cumsum(each)
+        at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts[which] - ends + each, each)
+        edges = np.concatenate([[0], ends])[np.asarray(parts.offsets) - parts.offsets[0].as_py()]
+        out = flat[at].tobytes()
+        return [out[2 * a : 2 * b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
 
 
 _OPEN: dict[tuple[str, bool], Vocabulary] = {}
