@@ -162,7 +162,7 @@ def vectors(page: list[Block]) -> np.ndarray:
     paths = [block.path for block in page]
     words = [block.text.lower().split(" ") for block in page]
     for at, groups, size in ((0, paths, PATH), (PATH, words, WORDS)):
-        counts = np.array([len(g) for g in groups])
+        counts = np.array([len(g) for g in groups], np.int64)
         places, signs = _placed([w for g in groups for w in g], size)
         rows = np.repeat(np.arange(len(page)), counts)
         sums = np.bincount(rows * size + places, signs, len(page) * size).reshape(len(page), size)

@@ -1,0 +1,34 @@
+"""Small document tables with every awkward case."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+PROSE = (
+    "The quick brown fox jumps over the lazy dog while seven small birds watch from an old wooden fence. "
+    "Nobody in the village had seen such weather before, and the river rose until it touched the bridge."
+)
+TEXTS = [
+    PROSE, PROSE, PROSE.replace("seven", "eight"), PROSE.upper(), None, "", " \n\t ", "one", "two words",
+    "mail jo.81@mail7.example.com or call +1 (017) 555-7713 today, card 4111 1111 1111 1111.",
+    "a@b.c_d@e.f 1.2.3.4.5.6.7.8 300.1.1.1 0000255.1.1.1 iban DE89 3704 0044 0532 0130 00",
+    'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" é😀 x', "it's  <|endoftext|> Éá b\n\n a  b \n", "a\tb  c",
+    "word " * 3000, "na " * 40 + "\n" + "na " * 40, "x" * 5000, "\n".join(["Same line here."] * 60),
+    "Home | About | Contact | Login\n" * 3 + PROSE + "\n" + PROSE + " " + PROSE,
+]
+
+
+def documents(spark: SparkSession) -> DataFrame:
+    """All texts, one row twice, a row without an id, and columns that clash with those of results."""
+    rows = [(i, text, "en", f"src{i % 3}", len(text or ""), 1.5, -1, "x") for i, text in enumerate(TEXTS)]
+    rows += [rows[2], (None, "no id here", None, None, None, None, None, None)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, start int, kept string"
+    return spark.createDataFrame(rows, schema).repartition(3)
+
+
+def empty(spark: SparkSession) -> DataFrame:
+    return documents(spark).where("false")
+
+
+def pairs(df: DataFrame) -> list[tuple[int | None, str | None]]:
+    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
