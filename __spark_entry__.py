@@ -13,8 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
 from orderloom.functions import typing  # noqa: E402
-from orderloom.functions.typing import as_double  # noqa: E402
-from orderloom.operators import cleaning, enrich, marts, paging, quality, views  # noqa: E402
+from orderloom.operators import cleaning, enrich, marts, paging, quality, ranking, views  # noqa: E402
 from orderloom.plans import clean_orders as clean_plan, daily_run as daily_plan  # noqa: E402
 from orderloom.session import configure, scratch_path, stored  # noqa: E402
 from orderloom.sources import csv, daily, tpch  # noqa: E402
@@ -67,7 +66,7 @@ def typed_inputs(spark, sf):
 
 
 def items_valid(spark, sf):
-    return as_double(quality.valid(tpch.items(spark, sf), "order_items"), "price", "freight_value")
+    return quality.valid(tpch.items(spark, sf), "order_items")
 
 
 def orders_valid(spark, sf):
@@ -86,7 +85,14 @@ def quality_funnel(spark, sf):
 
 
 def orders_enriched(spark, sf):
-    return as_double(enrich.orders_enriched(*_valid(spark, sf)), "price", "freight_value", "total_amount")
+    return enrich.orders_enriched(*_valid(spark, sf))
+
+
+def orders_enriched_hot(spark, sf):
+    """One order has many of the items, another one many of the reviews."""
+    sides = tpch.hot_items(spark, sf), tpch.orders(spark, sf), tpch.hot_reviews(spark, sf)
+    names = ("order_items", "orders", "reviews")
+    return enrich.orders_enriched(*(quality.valid(df, name) for df, name in zip(sides, names)))
 
 
 def seller_ranking(spark, sf):
@@ -94,7 +100,13 @@ def seller_ranking(spark, sf):
 
 
 def seller_ranking_bucketed(spark, sf):
-    return marts.seller_ranking(_seller_facts(spark, sf), single_task_rows=0)
+    return marts.seller_ranking(_seller_facts(spark, sf))
+
+
+def item_ranking_ties(spark, sf):
+    """Items by freight, a whole number below 10: thousands share a rank."""
+    items = quality.valid(tpch.items(spark, sf), "order_items").select("order_id", "order_item_id", "freight_value")
+    return ranking.rank_descending(items, "freight_value", "freight_rank")
 
 
 def monthly_stats(spark, sf):
@@ -138,6 +150,12 @@ def pages_cover_table(spark, sf):
     return paging.all_pages(dm_seller_performance(spark, sf), paging.mart_order(name))
 
 
+def pages_default_order(spark, sf):
+    """Items in pages of 7, in the default order, whose first column is not unique."""
+    items = tpch.items(spark, sf).select("freight_value", "seller_id", "order_id", "order_item_id", "price")
+    return paging.all_pages(items, page_size=7)
+
+
 def top_sellers(spark, sf):
     return views.top_sellers(dm_seller_performance(spark, sf))
 
@@ -163,8 +181,9 @@ def revenue_kpis(spark, sf):
 
 
 def chart_series(spark, sf):
-    months = stored(dm_monthly_revenue(spark, sf))
-    return views.chart_series(months, dm_order_status_performance(spark, sf))
+    facts = stored(_order_facts(spark, sf))
+    months = stored(marts.month_mart(marts.monthly_stats(facts)))
+    return views.chart_series(months, marts.status_performance(facts))
 
 
 def month_display(spark, sf):
@@ -182,6 +201,11 @@ def clean_report(spark, sf):
     return cleaning.clean_report(tpch.raw_orders(spark, sf), orders_clean(spark, sf))
 
 
+def orders_clean_few_dates(spark, sf):
+    """Input with one of the five dates; the result has all of its columns."""
+    return cleaning.clean_orders(tpch.raw_orders(spark, sf).drop(*cleaning.DATE_COLUMNS[1:]))
+
+
 def orders_clean_table(spark, sf):
     tables = ParquetTables(scratch_path(spark, "tables"))
     replace_orders(orders_clean(spark, sf), tables)
@@ -218,6 +242,20 @@ def raw_roundtrip(spark, sf):
     return daily.read_day(spark, base, "order_items", second)
 
 
+def empty_day_roundtrip(spark, sf):
+    """Two days written, the second one again with nothing."""
+    base, items = scratch_path(spark, "raw"), tpch.items(spark, sf)
+    days = RUN_DATE, RUN_DATE.replace(day=16)
+    for day in days:
+        daily.write_day(items, base, "order_items", day)
+    daily.write_day(items.where("false"), base, "order_items", days[1])
+    counts = [
+        daily.read_day(spark, base, "order_items", day).agg(F.count("*").alias("n_rows")).select(F.lit(day.day).alias("day"), "n_rows")
+        for day in days
+    ]
+    return counts[0].unionByName(counts[1])
+
+
 def _write_csv_sources(spark, sf) -> dict[str, str]:
     sources = {"order_items": tpch.items, "reviews": tpch.reviews, "orders": tpch.orders}
     paths = {name: scratch_path(spark, f"{name}.csv") for name in sources}
@@ -270,16 +308,16 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         typed_inputs, items_valid, reviews_valid, orders_valid, quality_funnel,
-        orders_enriched, seller_ranking, seller_ranking_bucketed, monthly_stats,
+        orders_enriched, orders_enriched_hot, seller_ranking, seller_ranking_bucketed, item_ranking_ties, monthly_stats,
         dm_order_status_performance, dm_seller_performance, dm_monthly_revenue, dm_review_distribution,
-        pages_cover_table, top_sellers, seller_scatter, status_share, score_histogram,
+        pages_cover_table, pages_default_order, top_sellers, seller_scatter, status_share, score_histogram,
         status_score_matrix, revenue_kpis, chart_series, month_display,
-        orders_clean, clean_report, orders_clean_table, csv_clean_report,
-        csv_roundtrip, raw_roundtrip, silver_roundtrip, mart_roundtrip, daily_run, daily_run_report,
+        orders_clean, orders_clean_few_dates, clean_report, orders_clean_table, csv_clean_report,
+        csv_roundtrip, raw_roundtrip, empty_day_roundtrip, silver_roundtrip, mart_roundtrip, daily_run, daily_run_report,
     )
 } | {
     "page_sellers": _paged("dm_seller_performance", 2),
-    "page_sellers_deep": _paged("dm_seller_performance", 3, top_k_rows=0),
+    "page_sellers_deep": _paged("dm_seller_performance", 3),
     "page_months": _paged("dm_monthly_revenue", 2),
     "page_statuses": _paged("dm_order_status_performance", 1),
     "page_reviews": _paged("dm_review_distribution", 1, where=lambda: F.col("review_score") >= 4),

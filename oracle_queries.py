@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+# Doubles and decimals are cast by way of text, which rounds once; the direct casts may round twice.
 TIME = "'%Y-%m-%d %H:%M:%S'"
 
 ITEMS = """items AS (
   SELECT CASE WHEN l_partkey % 97 = 0 THEN NULL ELSE l_orderkey END AS order_id,
          l_linenumber AS order_item_id,
          l_suppkey AS seller_id,
-         CASE WHEN l_quantity = 1 THEN CAST(0 AS DECIMAL(18,2)) WHEN l_quantity = 2 THEN NULL
-              ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS price,
-         CAST(round(l_tax * 100) - 1 AS DECIMAL(18,2)) AS freight_value
+         CASE WHEN l_quantity = 1 THEN 0 WHEN l_quantity = 2 THEN NULL
+              WHEN l_quantity = 3 THEN CAST(l_extendedprice AS DOUBLE) + CAST(0.125 AS DOUBLE)
+              WHEN l_orderkey = 7 THEN CAST(2e16 AS DOUBLE)
+              ELSE CAST(l_extendedprice AS DOUBLE) END AS price,
+         CAST(round(l_tax * 100) - 1 AS DOUBLE) AS freight_value
   FROM lineitem)"""
 
 REVIEWS = """reviews AS (
@@ -41,7 +44,7 @@ enriched AS (
   SELECT i.order_id, i.order_item_id, i.seller_id, i.price, i.freight_value,
          o.customer_id, o.order_status, o.order_purchase_timestamp,
          o.order_delivered_customer_date, o.order_estimated_delivery_date, r.review_score,
-         CAST(i.price + i.freight_value AS DECIMAL(18,2)) AS total_amount,
+         i.price + i.freight_value AS total_amount,
          CAST(date_diff('day', CAST(o.order_estimated_delivery_date AS DATE),
                                CAST(o.order_delivered_customer_date AS DATE)) AS INTEGER) AS delivery_delay_days
   FROM items_v i JOIN orders_v o ON o.order_id = i.order_id
@@ -49,21 +52,21 @@ enriched AS (
 
 SELLERS = f"""{ENRICHED},
 seller_sums AS (
-  SELECT seller_id, COUNT(order_id) AS nb_orders, SUM(price) AS tr, AVG(review_score) AS avg_review_score
+  SELECT seller_id, COUNT(order_id) AS nb_orders, SUM(CAST(CAST(price AS VARCHAR) AS DECIMAL(38,6))) AS tr, AVG(review_score) AS avg_review_score
   FROM enriched GROUP BY seller_id),
 sellers AS (
-  SELECT seller_id, nb_orders, CAST(tr AS DOUBLE) AS total_revenue, avg_review_score,
+  SELECT seller_id, nb_orders, CAST(CAST(tr AS VARCHAR) AS DOUBLE) AS total_revenue, avg_review_score,
          CAST(rank() OVER (ORDER BY tr DESC NULLS LAST) AS INTEGER) AS revenue_rank
   FROM seller_sums)"""
 
 MONTHS = f"""{ENRICHED},
 month_sums AS (
   SELECT date_trunc('month', order_purchase_timestamp) AS order_month, COUNT(order_id) AS nb_orders,
-         SUM(total_amount) AS mr
+         SUM(CAST(CAST(total_amount AS VARCHAR) AS DECIMAL(38,6))) AS mr
   FROM enriched GROUP BY 1),
 months_ts AS (
-  SELECT CAST(order_month AS TIMESTAMP) AS order_month, nb_orders, CAST(mr AS DOUBLE) AS monthly_revenue,
-         CAST(SUM(mr) OVER (ORDER BY order_month NULLS FIRST) AS DOUBLE) AS cumulative_revenue
+  SELECT CAST(order_month AS TIMESTAMP) AS order_month, nb_orders, CAST(CAST(mr AS VARCHAR) AS DOUBLE) AS monthly_revenue,
+         CAST(CAST(SUM(mr) OVER (ORDER BY order_month NULLS FIRST) AS VARCHAR) AS DOUBLE) AS cumulative_revenue
   FROM month_sums),
 months AS (
   SELECT strftime(order_month, {TIME}) AS order_month, nb_orders, monthly_revenue, cumulative_revenue
@@ -71,9 +74,9 @@ months AS (
 
 _STATUS_SELECT = """
   SELECT order_status, COUNT(order_id) AS nb_orders,
-         CAST(SUM(total_amount) AS DOUBLE) / COUNT(order_id) AS avg_amount,
+         CAST(CAST(SUM(CAST(CAST(total_amount AS VARCHAR) AS DECIMAL(38,6))) AS VARCHAR) AS DOUBLE) / COUNT(order_id) AS avg_amount,
          AVG(review_score) AS avg_review_score, AVG(delivery_delay_days) AS avg_delay_days,
-         CAST(SUM(total_amount) AS DOUBLE) AS total_revenue
+         CAST(CAST(SUM(CAST(CAST(total_amount AS VARCHAR) AS DECIMAL(38,6))) AS VARCHAR) AS DOUBLE) AS total_revenue
   FROM enriched GROUP BY order_status"""
 STATUSES = f"{ENRICHED}, statuses AS ({_STATUS_SELECT})"
 
@@ -167,6 +170,22 @@ FROM t""",
     ]),
     "orders_enriched": f"""WITH {ENRICHED} SELECT * REPLACE (CAST(price AS DOUBLE) AS price,
   CAST(freight_value AS DOUBLE) AS freight_value, CAST(total_amount AS DOUBLE) AS total_amount) FROM enriched""",
+    "orders_enriched_hot": "WITH " + ENRICHED.replace("FROM items WHERE", "FROM items_h WHERE")
+    .replace("FROM reviews WHERE", "FROM reviews_h WHERE")
+    .replace("items_v AS", """items_h AS (
+  SELECT * REPLACE (CASE WHEN order_item_id <= 2 THEN 33 ELSE order_id END AS order_id) FROM items),
+reviews_h AS (SELECT * REPLACE (CASE WHEN review_id % 2 = 0 THEN 34 ELSE order_id END AS order_id) FROM reviews),
+items_v AS""") + " SELECT * FROM enriched",
+    "item_ranking_ties": f"""WITH {VALID} SELECT order_id, order_item_id, freight_value,
+  CAST(rank() OVER (ORDER BY freight_value DESC) AS INTEGER) AS freight_rank FROM items_v""",
+    "pages_default_order": f"""WITH {ITEMS} SELECT freight_value, seller_id, order_id, order_item_id, price, CAST(
+  (row_number() OVER (ORDER BY freight_value NULLS LAST, seller_id NULLS LAST, order_id NULLS LAST,
+    order_item_id NULLS LAST, price NULLS LAST) - 1) // 7 + 1 AS INTEGER) AS page FROM items""",
+    "orders_clean_few_dates": f"""WITH {CLEAN} SELECT order_id, customer_id, order_status, order_purchase_timestamp,
+  CAST(NULL AS VARCHAR) AS order_approved_at, CAST(NULL AS VARCHAR) AS order_delivered_carrier_date,
+  CAST(NULL AS VARCHAR) AS order_delivered_customer_date, CAST(NULL AS VARCHAR) AS order_estimated_delivery_date
+FROM cleaned""",
+    "empty_day_roundtrip": "SELECT 15 AS day, COUNT(*) AS n_rows FROM lineitem UNION ALL SELECT 16, 0",
     "seller_ranking": f"WITH {SELLERS} SELECT * FROM sellers",
     "seller_ranking_bucketed": f"WITH {SELLERS} SELECT * FROM sellers",
     "monthly_stats": f"WITH {MONTHS} SELECT * FROM months_ts",
@@ -193,7 +212,7 @@ SELECT review_score, CAST(SUM(nb_orders) AS BIGINT) AS nb_orders FROM review_mar
         for s in range(1, 6)
     ) + " FROM review_mart GROUP BY order_status",
     "revenue_kpis": f"""WITH {MONTHS}
-SELECT CAST(SUM(mr) AS DOUBLE) AS total_revenue, CAST(SUM(nb_orders) AS BIGINT) AS nb_orders FROM month_sums""",
+SELECT CAST(CAST(SUM(mr) AS VARCHAR) AS DOUBLE) AS total_revenue, CAST(SUM(nb_orders) AS BIGINT) AS nb_orders FROM month_sums""",
     "chart_series": f"""WITH {MONTHS}, statuses AS ({_STATUS_SELECT})
 SELECT 'monthly_revenue' AS series, order_month AS label, monthly_revenue AS value FROM months
 UNION ALL SELECT 'cumulative_revenue', order_month, cumulative_revenue FROM months

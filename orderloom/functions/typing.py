@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# Amounts with two decimals; further ones are rounded. ``money`` takes another scale.
-MONEY = T.DecimalType(18, 2)
+# Decimal places that sums of amounts keep. At most 6: then 32 places are left in front of the point,
+# and a product with a row count keeps them as well.
+SCALE = 6
 
 
 def _kind(df: DataFrame, name: str) -> T.DataType:
@@ -20,25 +19,16 @@ def amount(df: DataFrame, name: str) -> Column:
     return value if isinstance(_kind(df, name), T.DecimalType) else value.try_cast("double")
 
 
-def money(name: str, to: T.DecimalType = MONEY) -> Column:
-    """An amount held as a decimal, so that sums do not depend on row order."""
-    return F.col(name).try_cast(to)
-
-
-def cents(value: Column) -> Column:
-    """A money value in hundredths. Sums of whole cents are exact and far cheaper than
-    decimal ones; past 9.2e18 cents they fail and do not wrap (see ``session``)."""
-    return (value * 100).cast("bigint")
-
-
-def weighted_cents(value: Column, weight: Column) -> Column:
-    """Cents times a row count, wide enough for counts that no table could hold as rows."""
-    return value.cast("decimal(20,0)") * weight
+def exact(value: Column, scale: int = SCALE) -> Column:
+    """An amount for summing: exact and independent of row order. One that does not fit is an error."""
+    infinite = F.abs(value.cast("double")) == float("inf")
+    bad = F.raise_error(F.lit("an amount is infinite"))
+    return F.when(infinite, bad).otherwise(value.cast(T.DecimalType(38, scale)))
 
 
-def from_cents(value: Column) -> Column:
-    """Hundredths as money again."""
-    return value.cast("decimal(38,0)") * F.lit(Decimal("0.01"))
+def times(amount: Column, count: Column, scale: int = SCALE) -> Column:
+    """An exact amount times a row count; past 32 digits an error and not a wrong number."""
+    return (amount * count).cast(T.DecimalType(38, scale))
 
 
 def whole_number(df: DataFrame, name: str) -> Column:

@@ -14,6 +14,7 @@ KNOWN_STATUSES = [
     "invoiced", "unavailable", "approved", "created",
 ]
 
+# The columns of the cleaned table.
 DATE_COLUMNS = [
     "order_purchase_timestamp",
     "order_approved_at",
@@ -43,15 +44,18 @@ def clean_orders(raw: DataFrame, order: str = "ingest_seq") -> DataFrame:
 
     The first copy is chosen before the other rules, so an order whose first copy
     is bad is lost even if a later one is good. Rows without an order id cannot
-    survive and are left out before the shuffle.
+    survive and are left out before the shuffle. The result has all of ``COLUMNS``,
+    whichever dates the input has; a missing one is null.
     """
     first = first_per_key(raw.where(F.col("order_id").isNotNull()), "order_id", order)
     return (
         first.where(F.col("customer_id").isNotNull())
         .withColumn("order_status", text.strip_lower(F.col("order_status")))
         .where(F.col("order_status").isin(KNOWN_STATUSES))
-        .withColumns({c: dates.canonical_text(c) for c in DATE_COLUMNS if c in raw.columns})
-        .select(*[c for c in COLUMNS if c in raw.columns])
+        .withColumns(
+            {c: dates.canonical_text(c) if c in raw.columns else F.lit(None).cast("string") for c in DATE_COLUMNS}
+        )
+        .select(*COLUMNS)
     )
 
 

@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import dates, typing
-from ..functions.typing import MONEY
 from . import skew
 
 KEY = "order_id"
@@ -30,7 +29,7 @@ BLOCK = 10_000
 
 
 def total_amount() -> Column:
-    return (F.col("price") + F.col("freight_value")).cast(MONEY)
+    return F.col("price") + F.col("freight_value")
 
 
 def delay_days() -> Column:
@@ -46,7 +45,7 @@ def review_counts(reviews: DataFrame) -> DataFrame:
     score = F.col("review_score")
     return (
         reviews.select(KEY, "review_score")
-        .where(F.col(KEY).isNotNull())
+        .where(F.col(KEY).isNotNull() & score.isin(*SCORES))
         .groupBy(KEY)
         .agg(
             F.count("*").alias("n_scored"),
@@ -111,15 +110,15 @@ def orders_enriched(
 #
 # A frame of facts has its group columns and
 #   n_rows      how many enriched rows the row stands for
-#   cents       the sum of the amount over those rows
+#   amount      the exact sum of the amount over those rows
 #   n_scored    how many of those rows have a score
 #   score_sum   the sum of their scores
 #   n_1 .. n_5  how many of those rows have each score
 SCORE_SUMS = ["n_scored", "score_sum", *PER_SCORE]
 
 
-def _facts(joined: DataFrame, keep: list[str], n: Column, cents: Column) -> DataFrame:
-    """Facts of joined rows that each stand for ``n`` rows worth ``cents`` without the reviews.
+def _facts(joined: DataFrame, keep: list[str], n: Column, amount: Column, scale: int = typing.SCALE) -> DataFrame:
+    """Facts of joined rows that each stand for ``n`` rows worth ``amount`` without the reviews.
 
     The reviews multiply both: by their number, or by 1 if there are none.
     """
@@ -127,13 +126,17 @@ def _facts(joined: DataFrame, keep: list[str], n: Column, cents: Column) -> Data
     return joined.select(
         *keep,
         (n * fan_out).alias("n_rows"),
-        typing.weighted_cents(cents, fan_out).alias("cents"),
+        typing.times(amount, fan_out, scale).alias("amount"),
         *[(n * F.coalesce(F.col(c), F.lit(0))).alias(c) for c in SCORE_SUMS],
     )
 
 
 def seller_facts(
-    items: DataFrame, orders: DataFrame, reviews: DataFrame, hot: skew.HotKeys | None = None
+    items: DataFrame,
+    orders: DataFrame,
+    reviews: DataFrame,
+    hot: skew.HotKeys | None = None,
+    scale: int = typing.SCALE,
 ) -> DataFrame:
     """Facts per item with ``seller_id``; the amount is the price without freight."""
     fact = items.select(KEY, "seller_id", "price")
@@ -142,11 +145,15 @@ def seller_facts(
     per_order = copies.join(review_counts(reviews), KEY, "left")
     joined = hot.spread(fact, "items").join(hot.spread(per_order), hot.join_on)
     n = F.col("n")
-    return _facts(joined, ["seller_id"], n, typing.cents(F.col("price")) * n)
+    return _facts(joined, ["seller_id"], n, typing.times(typing.exact(F.col("price"), scale), n, scale), scale)
 
 
 def order_facts(
-    items: DataFrame, orders: DataFrame, reviews: DataFrame, hot: skew.HotKeys | None = None
+    items: DataFrame,
+    orders: DataFrame,
+    reviews: DataFrame,
+    hot: skew.HotKeys | None = None,
+    scale: int = typing.SCALE,
 ) -> DataFrame:
     """Facts per order row with status, purchase time and delay; the amount includes freight.
 
@@ -155,7 +162,7 @@ def order_facts(
     sums = (
         items.where(F.col(KEY).isNotNull())
         .groupBy(KEY)
-        .agg(F.count("*").alias("n"), F.sum(typing.cents(total_amount())).alias("sum_cents"))
+        .agg(F.count("*").alias("n"), F.sum(typing.exact(total_amount(), scale)).alias("sum_amount"))
     )
     rows = orders.select(
         KEY, "order_status", "order_purchase_timestamp", delay_days().alias("delivery_delay_days")
@@ -164,16 +171,16 @@ def order_facts(
     per_order = sums.join(review_counts(reviews), KEY, "left")
     joined = hot.spread(rows, "orders").join(hot.spread(per_order), hot.join_on)
     keep = ["order_status", "order_purchase_timestamp", "delivery_delay_days"]
-    return _facts(joined, keep, F.col("n"), F.col("sum_cents"))
+    return _facts(joined, keep, F.col("n"), F.col("sum_amount"), scale)
 
 
-def row_facts(enriched: DataFrame, amount: str, *keep: str) -> DataFrame:
+def row_facts(enriched: DataFrame, amount: str, *keep: str, scale: int = typing.SCALE) -> DataFrame:
     """Facts read off stored enriched rows, each of which stands for itself."""
     score = F.col("review_score")
     return enriched.select(
         *keep,
         F.lit(1).cast("bigint").alias("n_rows"),
-        typing.cents(F.col(amount)).alias("cents"),
+        typing.exact(F.col(amount), scale).alias("amount"),
         score.isNotNull().cast("bigint").alias("n_scored"),
         F.coalesce(score, F.lit(0)).cast("bigint").alias("score_sum"),
         *[
@@ -185,5 +192,5 @@ def row_facts(enriched: DataFrame, amount: str, *keep: str) -> DataFrame:
 
 def by_status_and_delay(facts: DataFrame) -> DataFrame:
     """Facts summed per status and delay, which is all the status and review marts need."""
-    sums = ["n_rows", "cents", *SCORE_SUMS]
+    sums = ["n_rows", "amount", *SCORE_SUMS]
     return facts.groupBy("order_status", "delivery_delay_days").agg(*[F.sum(c).alias(c) for c in sums])

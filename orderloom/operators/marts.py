@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import dates
-from ..functions.typing import as_double, from_cents
-from ..session import stored
+from ..functions.typing import as_double
 from . import ranking
 from .enrich import PER_SCORE, SCORES
 
@@ -42,15 +41,14 @@ def seller_stats(facts: DataFrame) -> DataFrame:
     """Rows, revenue (price only) and mean score per seller."""
     return facts.groupBy("seller_id").agg(
         _nb_orders(),
-        from_cents(F.sum("cents")).cast("double").alias("total_revenue"),
+        F.sum("amount").cast("double").alias("total_revenue"),
         _avg_score().alias("avg_review_score"),
     )
 
 
-def seller_ranking(facts: DataFrame, **rank_options) -> DataFrame:
+def seller_ranking(facts: DataFrame) -> DataFrame:
     """Sellers with their competition rank by revenue."""
-    stats = stored(seller_stats(facts))
-    return ranking.rank_descending(stats, "total_revenue", "revenue_rank", "seller_id", **rank_options)
+    return ranking.rank_descending(seller_stats(facts), "total_revenue", "revenue_rank")
 
 
 def monthly_stats(facts: DataFrame) -> DataFrame:
@@ -59,7 +57,7 @@ def monthly_stats(facts: DataFrame) -> DataFrame:
     Orders without a purchase time form a null month, which comes first.
     """
     months = facts.groupBy(dates.month_start("order_purchase_timestamp").alias("order_month")).agg(
-        _nb_orders(), from_cents(F.sum("cents")).alias("monthly_revenue")
+        _nb_orders(), F.sum("amount").alias("monthly_revenue")
     )
     totals = ranking.running_total(
         months, "monthly_revenue", F.col("order_month").asc_nulls_first(), "cumulative_revenue"
@@ -69,7 +67,7 @@ def monthly_stats(facts: DataFrame) -> DataFrame:
 
 def status_performance(facts: DataFrame) -> DataFrame:
     """Rows, amounts, mean score and mean delay per order status."""
-    revenue = from_cents(F.sum("cents")).cast("double")
+    revenue = F.sum("amount").cast("double")
     return facts.groupBy("order_status").agg(
         _nb_orders(),
         (revenue / F.sum("n_rows").cast("double")).alias("avg_amount"),

@@ -10,8 +10,6 @@ from ..session import stored
 
 DEFAULT_SIZE = 20
 MAX_SIZE = 100
-# Pages that end within this many rows are read as a top-k; deeper ones by row number.
-TOP_K_ROWS = 100_000
 
 
 def mart_order(mart: str) -> list[Column]:
@@ -59,39 +57,56 @@ def number_rows(df: DataFrame, order: list[Column], out: str = "row_number") ->
     )
 
 
+def total_order(df: DataFrame, order: list[Column] | None = None) -> list[Column]:
+    """The order, or the first column's, with all columns as tie-breaks.
+
+    Rows that are equal in all columns stay without an order, and may: whichever of
+    them a page shows, it shows the same values.
+    """
+    return [*(order or []), *(F.col(f"`{c}`").asc_nulls_last() for c in df.columns)]
+
+
+class Pages:
+    """A table sorted and numbered once, from which any page is a range of numbers."""
+
+    def __init__(self, df: DataFrame, order: list[Column] | None = None, where: Column | None = None):
+        rows = df if where is None else df.where(where)
+        self.numbered = number_rows(rows, total_order(rows, order))
+        self.total = self.numbered.count()
+
+    def page(self, page: int = 1, page_size: int = DEFAULT_SIZE) -> Page:
+        """One page; a page past the end is empty."""
+        _check(page, page_size)
+        last = page * page_size
+        wanted = F.col("row_number").between(last - page_size + 1, last)
+        rows = self.numbered.where(wanted).orderBy("row_number").drop("row_number")
+        return Page(self.total, page, page_size, rows)
+
+
+def _check(page: int, page_size: int) -> None:
+    if page < 1:
+        raise ValueError(f"page must be at least 1, got {page}")
+    if not 1 <= page_size <= MAX_SIZE:
+        raise ValueError(f"page_size must be from 1 to {MAX_SIZE}, got {page_size}")
+
+
 def page(
     df: DataFrame,
     page: int = 1,
     page_size: int = DEFAULT_SIZE,
     order: list[Column] | None = None,
     where: Column | None = None,
-    top_k_rows: int = TOP_K_ROWS,
 ) -> Page:
-    """One page and the total row count; a page past the end is empty.
+    """One page and the total row count; ``where`` filters rows and total alike.
 
-    The default order is the first column. ``where`` filters rows and total alike.
+    The default order is by the columns from left to right. To read several pages,
+    make ``Pages`` once: the table is then sorted once.
     """
-    if page < 1:
-        raise ValueError(f"page must be at least 1, got {page}")
-    if not 1 <= page_size <= MAX_SIZE:
-        raise ValueError(f"page_size must be from 1 to {MAX_SIZE}, got {page_size}")
-    order = order or [F.col(df.columns[0]).asc_nulls_last()]
-    if where is not None:
-        df = df.where(where)
-    total = df.count()
-    offset = (page - 1) * page_size
-    if offset >= total:
-        rows = df.limit(0)
-    elif offset + page_size <= top_k_rows:
-        rows = df.orderBy(*order).offset(offset).limit(page_size)
-    else:
-        numbered = number_rows(df, order)
-        wanted = F.col("row_number").between(offset + 1, offset + page_size)
-        rows = numbered.where(wanted).orderBy("row_number").drop("row_number")
-    return Page(total, page, page_size, rows)
-
-
-def all_pages(df: DataFrame, order: list[Column], page_size: int = MAX_SIZE) -> DataFrame:
+    _check(page, page_size)
+    return Pages(df, order, where).page(page, page_size)
+
+
+def all_pages(df: DataFrame, order: list[Column] | None = None, page_size: int = MAX_SIZE) -> DataFrame:
     """The whole table with the number of the page each row is on."""
     number = F.ceil(F.col("row_number") / page_size).cast("int")
-    return number_rows(df, order).withColumn("page", number).drop("row_number")
+    return number_rows(df, total_order(df, order)).withColumn("page", number).drop("row_number")

@@ -18,12 +18,9 @@ class Rule:
     keep: Callable[[], Column]
 
 
-# Amounts from here on do not fit the money type; NaN and infinity compare as larger.
-TOO_LARGE = 1e16
-
-
-def _fits(amount: str) -> Column:
-    return F.col(amount) < F.lit(TOO_LARGE)
+def _number(amount: str) -> Column:
+    """NaN compares as larger than any number, and is none."""
+    return ~F.isnan(F.col(amount).cast("double"))
 
 
 # A comparison with null is null, so a row with a null amount or score is dropped.
@@ -31,11 +28,11 @@ def _fits(amount: str) -> Column:
 RULES: dict[str, list[Rule]] = {
     "order_items": [
         Rule("R1", "order_id is present", lambda: F.col("order_id").isNotNull()),
-        Rule("R2", "price is above 0", lambda: (F.col("price") > 0) & _fits("price")),
+        Rule("R2", "price is above 0", lambda: (F.col("price") > 0) & _number("price")),
         Rule(
             "R3",
             "freight is not negative",
-            lambda: (F.col("freight_value") >= 0) & _fits("freight_value"),
+            lambda: (F.col("freight_value") >= 0) & _number("freight_value"),
         ),
     ],
     "reviews": [
@@ -73,12 +70,10 @@ TYPED = {"order_items": typed_items, "reviews": typed_reviews, "orders": typed_o
 
 
 def valid(df: DataFrame, source: str) -> DataFrame:
-    """Typed rows of one source that pass all its rules, amounts held as decimals."""
+    """Typed rows of one source that pass all its rules."""
     df = TYPED[source](df)
     for rule in RULES[source]:
         df = df.where(rule.keep())
-    if source == "order_items":
-        df = df.withColumns({c: typing.money(c) for c in AMOUNTS})
     return df
 
 

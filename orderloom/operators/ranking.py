@@ -2,79 +2,23 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Rows that one task may rank by itself.
-SINGLE_TASK_ROWS = 1_000_000
-# Rows and number of the buckets of a larger table. With many more buckets the
-# search for the right one no longer compiles to machine code.
-BUCKET_ROWS = 250_000
-MAX_BUCKETS = 64
-# Tasks that share the rows of one tied value.
-TIE_SALTS = 64
-
-
-def _cut_points(df: DataFrame, value: str, buckets: int) -> list:
-    """The distinct quantiles of ``value`` that part it into ``buckets``, highest first."""
-    steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cuts = df.agg(F.percentile_approx(value, steps, 10 * buckets)).first()[0]
-    return sorted(set(cuts or []), reverse=True)
-
+from .paging import number_rows
 
-def _cuts_above(value: Column, cuts: list) -> Column:
-    """How many of the cuts, highest first, are above the value: a binary search."""
-    if not cuts:
-        return F.lit(0)
-    middle = len(cuts) // 2
-    below = middle + 1 + _cuts_above(value, cuts[middle + 1 :])
-    return F.when(value < F.lit(cuts[middle]), below).otherwise(_cuts_above(value, cuts[:middle]))
 
-
-def rank_descending(
-    df: DataFrame,
-    value: str,
-    out: str,
-    tie_break: str,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> DataFrame:
+def rank_descending(df: DataFrame, value: str, out: str) -> DataFrame:
     """``rank()`` by ``value`` descending, nulls last: ties share a rank and leave a gap.
 
-    A table of at most ``single_task_rows`` rows is ranked by one window. A larger
-    one is cut at quantiles into buckets that are ranked side by side and then
-    moved up by the number of rows in higher buckets. Each cut point has a bucket
-    of its own, so a value many rows share never has to be sorted.
-    ``df`` is read several times and should be stored (see ``session.stored``).
+    One plan for all sizes: a distributed sort numbers the rows, and the rank of a
+    value is the smallest number among its rows. That minimum is taken per task
+    before it is shuffled, and the join back is a plain one, which Spark splits
+    where many rows share a value, so no task has to hold all ties.
     """
-    n = df.count()
-    order = F.col(value).desc_nulls_last()
-    if n <= single_task_rows:
-        return df.withColumn(out, F.rank().over(Window.orderBy(order)))
-
-    buckets = max(8, min(MAX_BUCKETS, math.ceil(n / BUCKET_ROWS)))
-    cuts = _cut_points(df, value, buckets)
-    at_cut = F.col(value).isin(cuts).cast("int")
-    # Odd buckets hold one value each: all of it ranks 1 there, on any task.
-    bucket = F.when(F.col(value).isNull(), 2 * len(cuts) + 1).otherwise(
-        2 * _cuts_above(F.col(value), cuts) + at_cut
-    )
-    salt = F.when(F.col("_bucket") % 2 == 1, F.pmod(F.xxhash64(tie_break), TIE_SALTS)).otherwise(0)
-    placed = df.withColumn("_bucket", bucket).withColumn("_group", F.col("_bucket") * TIE_SALTS + salt)
-
-    # At most 2 * MAX_BUCKETS rows: one task, and small enough to broadcast.
-    higher = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("_bucket")
-        .agg(F.count("*").alias("_n"))
-        .select("_bucket", F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias("_higher"))
-    )
-    within = F.rank().over(Window.partitionBy("_group").orderBy(order))
-    return (
-        placed.withColumn("_within", within)
-        .join(F.broadcast(offsets), "_bucket")
-        .select(*df.columns, (F.col("_higher") + F.col("_within")).cast("int").alias(out))
-    )
+    numbered = number_rows(df, [F.col(value).desc_nulls_last()], "_number")
+    firsts = numbered.groupBy(F.col(value).alias("_value")).agg(F.min("_number").cast("int").alias(out))
+    same = F.col(value).eqNullSafe(F.col("_value"))
+    return numbered.join(firsts, same).select(*df.columns, out)
 
 
 def running_total(df: DataFrame, value: str, order: Column, out: str) -> DataFrame:

@@ -10,15 +10,16 @@ Without a hot key the plan is that of the plain join.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-# A key below this many rows is never worth splitting.
-MIN_HOT_ROWS = 100_000
+# Keys that one sketch keeps track of, at most (Spark's own limit is a million).
+MOST_TRACKED = 1 << 19
+# Shuffle partitions per slice of the keys; each slice has a sketch, merged by a task of its own.
+SLICE_PARTITIONS = 16
 # Hot means this many times the rows of an average shuffle partition, or more.
 HOT_PARTITIONS = 2
 
@@ -78,33 +79,41 @@ class HotKeys:
         return df.select(*columns, *(f"salt_{s}" for s in self.sides))
 
 
-def hot_keys(sides: Mapping[str, DataFrame], key: str, min_rows: int = MIN_HOT_ROWS) -> HotKeys:
+def hot_keys(sides: Mapping[str, DataFrame], key: str) -> HotKeys:
     """Find the hot values of ``key`` in each of ``sides``, which hold the rows to be joined.
 
     Rows a filter drops must not count: the other sides would be copied for them.
-    One pass over the key columns. The driver receives at most half as many keys
-    per side as there are shuffle partitions, since no more can be hot.
+    One pass over the key columns. Keys are cut into slices by a hash, so the sketches
+    of one side are merged by many tasks that share no key. The driver receives at
+    most half as many keys per side as there are shuffle partitions, since no more
+    can be hot.
     """
     first = next(iter(sides.values()))
     spark = first.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     limit = max(1, partitions // HOT_PARTITIONS)
     # The sketch may be off by 3.5 / tracked of all rows, far below a hot share.
-    tracked = min(1 << 20, 1 << max(10, (32 * partitions).bit_length()))
+    tracked = min(MOST_TRACKED, 1 << max(10, (32 * partitions).bit_length()))
+    slices = 1 + partitions // SLICE_PARTITIONS
     keys = [df.select(F.lit(s).alias("side"), F.col(key).alias("k")) for s, df in sides.items()]
     sketches = (
         reduce(DataFrame.union, keys)
         .where(F.col("k").isNotNull())
-        .groupBy("side")
-        .agg(F.count("*").alias("n"), F.expr(f"approx_top_k(k, {limit}, {tracked})").alias("top"))
+        .groupBy("side", F.pmod(F.xxhash64("k"), F.lit(slices)).alias("slice"))
+        .agg(F.count("*").alias("n"), F.expr(f"approx_top_k(k, {min(limit, tracked)}, {tracked})").alias("top"))
+    )
+    total = F.sum("n").over(Window.partitionBy("side"))  # one row per slice
+    share = F.col("count") / F.col("total") * partitions
+    found = (
+        sketches.select("side", total.alias("total"), "top")
+        .select("side", "total", F.inline("top").alias("item", "count"))
+        .where(share >= HOT_PARTITIONS)
+        .select("side", "item", F.ceil(share).cast("int").alias("splits"))
         .collect()
     )
     splits: dict[object, dict[str, int]] = {}
-    for row in sketches:
-        for value, count in row["top"]:
-            share = count / row["n"] * partitions
-            if share >= HOT_PARTITIONS and count >= min_rows:
-                splits.setdefault(value, {})[row["side"]] = math.ceil(share)
+    for side, value, count in found:
+        splits.setdefault(value, {})[side] = count
     if not splits:
         return HotKeys(key)
     names = tuple(s for s in sides if any(s in by_side for by_side in splits.values()))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import dates
+from ..functions.typing import exact
 from .enrich import SCORES
 from .paging import mart_order
 
@@ -51,8 +52,8 @@ def status_score_matrix(reviews: DataFrame) -> DataFrame:
 
 def revenue_kpis(months: DataFrame) -> DataFrame:
     """Total revenue and total rows."""
-    cents = F.sum(F.col("monthly_revenue").cast("decimal(38,2)"))
-    return months.agg(cents.cast("double").alias("total_revenue"), F.sum("nb_orders").alias("nb_orders"))
+    revenue = F.sum(exact(F.col("monthly_revenue")))
+    return months.agg(revenue.cast("double").alias("total_revenue"), F.sum("nb_orders").alias("nb_orders"))
 
 
 def chart_series(months: DataFrame, statuses: DataFrame) -> DataFrame:

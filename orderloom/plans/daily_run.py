@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from orderloom.functions.typing import SCALE
 from orderloom.operators import enrich, marts, quality
 from orderloom.session import build_session, stored
 from orderloom.sources import csv, daily
@@ -28,16 +29,24 @@ MARTS = (
     "dm_review_distribution",
 )
 # Only review comments hold line breaks; the other files stay splittable.
-MULTI_LINE = {"reviews"}
+MULTI_LINE = frozenset({"reviews"})
+# Scores are read as doubles, since files may spell them 4.0; they become whole later.
+TYPES = {
+    "order_items": {"price": "double", "freight_value": "double"},
+    "reviews": {"review_score": "double"},
+    "orders": {},
+}
 
 
 @dataclass(frozen=True)
 class Config:
     """Where a run reads and writes. ``csv`` maps each of SOURCES to a path.
 
-    ``schemas`` types raw columns while the CSV is read, so that rules on amounts
-    reach the raw Parquet scan; ``infer`` finds the types with a pass of its own.
-    With neither, the raw layer keeps the text of each cell.
+    ``types`` gives raw columns a type while the CSV is read, so that rules on
+    amounts reach the raw Parquet scan; other columns stay text. ``infer`` finds all
+    types with a pass of its own, and a whole schema of a source in ``schemas`` goes
+    before both. ``multi_line`` names the sources with line breaks inside quotes,
+    whose files cannot be split. ``scale`` is the number of decimals that sums keep.
     """
 
     csv: dict[str, str]
@@ -48,13 +57,21 @@ class Config:
     silver_files: int | None = None
     schemas: dict[str, StructType] = field(default_factory=dict)
     infer: bool = False
+    types: dict[str, dict[str, str]] = field(default_factory=lambda: TYPES)
+    multi_line: frozenset[str] = MULTI_LINE
+    scale: int = SCALE
 
 
 def ingest(spark: SparkSession, cfg: Config, run_date: date) -> None:
     """Copy each CSV file to its day of the raw layer."""
     for name in SOURCES:
         scan = csv.read_csv(
-            spark, cfg.csv[name], cfg.schemas.get(name), cfg.infer, multi_line=name in MULTI_LINE
+            spark,
+            cfg.csv[name],
+            cfg.schemas.get(name),
+            cfg.infer,
+            multi_line=name in cfg.multi_line,
+            types=None if cfg.infer else cfg.types.get(name),
         )
         daily.write_day(scan, cfg.raw, name, run_date, cfg.raw_files)
 
@@ -71,9 +88,9 @@ def refine(spark: SparkSession, cfg: Config, run_date: date) -> None:
     daily.write_day(joined, cfg.silver, "orders_enriched", run_date, cfg.silver_files)
 
     rows = daily.read_day(spark, cfg.silver, "orders_enriched", run_date)
-    sellers = marts.seller_ranking(enrich.row_facts(rows, "price", "seller_id"))
+    sellers = marts.seller_ranking(enrich.row_facts(rows, "price", "seller_id", scale=cfg.scale))
     daily.write_day(sellers, cfg.silver, "seller_ranking", run_date, cfg.silver_files)
-    months = marts.monthly_stats(enrich.row_facts(rows, "total_amount", "order_purchase_timestamp"))
+    months = marts.monthly_stats(enrich.row_facts(rows, "total_amount", "order_purchase_timestamp", scale=cfg.scale))
     daily.write_day(months, cfg.silver, "monthly_stats", run_date, cfg.silver_files)
 
 
@@ -84,7 +101,7 @@ def publish(spark: SparkSession, cfg: Config, run_date: date) -> None:
     groups = stored(
         enrich.by_status_and_delay(
             enrich.row_facts(
-                silver["orders_enriched"], "total_amount", "order_status", "delivery_delay_days"
+                silver["orders_enriched"], "total_amount", "order_status", "delivery_delay_days", scale=cfg.scale
             )
         )
     )
@@ -105,9 +122,13 @@ def run_report(spark: SparkSession, cfg: Config, run_date: date) -> DataFrame:
         )
 
     raw = {name: daily.read_day(spark, cfg.raw, name, run_date) for name in SOURCES}
-    rules = quality.quality_funnel(raw["order_items"], raw["reviews"], raw["orders"])
-    parts = [count(df, "raw", name) for name, df in raw.items()]
-    parts.append(rules.select(F.lit("rule").alias("stage"), F.col("rule").alias("name"), F.col("n_kept").alias("n_rows")))
+    parts = []
+    for name, df in raw.items():
+        # The first rule of a source is given all its rows, so one pass counts both.
+        rules = quality.funnel(df, name).withColumn("is_first", F.col("rule") == quality.RULES[name][0].code)
+        read = F.struct(F.lit("raw").alias("stage"), F.col("source").alias("name"), F.col("n_in").alias("n_rows"))
+        kept = F.struct(F.lit("rule").alias("stage"), F.col("rule").alias("name"), F.col("n_kept").alias("n_rows"))
+        parts.append(rules.select(F.inline(F.when(F.col("is_first"), F.array(read, kept)).otherwise(F.array(kept)))))
     parts += [count(daily.read_day(spark, cfg.silver, name, run_date), "silver", name) for name in SILVER]
     parts += [count(cfg.marts.read(spark, name), "mart", name) for name in MARTS]
     return reduce(DataFrame.unionByName, parts)
@@ -131,11 +152,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--raw-files", type=int)
     parser.add_argument("--silver-files", type=int)
     parser.add_argument("--infer", action="store_true", help="find column types, with one more pass")
+    parser.add_argument("--single-line", action="store_true", help="no line breaks inside quotes: split all files")
+    parser.add_argument("--scale", type=int, default=SCALE, choices=range(7), help="decimals that sums of amounts keep")
     args = parser.parse_args(argv)
     tables = ParquetTables(args.marts) if args.marts else JdbcTables.from_environment()
     cfg = Config(
         {"order_items": args.items, "reviews": args.reviews, "orders": args.orders},
         args.raw, args.silver, tables, args.raw_files, args.silver_files, infer=args.infer,
+        multi_line=frozenset() if args.single_line else MULTI_LINE, scale=args.scale,
     )
     spark = build_session("orderloom daily run")
     run_day(spark, cfg, args.date)

@@ -13,11 +13,13 @@ def read_csv(
     schema: T.StructType | None = None,
     infer: bool = False,
     multi_line: bool = False,
+    types: dict[str, str] | None = None,
 ) -> DataFrame:
     """Scan CSV with a header line.
 
     Without a schema all columns are text, which needs no pass over the data;
-    ``infer`` adds that pass. ``multi_line`` allows line breaks inside quotes, but
+    ``infer`` adds that pass. ``types`` gives columns a type by name, for which only
+    the header line is read; a cell that does not parse is null. ``multi_line`` allows line breaks inside quotes, but
     then a file cannot be split: use it for many files of moderate size.
     """
     reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
@@ -25,6 +27,9 @@ def read_csv(
         reader = reader.schema(schema)
     elif infer:
         reader = reader.option("inferSchema", True)
+    elif types:
+        names = reader.csv(path).columns
+        reader = reader.schema(T.StructType([T.StructField(n, T.DataType.fromDDL(types.get(n, "string"))) for n in names]))
     return reader.csv(path)
 
 

@@ -10,25 +10,25 @@ PARTITION = ("year", "month", "day")
 
 
 def stamped(df: DataFrame, run_date: date) -> DataFrame:
-    """Add the run day as three int columns."""
+    """Add the run day as three int columns, as reading a whole table does."""
     return df.withColumns({p: F.lit(getattr(run_date, p)) for p in PARTITION})
 
 
+def day_path(base: str, table: str, run_date: date) -> str:
+    return "/".join([base, table, *(f"{p}={getattr(run_date, p)}" for p in PARTITION)])
+
+
 def write_day(df: DataFrame, base: str, table: str, run_date: date, files: int | None = None) -> None:
-    """Replace one day of a table and leave its other days alone.
+    """Replace one day of a table, also with no rows at all, and leave its other days alone.
 
-    ``files`` sets the number of files; left out, every task writes its own and no
-    shuffle is added.
+    The day's own folder is written, so the run day stands in its path and not in
+    its files. ``files`` sets the number of files; left out, every task writes its
+    own and no shuffle is added.
     """
-    day = stamped(df, run_date)
+    day = df.drop(*PARTITION)
     if files:
         day = day.repartition(files)
-    (
-        day.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITION)
-        .parquet(f"{base}/{table}")
-    )
+    day.write.mode("overwrite").parquet(day_path(base, table, run_date))
 
 
 def read_day(spark: SparkSession, base: str, table: str, run_date: date) -> DataFrame:
@@ -37,5 +37,4 @@ def read_day(spark: SparkSession, base: str, table: str, run_date: date) -> Data
     Reading the day's folder lists no other day, and a day nobody wrote is an error
     and not an empty table.
     """
-    leaf = "/".join(f"{p}={getattr(run_date, p)}" for p in PARTITION)
-    return spark.read.parquet(f"{base}/{table}/{leaf}")
+    return spark.read.parquet(day_path(base, table, run_date))

@@ -3,24 +3,59 @@
 from __future__ import annotations
 
 import os
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cleaning
+from ..session import stored
+
+Check = Callable[[DataFrame], None]
 
 
 @dataclass(frozen=True)
 class ParquetTables:
     base: str
 
-    def replace(self, df: DataFrame, table: str) -> None:
-        df.write.mode("overwrite").parquet(f"{self.base}/{table}")
+    def replace(self, df: DataFrame, table: str, check: Check | None = None) -> None:
+        """Write beside the table, check what was written, then put it in the table's place.
+
+        A write or check that fails leaves the table as it was.
+        """
+        spark = df.sparkSession
+        staged = f"{self.base}/.{table}-{uuid.uuid4().hex}"
+        try:
+            df.write.parquet(staged)
+            if check:
+                check(spark.read.schema(df.schema).parquet(staged))
+        except Exception:
+            _remove(spark, staged)
+            raise
+        _remove(spark, f"{self.base}/{table}")
+        files, path = _files(spark, staged)
+        if not files.rename(path, _path(spark, f"{self.base}/{table}")):
+            raise OSError(f"cannot move {staged} to {self.base}/{table}")
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.parquet(f"{self.base}/{table}")
 
 
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _files(spark: SparkSession, path: str):
+    at = _path(spark, path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    files, at = _files(spark, path)
+    files.delete(at, True)
+
+
 @dataclass(frozen=True)
 class JdbcTables:
     """Tables of a database. Its driver jar must be on the class path.
@@ -46,7 +81,10 @@ class JdbcTables:
         properties = {key: os.environ[name] for key, name in names.items() if name in os.environ}
         return cls(os.environ["JDBC_URL"], properties, **options)
 
-    def replace(self, df: DataFrame, table: str) -> None:
+    def replace(self, df: DataFrame, table: str, check: Check | None = None) -> None:
+        if check:
+            df = stored(df)  # what is checked is what is written
+            check(df)
         options = {
             "batchsize": str(self.batch_size),
             "numPartitions": str(self.connections),
@@ -66,5 +104,4 @@ ORDERS_TABLE = "orders"
 
 def replace_orders(df: DataFrame, tables: ParquetTables | JdbcTables) -> None:
     """Replace the cleaned orders table, or raise and leave it if the rows break its contract."""
-    cleaning.check_contract(df, "order_id", ["customer_id", "order_status"])
-    tables.replace(df, ORDERS_TABLE)
+    tables.replace(df, ORDERS_TABLE, lambda rows: cleaning.check_contract(rows, "order_id", ["customer_id", "order_status"]))

@@ -7,7 +7,11 @@ rule of the package has something to reject.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+
+# An order whose items cost more than 1e16, and the orders that are hot on one side.
+HUGE_ORDER, HOT_ITEMS, HOT_REVIEWS = 7, 33, 34
 
 
 def _view(spark: SparkSession, sf_dir: str, table: str, *select: str, where: str = "true") -> DataFrame:
@@ -20,11 +24,24 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
         "case when l_partkey % 97 = 0 then null else l_orderkey end as order_id",
         "l_linenumber as order_item_id",
         "l_suppkey as seller_id",
-        "case when l_quantity = 1 then 0D when l_quantity = 2 then null else l_extendedprice end as price",
+        f"""case when l_quantity = 1 then 0D when l_quantity = 2 then null when l_quantity = 3 then l_extendedprice + 0.125D
+                 when l_orderkey = {HUGE_ORDER} then 2e16D else cast(l_extendedprice as double) end as price""",
         "rint(l_tax * 100) - 1 as freight_value",
     )
 
 
+def hot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All items, those on the first two lines of any order moved to one order."""
+    moved = F.when(F.col("order_item_id") <= 2, HOT_ITEMS).otherwise(F.col("order_id"))
+    return items(spark, sf_dir).withColumn("order_id", moved)
+
+
+def hot_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All reviews, those with an even id moved to one order."""
+    moved = F.when(F.col("review_id") % 2 == 0, HOT_REVIEWS).otherwise(F.col("order_id"))
+    return reviews(spark, sf_dir).withColumn("order_id", moved)
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(
         spark, sf_dir, "events",

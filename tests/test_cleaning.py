@@ -18,7 +18,9 @@ def raw(spark, rows):
 
 
 def cleaned(spark, rows):
-    return sorted(tuple(r) for r in cleaning.clean_orders(raw(spark, rows)).collect())
+    got = cleaning.clean_orders(raw(spark, rows))
+    assert got.columns == cleaning.COLUMNS  # whichever dates the input has
+    return sorted(tuple(r)[:4] for r in got.collect())
 
 
 TIME = "2017-10-02 10:56:33"
@@ -76,7 +78,7 @@ def test_clean_from_csv(spark, tmp_path):
     tables = ParquetTables(str(tmp_path / "tables"))
     report = clean_orders.run_clean(spark, [str(tmp_path / "2.csv"), str(tmp_path / "1.csv")], tables)
     assert tuple(report.first()) == (5, 2, 3)
-    rows = sorted(tuple(r) for r in tables.read(spark, ORDERS_TABLE).collect())
+    rows = sorted(tuple(r)[:4] for r in tables.read(spark, ORDERS_TABLE).collect())
     assert rows == [("b", "c", "created", TIME), ("c", "c", "invoiced", None)]
 
 

@@ -25,22 +25,23 @@ def test_amounts_from_text(spark):
     assert column(df, typing.amount(df, "s")) == [None, 1.5, None, 1000.0]
 
 
-def test_money_is_exact_and_rejects_nan(spark):
-    df = spark.createDataFrame([(0.1,), (12.345,), (float("nan"),), (1e300,), (None,)], "v double")
-    expected = [Decimal("0.10"), Decimal("12.35"), None, None, None]
-    assert column(df, typing.money("v")) == expected
+def test_exact_amounts(spark):
+    df = spark.createDataFrame([(0.1,), (12.345,), (2e16,), (1e25,), (None,)], "v double")
+    expected = [Decimal("0.1"), Decimal("12.345"), Decimal(2 * 10**16), Decimal(10**25), None]
+    assert column(df, typing.exact(F.col("v"))) == expected
+    assert column(df, typing.exact(F.col("v"), 2))[1] == Decimal("12.35")
 
 
-def test_cents_round_trip(spark):
-    df = spark.createDataFrame([(Decimal("9007199254740993.01"),), (Decimal("-0.01"),)], "v decimal(18,2)")
-    assert column(df, typing.cents(F.col("v"))) == [900719925474099301, -1]
-    assert column(df, typing.from_cents(typing.cents(F.col("v")))) == column(df, F.col("v"))
+@pytest.mark.parametrize("value", [1e33, float("inf")])
+def test_an_amount_that_does_not_fit_is_an_error(spark, value):
+    df = spark.createDataFrame([(value,)], "v double")
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|infinite"):
+        df.select(typing.exact(F.col("v"))).collect()
 
 
-def test_cents_overflow_is_an_error(spark):
-    df = spark.createDataFrame([(2**62,), (2**62,)], "cents bigint")
-    with pytest.raises(Exception, match="ARITHMETIC_OVERFLOW"):
-        df.agg(F.sum("cents")).collect()
+def test_amounts_times_counts(spark):
+    df = spark.createDataFrame([(0.125, 10**18), (3.001, 7)], "v double, n bigint")
+    assert column(df, typing.times(typing.exact(F.col("v")), F.col("n"))) == [Decimal(125 * 10**15), Decimal("21.007")]
 
 
 def test_timestamps_from_text(spark):

@@ -21,11 +21,10 @@ def sellers(spark):
 ORDER = "dm_seller_performance"
 
 
-@pytest.mark.parametrize("top_k_rows", [paging.TOP_K_ROWS, 0], ids=["top-k", "row numbers"])
-def test_pages(sellers, top_k_rows):
-    seen = []
+def test_pages(sellers):
+    seen, pages = [], paging.Pages(sellers, paging.mart_order(ORDER))
     for number, size in [(1, 20), (2, 20), (3, 5), (4, 0)]:
-        page = paging.page(sellers, number, 20, paging.mart_order(ORDER), top_k_rows=top_k_rows)
+        page = pages.page(number, 20)
         ids = [r["seller_id"] for r in page.data.collect()]
         assert (page.total, len(ids)) == (45, size)
         seen += ids
@@ -38,6 +37,14 @@ def test_page_defaults(sellers):
     assert [r["seller_id"] for r in page.data.collect()] == list(range(20))
 
 
+def test_pages_in_the_default_order_hold_each_row_once(spark):
+    """The first column repeats, and some rows are equal altogether."""
+    df = spark.range(1000, numPartitions=6).selectExpr("id % 3 as a", "id % 50 as b", "cast(null as string) as c")
+    pages = paging.Pages(df)
+    got = [tuple(r) for n in range(1, 12) for r in pages.page(n, 100).data.collect()]
+    assert got == sorted((i % 3, i % 50, None) for i in range(1000))
+
+
 def test_page_filter_applies_to_rows_and_total(sellers):
     page = paging.page(sellers, 2, 5, where=F.col("nb_orders") == 3)
     assert (page.total, [r["seller_id"] for r in page.data.collect()]) == (11, [23, 27, 31, 35, 39])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from orderloom.operators import quality
 
 ITEMS = "order_id string, seller_id string, price double, freight_value double"
@@ -23,6 +21,8 @@ def items(spark):
             ("g", "s", 0.01, None),
             ("h", "s", 0.01, nan),
             ("i", "s", 0.01, 0.0),
+            ("j", "s", 2e16, 3e16),
+            ("k", "s", 0.004, 12.345),
         ],
         ITEMS,
     )
@@ -30,7 +30,9 @@ def items(spark):
 
 def test_item_rules(spark):
     rows = quality.valid(items(spark), "order_items").collect()
-    assert [(r["order_id"], r["price"], r["freight_value"]) for r in rows] == [("i", Decimal("0.01"), Decimal("0.00"))]
+    assert [(r["order_id"], r["price"], r["freight_value"]) for r in rows] == [
+        ("e", float("inf"), 1.0), ("i", 0.01, 0.0), ("j", 2e16, 3e16), ("k", 0.004, 12.345),
+    ]
 
 
 def test_review_rule(spark):
@@ -52,9 +54,9 @@ def test_order_rule_keeps_status_text(spark):
 def test_funnel_counts_each_rule(spark):
     rows = quality.funnel(items(spark), "order_items").collect()
     assert [tuple(r) for r in rows] == [
-        ("order_items", "R1", 10, 9),
-        ("order_items", "R2", 9, 4),
-        ("order_items", "R3", 4, 1),
+        ("order_items", "R1", 12, 11),
+        ("order_items", "R2", 11, 7),
+        ("order_items", "R3", 7, 4),
     ]
 
 

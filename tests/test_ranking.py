@@ -6,11 +6,10 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from orderloom.operators import ranking
-from orderloom.session import stored
 
 
-def ranked(df, **options):
-    got = ranking.rank_descending(stored(df), "v", "r", "k", **options)
+def ranked(df):
+    got = ranking.rank_descending(df, "v", "r")
     return sorted((r["k"], r["r"]) for r in got.collect())
 
 
@@ -21,8 +20,7 @@ def expected(df):
 
 def test_ties_share_a_rank(spark):
     df = spark.createDataFrame([("a", 10), ("b", 10), ("c", 5)], "k string, v int")
-    for limit in (0, 10):
-        assert ranked(df, single_task_rows=limit) == [("a", 1), ("b", 1), ("c", 3)]
+    assert ranked(df) == [("a", 1), ("b", 1), ("c", 3)]
 
 
 VALUES = {
@@ -38,28 +36,26 @@ VALUES = {
 
 
 @pytest.mark.parametrize("value", VALUES.values(), ids=VALUES)
-def test_bucketed_rank_is_the_rank(spark, value):
+def test_distributed_rank_is_the_rank(spark, value):
     df = spark.range(1000, numPartitions=5).selectExpr("id as k", f"{value} as v")
-    assert ranked(df, single_task_rows=0) == expected(df)
+    assert ranked(df) == expected(df)
 
 
-def test_bucketed_rank_of_no_rows(spark):
+def test_distributed_rank_of_no_rows(spark):
     df = spark.range(0).selectExpr("id as k", "cast(id as decimal(18,2)) as v")
-    assert ranked(df, single_task_rows=0) == []
+    assert ranked(df) == []
 
 
-def test_many_rows_are_not_ranked_in_one_task(spark, capsys):
-    df = stored(spark.range(1000).selectExpr("id as k", "cast(id % 40 as decimal(18,2)) as v"))
-    ranking.rank_descending(df, "v", "r", "k", single_task_rows=999).explain()
+def test_rank_needs_no_window(spark, capsys):
+    df = spark.range(1000).selectExpr("id as k", "cast(id % 40 as decimal(18,2)) as v")
+    ranking.rank_descending(df, "v", "r").explain()
     plan = capsys.readouterr().out
-    rank_window = next(line for line in plan.splitlines() if "Window" in line and "rank(" in line)
-    assert "_group" in rank_window.split("[")[-2]
+    assert "rank(" not in plan and "partial_min(" in plan
 
 
 def test_rank_type_and_columns(spark):
-    df = stored(spark.createDataFrame([("a", 10)], "k string, v int"))
-    for limit in (0, 10):
-        assert ranking.rank_descending(df, "v", "r", "k", single_task_rows=limit).dtypes[-1] == ("r", "int")
+    df = spark.createDataFrame([("a", 10)], "k string, v int")
+    assert ranking.rank_descending(df, "v", "r").dtypes == [("k", "string"), ("v", "int"), ("r", "int")]
 
 
 def test_running_total_with_null_month_first(spark):

@@ -47,6 +47,36 @@ def test_csv_write_keeps_edge_space(spark, tmp_path):
     assert {tuple(r) for r in back.collect()} == {tuple(r) for r in df.collect()}
 
 
+def test_a_day_is_replaced_by_nothing(spark, tmp_path):
+    base = str(tmp_path)
+    for rows in (5, 0):
+        daily.write_day(spark.range(rows), base, "t", DAY1)
+        daily.write_day(spark.range(3), base, "t", DAY2)
+    assert daily.read_day(spark, base, "t", DAY1).count() == 0
+    assert daily.read_day(spark, base, "t", DAY1).columns == ["id"]
+    assert daily.read_day(spark, base, "t", DAY2).count() == 3
+
+
+def test_types_by_name(spark, tmp_path):
+    (tmp_path / "items.csv").write_text("order_id,price,note\n007,1.5,x\n008,bad,y\n")
+    df = csv.read_csv(spark, str(tmp_path / "items.csv"), types={"price": "double"})
+    assert df.dtypes == [("order_id", "string"), ("price", "double"), ("note", "string")]
+    assert [tuple(r) for r in df.collect()] == [("007", 1.5, "x"), ("008", None, "y")]
+
+
+def test_a_failed_replacement_leaves_the_table(spark, tmp_path):
+    tables = ParquetTables(str(tmp_path))
+    tables.replace(spark.range(3), "t")
+
+    def refuse(rows):
+        raise ValueError(rows.count())
+
+    with pytest.raises(ValueError, match="5"):
+        tables.replace(spark.range(5), "t", refuse)
+    assert tables.read(spark, "t").count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
 def test_a_day_is_replaced_alone(spark, tmp_path):
     base = str(tmp_path)
     daily.write_day(spark.range(3), base, "t", DAY1)
@@ -140,7 +170,7 @@ def test_typed_raw_layer(spark, tmp_path):
         cfg = replace(config(tmp_path), raw=str(folder / "raw"), silver=str(folder / "silver"), marts=ParquetTables(str(folder / "marts")), **options)
         daily_run.run_day(spark, cfg, DAY1)
         kind = dict(daily.read_day(spark, cfg.raw, "order_items", DAY1).dtypes)["price"]
-        assert kind == ("double" if options else "string")
+        assert kind == "double"
         got = [sorted(map(str, cfg.marts.read(spark, m).collect())) for m in daily_run.MARTS]
         found = found or got
         assert got == found
