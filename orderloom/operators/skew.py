@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 # Keys that one sketch keeps track of, at most (Spark's own limit is a million).
 MOST_TRACKED = 1 << 19
@@ -83,8 +83,8 @@ def hot_keys(sides: Mapping[str, DataFrame], key: str) -> HotKeys:
     """Find the hot values of ``key`` in each of ``sides``, which hold the rows to be joined.
 
     Rows a filter drops must not count: the other sides would be copied for them.
-    One pass over the key columns. Keys are cut into slices by a hash, so the sketches
-    of one side are merged by many tasks that share no key. The driver receives at
+    Two passes over the key columns: rows are counted, then keys are cut into slices by a hash,
+    so the sketches of one side are merged by many tasks that share no key. The driver receives at
     most half as many keys per side as there are shuffle partitions, since no more
     can be hot.
     """
@@ -96,17 +96,15 @@ def hot_keys(sides: Mapping[str, DataFrame], key: str) -> HotKeys:
     tracked = min(MOST_TRACKED, 1 << max(10, (32 * partitions).bit_length()))
     slices = 1 + partitions // SLICE_PARTITIONS
     keys = [df.select(F.lit(s).alias("side"), F.col(key).alias("k")) for s, df in sides.items()]
-    sketches = (
-        reduce(DataFrame.union, keys)
-        .where(F.col("k").isNotNull())
-        .groupBy("side", F.pmod(F.xxhash64("k"), F.lit(slices)).alias("slice"))
-        .agg(F.count("*").alias("n"), F.expr(f"approx_top_k(k, {min(limit, tracked)}, {tracked})").alias("top"))
+    rows = reduce(DataFrame.union, keys).where(F.col("k").isNotNull())
+    totals = {side: n for side, n in rows.groupBy("side").count().collect()}
+    sketches = rows.groupBy("side", F.pmod(F.xxhash64("k"), F.lit(slices)).alias("slice")).agg(
+        F.expr(f"approx_top_k(k, {min(limit, tracked)}, {tracked})").alias("top")
     )
-    total = F.sum("n").over(Window.partitionBy("side"))  # one row per slice
-    share = F.col("count") / F.col("total") * partitions
+    total = reduce(lambda c, s: c.when(F.col("side") == s, totals[s]), totals, F.when(F.lit(False), 0))
+    share = F.col("count") / total * partitions
     found = (
-        sketches.select("side", total.alias("total"), "top")
-        .select("side", "total", F.inline("top").alias("item", "count"))
+        sketches.select("side", F.inline("top").alias("item", "count"))
         .where(share >= HOT_PARTITIONS)
         .select("side", "item", F.ceil(share).cast("int").alias("splits"))
         .collect()
