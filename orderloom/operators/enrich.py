@@ -55,15 +55,23 @@ def review_counts(reviews: DataFrame) -> DataFrame:
     )
 
 
-def _blocks(copies: Column) -> Column:
-    return F.ceil(copies / BLOCK)
+def _unfolded(counts: DataFrame) -> DataFrame:
+    """Review counts as rows of a score and up to ``BLOCK`` copies.
 
-
-def _scores_and_copies() -> Column:
-    """The scores of an order with their counts, or one null score without a review."""
-    given = F.array(*[F.struct(F.lit(s).alias("score"), F.col(n).alias("copies")) for s, n in zip(SCORES, PER_SCORE)])
-    none = F.array(F.struct(F.lit(None).cast("int").alias("score"), F.lit(1).cast("bigint").alias("copies")))
-    return F.when(F.col(PER_SCORE[0]).isNull(), none).otherwise(given)
+    At most one row per order, score and block, made before the join, so an item row
+    carries neither counts nor arrays. A slice without any count keeps one row with
+    no copies: its order does have reviews, in another slice.
+    """
+    given = F.filter(
+        F.array(*[F.struct(F.lit(s).alias("score"), F.col(n).alias("copies")) for s, n in zip(SCORES, PER_SCORE)]),
+        lambda r: r["copies"] > 0,
+    )
+    none = F.array(F.struct(F.lit(None).cast("int").alias("score"), F.lit(0).cast("bigint").alias("copies")))
+    rest = [c for c in counts.columns if c not in PER_SCORE]
+    rows = counts.select(*rest, F.inline(F.when(F.size(given) > 0, given).otherwise(none)))
+    block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.ceil(F.col("copies") / BLOCK), F.lit(1)) - 1))
+    in_block = F.least(F.lit(BLOCK), F.col("copies") - F.col("_block") * BLOCK).cast("int")
+    return rows.withColumn("_block", block).select(*rest, F.col("score").alias("_score"), in_block.alias("_copies"))
 
 
 def orders_enriched(
@@ -80,21 +88,15 @@ def orders_enriched(
     # Rows are copied to the review salts only once they are known to have an order.
     rows, copies = hot.only("items", "orders"), hot.only("reviews")
     ordered = rows.spread(items, "items").join(rows.spread(orders, "orders"), rows.join_on)
-    joined = copies.spread(ordered).join(
-        hot.spread(counts, "reviews", counts=PER_SCORE), hot.join_on, "left"
-    )
+    unfolded = _unfolded(hot.spread(counts, "reviews", counts=PER_SCORE))
+    joined = copies.spread(ordered).join(unfolded, hot.join_on, "left")
     if "reviews" in hot.sides:
         # An item without reviews was copied to every review salt: keep one.
-        joined = joined.where((F.col("salt_reviews") == 0) | F.col(PER_SCORE[0]).isNotNull())
+        joined = joined.where((F.col("_copies") > 0) | F.col("_copies").isNull() & (F.col("salt_reviews") == 0))
     item_columns = [c for c in items.columns if c != KEY]
     order_columns = [c for c in orders.columns if c != KEY]
-    block = F.explode(F.sequence(F.lit(0).cast("bigint"), _blocks(F.col("_r.copies")) - 1))
-    in_block = F.least(F.lit(BLOCK), F.col("_r.copies") - F.col("_block") * BLOCK).cast("int")
     return (
-        joined.withColumn("_r", F.explode(_scores_and_copies()))
-        .where(F.col("_r.copies") > 0)
-        .withColumn("_block", block)
-        .withColumn("review_score", F.explode(F.array_repeat(F.col("_r.score"), in_block)))
+        joined.withColumn("review_score", F.explode(F.array_repeat("_score", F.coalesce("_copies", F.lit(1)))))
         .select(
             KEY,
             *item_columns,
