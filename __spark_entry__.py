@@ -298,6 +298,15 @@ def daily_run(spark, sf):
     return cfg.marts.read(spark, "dm_order_status_performance")
 
 
+def command_line_run(spark, sf):
+    """A run started with command-line arguments, in the session there is."""
+    cfg = _config(spark, sf)
+    files = {"items": cfg.csv["order_items"], "reviews": cfg.csv["reviews"], "orders": cfg.csv["orders"]}
+    paths = files | {"raw": cfg.raw, "silver": cfg.silver, "marts": cfg.marts.base, "date": RUN_DATE.isoformat()}
+    daily_plan.main([part for name, value in paths.items() for part in (f"--{name}", value)])
+    return cfg.marts.read(spark, "dm_order_status_performance")
+
+
 def daily_run_report(spark, sf):
     cfg = _config(spark, sf)
     daily_plan.run_day(spark, cfg, RUN_DATE)
@@ -313,7 +322,7 @@ QUERIES: dict[str, Query] = {
         pages_cover_table, pages_default_order, top_sellers, seller_scatter, status_share, score_histogram,
         status_score_matrix, revenue_kpis, chart_series, month_display,
         orders_clean, orders_clean_few_dates, clean_report, orders_clean_table, csv_clean_report,
-        csv_roundtrip, raw_roundtrip, empty_day_roundtrip, silver_roundtrip, mart_roundtrip, daily_run, daily_run_report,
+        csv_roundtrip, raw_roundtrip, empty_day_roundtrip, silver_roundtrip, mart_roundtrip, daily_run, command_line_run, daily_run_report,
     )
 } | {
     "page_sellers": _paged("dm_seller_performance", 2),

@@ -234,6 +234,7 @@ UNION ALL SELECT 'seller_ranking', (SELECT COUNT(*) FROM sellers)
 UNION ALL SELECT 'monthly_stats', (SELECT COUNT(DISTINCT COALESCE(
   CAST(date_trunc('month', order_purchase_timestamp) AS VARCHAR), 'none')) FROM enriched)""",
     "mart_roundtrip": f"WITH {SELLERS} SELECT * FROM sellers",
+    "command_line_run": f"WITH {STATUSES} SELECT * FROM statuses",
     "daily_run": f"WITH {STATUSES} SELECT * FROM statuses",
     "daily_run_report": f"""WITH {SELLERS}, n AS (
   SELECT (SELECT COUNT(*) FROM enriched) AS joined, (SELECT COUNT(*) FROM sellers) AS sellers,
