@@ -8,16 +8,18 @@
    (1 - 0.75^4)^32 = 5e-6.
 3. Stars: the members of a bucket are paired with the bucket's smallest class. Linked pairs are united
    (connected components), which settles nearly all of a large group at a cost linear in its size.
-4. The rest, exactly: a bucket that still holds several components is dealt out as pairs of blocks of at
-   most ``BLOCK`` members. One task compares the signatures of two blocks; pairs of different components whose
-   estimated similarity, corrected for chance agreement of low bits, reaches ``SLACK`` below the threshold
-   become candidates. (The estimate has a standard error of 0.045 at 0.75, so the slack is five of them.)
-   They are confirmed like the stars, and the components of all links are taken again.
-
-Nothing is capped: a pair that shares a bucket is either in one component already or compared. A link counts
-if 100 * intersection >= 75 * union of the full sets. Classes, links and components are tables in the
-shared folder. Rows with an equal id are taken as they are; a null id forms groups like any other but is
-never a group's name unless it is alone. Texts without words are linked with nothing.
+4. The rest, exactly: a bucket that still holds several components is dealt out as pairs of blocks of about
+   ``BLOCK`` members. One task compares the signatures of two blocks, leaving out pairs that share an earlier
+   bucket. Members with a partner in another component whose estimated similarity, corrected for chance
+   agreement of low bits, reaches ``SLACK`` below the threshold are looked at again: their whole sets meet by
+   bucket, in pairs of blocks of about ``SET_BLOCK``, and a task counts all intersections of two blocks at once.
+   It returns links that join components, at most one less than it has members. (The estimate has a
+   standard error of 0.04 at 0.75, so the slack is five of them.) Then the components of all links are taken.
+
+Nothing is capped and no pairs are written out: a pair that shares a bucket is either in one component already
+or compared. A link counts if 100 * intersection >= 75 * union of the full sets. Classes, links and components
+are tables in the shared folder. Rows with an equal id are taken as they are; a null id forms groups like any
+other but is never a group's name unless it is alone. Texts without words are linked with nothing.
 """
 
 from __future__ import annotations
@@ -39,7 +41,9 @@ BANDS, ROWS = 32, 4
 PERMUTATIONS = BANDS * ROWS
 LOW_BITS = 8
 SLACK = 0.22
-BLOCK = 256
+BLOCK = 1024
+SET_BLOCK = 64
+COLUMNS = 1 << 16
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _RANDOM = np.random.default_rng(20_011)
@@ -161,20 +165,72 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates among two blocks' members: pairs of different components with a high enough estimate."""
+    """Members of two blocks that may be linked with one of another component."""
     least = PERCENT / 100 - SLACK
     for batch in batches:
-        found_a, found_b = [], []
+        found = []
         for row in batch.to_pylist():
-            sides = [row["few"], row["all"]]
+            sides, bucket = (row["few"], row["all"]), row["bucket"]
             codes: dict[bytes, int] = {}
             own = [np.array([codes.setdefault(m["component"], len(codes)) for m in side]) for side in sides]
             signs = [np.frombuffer(b"".join(m["signature"] for m in side), np.uint8).reshape(len(side), -1) for side in sides]
-            good = (estimates(*signs) >= least) & (own[0][:, None] != own[1][None, :])
-            for i, j in zip(*np.nonzero(good), strict=True):
-                x, y = sides[0][i]["set_key"], sides[1][j]["set_key"]
-                found_a.append(min(x, y))
-                found_b.append(max(x, y))
+            good = own[0][:, None] != own[1][None, :]
+            placed = [np.array([m["buckets"] for m in side], np.int64) for side in sides]
+            for band in range(int(np.flatnonzero(placed[0][0] == bucket)[0])):
+                good &= placed[0][:, band][:, None] != placed[1][:, band][None, :]
+            if good.any():
+                good &= estimates(*signs) >= least
+            for side, some in zip(sides, (good.any(1), good.any(0)), strict=True):
+                found += [(bucket, side[k]["set_key"], side[k]["component"]) for k in np.flatnonzero(some)]
+        columns = zip(*found, strict=True) if found else ([], [], [])
+        arrays = [pa.array(v, kind) for v, kind in zip(columns, (pa.int64(), pa.binary(), pa.binary()), strict=True)]
+        yield pa.RecordBatch.from_arrays(arrays, ["bucket", "set_key", "component"])
+
+
+def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The sizes of the intersections of all sets of two lists."""
+    flat = [np.concatenate(side) for side in (left, right)]
+    shared = np.intersect1d(np.unique(flat[0]), np.unique(flat[1]), assume_unique=True)
+    out = np.zeros((len(left), len(right)), np.float32)
+    for first in range(0, len(shared), COLUMNS):
+        columns = shared[first : first + COLUMNS]
+        has = []
+        for side in (left, right):
+            matrix = np.zeros((len(side), len(columns)), np.float32)
+            for k, own in enumerate(side):
+                at = np.searchsorted(columns, own)
+                at[at == len(columns)] = 0
+                matrix[k, at[columns[at] == own]] = 1
+            has.append(matrix)
+        out += has[0] @ has[1].T
+    return out.astype(np.int64)
+
+
+def _joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between members of two blocks that join components."""
+    for batch in batches:
+        found_a, found_b = [], []
+        for row in batch.to_pylist():
+            sides = (row["left"], row["right"])
+            sets = [[np.frombuffer(m["own"], np.uint64) for m in side] for side in sides]
+            sizes = [np.array([len(own) for own in side]) for side in sets]
+            both = intersections(*sets)
+            linked = 100 * both >= PERCENT * (sizes[0][:, None] + sizes[1][None, :] - both)
+            name = {m["component"]: m["component"] for side in sides for m in side}
+
+            def root(x: bytes, name: dict[bytes, bytes] = name) -> bytes:
+                while name[x] != x:
+                    name[x] = name[name[x]]
+                    x = name[x]
+                return x
+
+            for i, j in zip(*np.nonzero(linked), strict=True):
+                a, b = sides[0][i], sides[1][j]
+                x, y = root(a["component"]), root(b["component"])
+                if x != y:
+                    name[x] = y
+                    found_a.append(a["set_key"])
+                    found_b.append(b["set_key"])
         yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.binary()), pa.array(found_b, pa.binary())], ["a", "b"])
 
 
@@ -185,38 +241,38 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """``node, component`` for every end of a link (``a, b``); a component is named by its smallest node.
 
     Rounds of large and small stars: every node hands its smallest neighbour first to its larger
-    neighbours, then to its smaller ones, until each node points at its component's smallest. The number of
-    rounds grows with the logarithm of the longest chain, the number of links does not grow.
+    neighbours, then to its smaller ones, until nothing changes. The number of rounds grows with the
+    logarithm of the longest chain, the number of links does not grow. After a fixed number of ``rounds``
+    nodes of one name are connected, but connected nodes may still have several names.
     """
     pairs = _kept(links.where("a <> b").selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct(), "links")
-    state = None
-    while True:
-        now = pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if now == state:
-            break
-        state = now
+    state, done = None, 0
+    while rounds is None or done < rounds:
+        if rounds is None:
+            now = pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
+            if now == state:
+                break
+            state = now
         both = pairs.union(pairs.select("b", "a"))
         low = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
         low = low.select("node", F.least("node", "least").alias("least"))
         large = both.where("b > a").join(low, F.col("a") == F.col("node")).select(F.col("b").alias("a"), F.col("least").alias("b"))
-        large = large.union(low.where("least < node")).distinct()
         low = large.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
         small = large.join(low, F.col("a") == F.col("node")).select(F.col("b").alias("a"), F.col("least").alias("b"))
-        pairs = _kept(small.where("a <> b").union(low).distinct(), "links")
-    return pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
-        pairs.select("b", "b").distinct()
-    )
+        pairs, done = _kept(small.where("a <> b").union(low).distinct(), "links"), done + 1
+    named = pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).union(pairs.select("b", "b"))
+    return named.groupBy("node").agg(F.min("component").alias("component"))
 
 
 def _confirmed(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs of classes that are linked, decided on their whole sets."""
     a = sets.select(F.col("set_key").alias("a"), F.col("own").alias("own_a"))
     b = sets.select(F.col("set_key").alias("b"), F.col("own").alias("own_b"))
-    return _kept(pairs.join(a, "a").join(b, "b").mapInArrow(_linked, "a binary, b binary"), "linked")
+    return pairs.join(a, "a").join(b, "b").mapInArrow(_linked, "a binary, b binary")
 
 
 def class_components(docs: DataFrame, signed: DataFrame) -> DataFrame:
@@ -240,26 +296,32 @@ def class_components(docs: DataFrame, signed: DataFrame) -> DataFrame:
 
     centers = members.groupBy("bucket").agg(F.min("set_key").alias("center"))
     stars = members.join(centers, "bucket").where("set_key <> center")
-    stars = _kept(stars.select(F.col("center").alias("a"), F.col("set_key").alias("b")).distinct(), "stars")
-    linked = _confirmed(sets, stars)
-    found = _kept(components(linked), "components")
+    stars = stars.select(F.col("center").alias("a"), F.col("set_key").alias("b")).distinct()
+    # Two rounds unite most of a group; what they leave apart is compared below.
+    found = _kept(components(_confirmed(sets, stars), rounds=2), "components")
 
     named = members.join(found.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn(
         "component", F.coalesce("component", "set_key")
     )
     mixed = named.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
     mixed = mixed.where("least <> most")
-    rest = _kept(named.join(mixed, "bucket").join(classes.select("set_key", "signature"), "set_key"), "rest")
-    member = F.struct("set_key", "component", "signature")
-    blocks = F.pmod(F.xxhash64("set_key"), F.ceil(F.col("n") / BLOCK)).alias("block")
+    rest = _kept(named.join(mixed, "bucket").join(classes.select("set_key", "signature", "buckets"), "set_key"), "rest")
+    member = F.struct("set_key", "component", "signature", "buckets")
+    block = F.pmod(F.xxhash64("set_key"), F.ceil(F.col("n") / BLOCK)).alias("block")
     # Members of the bucket's largest-named component meet all others, but not each other.
-    few = rest.where("component <> most").groupBy("bucket", blocks).agg(F.collect_list(member).alias("few"))
-    every = rest.groupBy("bucket", blocks).agg(F.collect_list(member).alias("all"))
-    met = few.select("bucket", "few").join(every.select("bucket", "all"), "bucket").select("few", "all")
-    candidates = met.mapInArrow(_compare, "a binary, b binary").distinct().join(stars, ["a", "b"], "left_anti")
-    more = _confirmed(sets, _kept(candidates, "candidates"))
-    if more.isEmpty():
-        return found
+    few = rest.where("component <> most").groupBy("bucket", block).agg(F.collect_list(member).alias("few"))
+    every = rest.groupBy("bucket", block).agg(F.collect_list(member).alias("all"))
+    met = few.select("bucket", "few").join(every.select("bucket", "all"), "bucket")
+    again = _kept(met.mapInArrow(_compare, "bucket bigint, set_key binary, component binary").distinct(), "again")
+
+    counts = again.groupBy("bucket").agg(F.count("*").alias("n"))
+    block = F.pmod(F.xxhash64("set_key"), F.ceil(F.col("n") / SET_BLOCK)).alias("block")
+    whole = again.join(counts, "bucket").join(sets, "set_key").groupBy("bucket", block)
+    whole = _kept(whole.agg(F.collect_list(F.struct("set_key", "component", "own")).alias("members")), "whole")
+    left = whole.select("bucket", F.col("block").alias("i"), F.col("members").alias("left"))
+    right = whole.select("bucket", F.col("block").alias("j"), F.col("members").alias("right"))
+    met = left.join(right, "bucket").where("i <= j").select("left", "right")
+    more = met.mapInArrow(_joining, "a binary, b binary")
     return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
 
