@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from orderloom.llm.common import prepare
-from orderloom.llm.vocab import vocabulary
+from orderloom.llm.vocab import joined, vocabulary
 from orderloom.session import scratch_path
 
 WINDOW = 4096
@@ -44,7 +44,7 @@ def tokens(docs: DataFrame, path: str, end_id: int, drops_space: bool) -> DataFr
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = TaskContext.get().partitionId(), 0
         vocab, end = vocabulary(path, drops_space), np.array([end_id], "<u2").tobytes()
-        for batch in batches:
+        for batch in joined(batches):
             ids = [got + end for got in vocab.encode(batch.column("text"))]
             n = np.array([len(x) // 2 for x in ids], np.int64)
             starts = at + np.cumsum(n) - n

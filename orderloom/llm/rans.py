@@ -37,13 +37,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from orderloom.llm.common import prepare
-from orderloom.llm.vocab import vocabulary
+from orderloom.llm.vocab import joined, vocabulary
 from orderloom.session import scratch_path
 
 MAGIC = b"LOOMRANS"
 BITS = 20
-LANES = 1024
-BLOCK = 1 << 18
+LANES = 4096
+BLOCK = 1 << 20
 FILE_IDS = 1 << 22
 LOW = np.uint64(1 << 31)
 END_ID = 0
@@ -220,7 +220,7 @@ def write(
             return pa.RecordBatch.from_pylist([dict(zip(_schema(MANIFEST).names, row, strict=True))], _schema(MANIFEST))
 
         held = 0
-        for batch in batches:
+        for batch in joined(batches):
             got = vocab.encode(batch.column("text"))
             for doc, own in zip(batch.column("doc_id").to_pylist(), got, strict=True):
                 doc_ids.append(doc)

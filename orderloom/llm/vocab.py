@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ import pyarrow.compute as pc
 # White space and separators other than space and line feed, for any library's idea of them.
 ODD_SPACE = "[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{180e}\\x{2000}-\\x{200f}\\x{2028}-\\x{202f}\\x{205f}-\\x{2064}\\x{3000}\\x{feff}]"
 BETWEEN = "\x1f"  # one of the odd ones, so free to mark cuts with
-MOST_PARTS = 800_000
+MOST_PARTS = 1_000_000
 LONG_PART = 100
 
 
@@ -44,45 +45,40 @@ class Vocabulary:
         self.elder: dict[str, bytes] = {}
         self.ends = {c: array("H", self.tokenizer.encode(c, add_special_tokens=False).ids).tobytes() for c in ".,"}
 
-    def _known(self, part: str) -> bytes | None:
-        got = self.young.get(part)
-        if got is None and (got := self.elder.get(part)) is not None:
-            self.young[part] = got
-        return got
+    def _learn(self, parts: list[str]) -> list[bytes]:
+        """Encode parts that are not remembered, and remember them."""
+        out = []
+        for start in range(0, len(parts), 4096):
+            encoded = self.tokenizer.encode_batch_fast(parts[start : start + 4096], add_special_tokens=False)
+            out += [array("H", got.ids).tobytes() for got in encoded]
+        self.young.update(zip(parts, out, strict=True))
+        return out
 
     def _of(self, parts: list[str]) -> list[bytes]:
         """The ids of distinct parts."""
-        young, elder, known = self.young, self.elder, self._known
+        young, elder = self.young, self.elder
         found = list(map(young.get, parts))
-        new: dict[str, list[int]] = {}
-        tails = []
-        for k, got in enumerate(found):
-            if got is not None:
-                continue
+        new, tails = [], []
+        for k in [k for k, got in enumerate(found) if got is None]:
             part = parts[k]
-            if (got := elder.get(part)) is not None:
+            got = elder.get(part)
+            if got is not None:
                 found[k] = young[part] = got
-                continue
             # A full stop or comma after a letter or digit is a piece of its own.
-            if part[-1:] in (".", ",") and "0" <= part[-2:-1] <= "\u00ff" and part[-2].isalnum():
+            elif part[-1:] in (".", ",") and "0" <= part[-2:-1] <= "\u00ff" and part[-2].isalnum():
                 tails.append(k)
-                part = part[:-1]
-                if known(part) is not None:
-                    continue
-            new.setdefault(part, []).append(k)
-        wanted = list(new)
-        fresh = {}
-        for start in range(0, len(wanted), 4096):
-            some = wanted[start : start + 4096]
-            encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            for part, got in zip(some, encoded, strict=True):
-                fresh[part] = ids = array("H", got.ids).tobytes()
-                for k in new[part]:
-                    found[k] = ids
+            else:
+                new.append(k)
+        for k, ids in zip(new, self._learn([parts[k] for k in new]), strict=True):
+            found[k] = ids
+        bases = {parts[k][:-1] for k in tails}
+        self._learn([part for part in bases if part not in young and part not in elder])
         for k in tails:
-            base = fresh.get(parts[k][:-1])
-            found[k] = young[parts[k]] = (known(parts[k][:-1]) if base is None else base) + self.ends[parts[k][-1]]
-        young.update((part, ids) for part, ids in fresh.items() if len(part) <= LONG_PART)
+            part = parts[k]
+            base = young.get(part[:-1])
+            found[k] = young[part] = (elder[part[:-1]] if base is None else base) + self.ends[part[-1]]
+        for part in [part for part in (*(parts[k] for k in new), *bases) if len(part) > LONG_PART]:
+            young.pop(part, None)
         if len(young) > MOST_PARTS:
             self.elder, self.young = young, {}
         return found
@@ -121,3 +117,16 @@ def vocabulary(path: str, drops_space: bool) -> Vocabulary:
     if (path, drops_space) not in _OPEN:
         _OPEN[path, drops_space] = Vocabulary(path, drops_space)
     return _OPEN[path, drops_space]
+
+
+def joined(batches: Iterator[pa.RecordBatch], rows: int = 1024, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Neighbouring batches put together, up to a number of rows and bytes, so that more parts are shared."""
+    held, n, total = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        n, total = n + batch.num_rows, total + batch.nbytes
+        if n >= rows or total >= size:
+            yield pa.concat_batches(held)
+            held, n, total = [], 0, 0
+    if held:
+        yield pa.concat_batches(held)
