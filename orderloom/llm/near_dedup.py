@@ -335,6 +335,7 @@ def groups(docs: DataFrame) -> DataFrame:
     )
     rows = rows.withColumn("component", F.coalesce("component", "set_key"))
     names = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    names = _kept(names, "names")  # a join of two plain shuffles, which Spark splits where a component is large
     told = rows.join(names, "component", "left").select(
         "doc_id",
         "n_shingles",
