@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import html
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
