@@ -1,8 +1,8 @@
 """Main text of web pages: a bidirectional LSTM labels every block of a page, seeing the whole page.
 
 A page is read into its leaf sequence: runs of text between block tags, with the path of open tags. Scripts,
-styles, comments and other raw text never become blocks; character references are decoded and white space
-inside a block becomes one space. Every block is turned into a vector:
+styles, comments and other raw text never become blocks; svg, math, object and canvas are elements like any other.
+Character references are decoded and white space inside a block becomes one space. Every block is turned into a vector:
 
 - its tag path: every open tag, and every word of their class, id and role, hashed with a sign to ``PATH`` places;
 - its words, lower-cased, hashed with a sign to ``WORDS`` places, scaled to length one;
@@ -40,14 +40,17 @@ CELLS = 16_384
 COPIES = 300
 SCHEMA = "page_id bigint, url string, text string, n_chars bigint, n_blocks bigint, n_main bigint"
 
-# Tags that begin or end a block, tags whose text is not text, tags without an end.
+# Tags that begin or end a block, tags whose text is not text, tags without an end, tags whose content
+# follows rules of its own, and tags in them that hold ordinary content again.
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav ol option p pre "
     "section select summary table tbody td tfoot th thead title tr ul".split()
 )
-RAW_TAGS = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "canvas")
+RAW_TAGS = ("script", "style", "noscript", "template", "textarea", "iframe")
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+FOREIGN_TAGS = frozenset(("svg", "math"))
+FOREIGN_HOLDERS = frozenset("foreignobject desc title annotation-xml mi mn mo ms mtext".split())
 BOILERPLATE = frozenset(
     "ad ads advert advertisement aside banner breadcrumb breadcrumbs button comment comments cookie cookies consent "
     "dialog footer form head header label legend login menu modal nav navigation newsletter notice option pagination "
@@ -66,7 +69,7 @@ GRAFTS = (
 
 _RAW = "|".join(RAW_TAGS)
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
     re.S | re.I,
 )
@@ -90,6 +93,7 @@ def blocks(page: str | None) -> list[Block]:
     found: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     now: Block | None = None
+    foreign = False  # whether an svg or math element has been opened
 
     def add(raw: str) -> None:
         nonlocal now
@@ -124,6 +128,15 @@ def blocks(page: str | None) -> list[Block]:
                     del stack[k:]
                     break
         elif name not in VOID_TAGS:
+            if name in FOREIGN_TAGS or foreign:
+                opened = [open_ for open_, _ in stack]
+                within = max((k for k, open_ in enumerate(opened) if open_ in FOREIGN_TAGS), default=None)
+                if token["attrs"].endswith("/") and (name in FOREIGN_TAGS or within is not None):
+                    continue
+                # A block tag of the page ends an svg or math element that was left open.
+                if within is not None and name in BLOCK_TAGS - FOREIGN_HOLDERS and FOREIGN_HOLDERS.isdisjoint(opened[within:]):
+                    del stack[within:]
+                foreign = True
             if name in ("p", "li", "dt", "dd", "option", "tr", "td", "th"):
                 # An open element of the same kind, with nothing but text tags in it, ends here.
                 for k in range(len(stack) - 1, -1, -1):

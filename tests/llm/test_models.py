@@ -110,6 +110,37 @@ def test_blocks_of_a_page():
     assert [b.text for b in html_blocks.blocks("plain < text")] == ["plain < text"]
 
 
+@pytest.mark.parametrize(
+    ("put", "more"),
+    [
+        ('<svg class="i"/>', []), ("<svg/>", []), ('<math display="block" />', []), ("<canvas/>", []), ("<canvas id=c>", []),
+        ('<object data="f.swf">', []), ('<svg viewBox="0 0 1 1"><path d="M0 0"/>', []), ("<svg><use href='#a'></svg>", []),
+        ("<svg-icon></svg-icon>", []), ("<svg-icon>", []), ("<object-view></object-view>", []), ("<script-box></script-box>", []),
+        ("<div><math><mi>x</mi><mo>=</mo><mn>2</mn></math></div>", ["x=2"]), ("<object data='f'><p>In it.</p></object>", ["In it."]),
+        ("<svg><text>Drawn</text><style>t{}</style></svg>", ["Drawn"]), ("<svg><foreignObject><p>Set</p></foreignObject></svg>", ["Set"]),
+        ("<script>1</script x>", []), ("<STYLE>p{}</style\n>", []), ("<template><p>no</p></template>", []),
+    ],
+)
+def test_blocks_after_elements_with_content_of_their_own(put, more):
+    page = f"<body><div><p>One.</p>{put}<p>Two.</p></div><p>Three.</p></body>"
+    read = html_blocks.blocks(page)
+    assert [b.text for b in read] == ["One.", *more, "Two.", "Three."]
+    assert read[-1].path == ("<body", "<p")
+    for raw in ("script", "style", "textarea", "iframe", "noscript", "template"):
+        assert [b.text for b in html_blocks.blocks(f"<p>One.</p><{raw}><p>Two.</p>")] == ["One."]
+
+
+def test_main_text_of_pages_with_such_elements(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").limit(60).select("page_id", "url", "html")
+    put = ['<svg class="i"/>', "<canvas/>", "<svg-icon></svg-icon>", "<svg><path d='M0 0'/></svg>", '<object data="f">', "<math/>"]
+    rows = [(r["page_id"], r["url"], r["html"].replace("<article>", put[k % 6] + "<article>")) for k, r in enumerate(pages.collect())]
+    schema = "page_id long, url string, html string"
+    model = html_blocks.fit(pages)
+    plain = {r["page_id"]: r["text"] for r in html_blocks.main_text(spark, pages, model).collect()}
+    got = {r["page_id"]: r["text"] for r in html_blocks.main_text(spark, spark.createDataFrame(rows, schema), model).collect()}
+    assert sum(got[k] == text != "" for k, text in plain.items()) >= 0.95 * len(rows)
+
+
 def test_gradients():
     """Back-propagation through both directions equals differences of the loss."""
     model, dice = html_blocks.Labeller(2), np.random.default_rng(3)
