@@ -38,12 +38,12 @@ def _schema(ddl: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (part.split() for part in ddl.split(", "))])
 
 
-def tokens(docs: DataFrame, path: str, end_id: int, drops_space: bool) -> DataFrame:
+def tokens(docs: DataFrame, path: str, end_id: int, drops_space: bool, plain_names: bool = True) -> DataFrame:
     """Per document its task's number, its offset there, its token count and its ids (16 bit)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = TaskContext.get().partitionId(), 0
-        vocab, end = vocabulary(path, drops_space), np.array([end_id], "<u2").tobytes()
+        vocab, end = vocabulary(path, drops_space, plain_names), np.array([end_id], "<u2").tobytes()
         for batch in joined(batches):
             ids = [got + end for got in vocab.encode(batch.column("text"))]
             n = np.array([len(x) // 2 for x in ids], np.int64)
@@ -71,12 +71,13 @@ def pack(
     window: int = WINDOW,
     end_id: int = END_ID,
     drops_space: bool = True,
+    plain_names: bool = True,
 ) -> DataFrame:
     """Pieces of all documents with their ids (little-endian unsigned 32 bit)."""
     spark = prepare(docs.sparkSession)
     path = path or public_tokenizers.path("word_bpe_49k.json")
     stored = scratch_path(spark, "tokens")
-    tokens(docs, path, end_id, drops_space).write.parquet(stored)
+    tokens(docs, path, end_id, drops_space, plain_names).write.parquet(stored)
     rows = spark.read.parquet(stored)
     placed = rows.join(F.broadcast(bases(rows)), "part").withColumn("at", F.col("base") + F.col("at"))
 

@@ -33,11 +33,11 @@ def op5_winnowing(spark, sf):
 
 
 def op6_rans(spark, sf):
-    return rans.roundtrip(table(spark, sf, "documents"))
+    return rans.roundtrip(table(spark, sf, "documents"), plain_names=False)
 
 
 def op7_packing(spark, sf):
-    return packing.digest(packing.pack(table(spark, sf, "documents")))
+    return packing.digest(packing.pack(table(spark, sf, "documents"), plain_names=False))
 
 
 def op8_near_dedup(spark, sf):

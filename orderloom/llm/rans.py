@@ -192,7 +192,12 @@ class Reader:
 
 
 def write(
-    docs: DataFrame, folder: str, path: str | None = None, end_id: int = END_ID, file_ids: int = FILE_IDS
+    docs: DataFrame,
+    folder: str,
+    path: str | None = None,
+    end_id: int = END_ID,
+    file_ids: int = FILE_IDS,
+    plain_names: bool = True,
 ) -> DataFrame:
     """Encode all documents into files below ``folder``; returns their manifest, which is stored there too."""
     spark = prepare(docs.sparkSession)
@@ -200,7 +205,7 @@ def write(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at, k = TaskContext.get().partitionId(), 0, 0
-        vocab, end = vocabulary(path, False), np.array([end_id], "<u2").tobytes()
+        vocab, end = vocabulary(path, False, plain_names), np.array([end_id], "<u2").tobytes()
         files, base = fs.FileSystem.from_uri(folder)
         doc_ids: list[int | None] = []
         ids: list[bytes] = []
@@ -275,8 +280,8 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def roundtrip(docs: DataFrame, path: str | None = None) -> DataFrame:
+def roundtrip(docs: DataFrame, path: str | None = None, plain_names: bool = True) -> DataFrame:
     """Write all documents to a fresh folder of the shared one and read them back."""
     folder = scratch_path(docs.sparkSession, "rans")
-    write(docs, folder, path)
+    write(docs, folder, path, plain_names=plain_names)
     return read(docs.sparkSession, folder)

@@ -28,16 +28,19 @@ class Vocabulary:
     """Encodes texts; parts and their ids (little-endian unsigned 16 bit) are remembered in two generations.
 
     When the younger generation is full it becomes the elder one, and what the elder one held is forgotten.
-    A part found in the elder one moves to the younger, so parts in use stay.
+    A part found in the elder one moves to the younger, so parts in use stay. Names of special tokens inside a
+    text are ordinary text if ``plain_names``, else they get the ids of those tokens, which is the library's default.
     """
 
-    def __init__(self, path: str, drops_space: bool):
+    def __init__(self, path: str, drops_space: bool, plain_names: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # The names of special tokens inside a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain_names
+        # No part may cut one of these names.
+        if not plain_names and any(set(token.content) & set(" \n") for token in self.tokenizer.get_added_tokens_decoder().values()):
+            raise ValueError("names of special tokens must not hold white space")
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit in 16 bits")
         self.drops_space = drops_space
@@ -109,14 +112,15 @@ class Vocabulary:
         return [out[2 * a : 2 * b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
 
 
-_OPEN: dict[tuple[str, bool], Vocabulary] = {}
+_OPEN: dict[tuple[str, bool, bool], Vocabulary] = {}
 
 
-def vocabulary(path: str, drops_space: bool) -> Vocabulary:
+def vocabulary(path: str, drops_space: bool, plain_names: bool = True) -> Vocabulary:
     """The vocabulary of a file, opened once per Python worker."""
-    if (path, drops_space) not in _OPEN:
-        _OPEN[path, drops_space] = Vocabulary(path, drops_space)
-    return _OPEN[path, drops_space]
+    key = path, drops_space, plain_names
+    if key not in _OPEN:
+        _OPEN[key] = Vocabulary(*key)
+    return _OPEN[key]
 
 
 def joined(batches: Iterator[pa.RecordBatch], rows: int = 1024, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,8 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from orderloom.llm import bpe, packing, rans, vocab
+import corpus_pipeline
+from orderloom.llm import bpe, packing, queries, rans, vocab
 from tests.llm.fixtures import documents, empty, pairs
 
 
@@ -36,6 +37,35 @@ def test_vocabulary_equals_whole_texts(name, drops, monkeypatch):
             assert np.frombuffer(got, "<u2").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize(("name", "drops"), [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_vocabulary_equals_library_defaults(name, drops, monkeypatch):
+    monkeypatch.setattr(vocab, "MOST_PARTS", 300)
+    path, dice = public_tokenizers.path(name), random.Random(4)
+    made, plain = vocab.Vocabulary(path, drops, plain_names=False), Tokenizer.from_file(path)
+    signs = [*"ab  \n\t's.,!<|>é\u03011", "<|endoftext|>", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext"]
+    texts = ["".join(dice.choice(signs) for _ in range(dice.randint(0, 40))) for _ in range(1500)]
+    for start in range(0, len(texts), 100):
+        some = texts[start : start + 100]
+        for text, got in zip(some, made.encode(pa.array(some)), strict=True):
+            assert np.frombuffer(got, "<u2").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_registered_queries_use_library_defaults(spark, tmp_path):
+    rows = [(1, "a <|endoftext|> b"), (2, "plain"), (3, "x<|startoftext|>.\n\n<|endoftext|>")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    at, want, lengths = 0, [], {}
+    for doc, text in rows:
+        ids = np.array([*Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids, 0], "<u4")
+        want.append((doc, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+        own = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode(text, add_special_tokens=False).ids
+        lengths[doc] = len(own) + 1, zlib.crc32(np.array([*own, 2], "<u4").tobytes())
+    assert sorted(tuple(r) for r in queries.op6_rans(spark, str(tmp_path)).collect()) == want
+    packed = corpus_pipeline.packed(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), str(tmp_path))
+    for got in (queries.op7_packing(spark, str(tmp_path)), packed):
+        assert {r["doc_id"]: (r["doc_tokens"], r["ids_crc32"]) for r in got.collect()} == lengths
+
+
 @pytest.mark.parametrize("n", [1, 5, 1023, 1024, 1025, 70_000, 300_000])
 def test_rans_roundtrip(n):
     ids = (np.random.default_rng(n).zipf(1.3, n) % 50_257).astype("<u2")
