@@ -4,7 +4,10 @@ A text's words (runs of anything but space and the control characters 9 to 13) a
 of ``GRAM`` = 4 words ending at each word is hashed by rolling two doublings; runs at the front are filled
 up with zeros, so that a text of n words has n grams. Of every ``WINDOW`` = 4 neighbouring grams the one
 with the smallest hash is picked, of equal ones the rightmost. Two texts that share ``GRAM + WINDOW - 1`` =
-7 words in a row therefore share a pick, and picks keep the positions of their grams. A text with fewer
+7 words in a row therefore share a pick, and picks keep the positions of their grams. In ``report`` each code
+point of a word of more than ``LONG_WORD`` code points counts as a word of its own, so that texts without spaces
+(Chinese, Thai, base64) share a pick where they share 7 code points of such words in a row; elsewhere this is
+the option ``long_word``. A text with fewer
 grams than a window has one pick, an empty or null one has none.
 
 Hash and position travel in one long: 39 bits of hash above 24 bits of reversed position, so a plain
@@ -31,6 +34,7 @@ from orderloom.llm.common import prepare
 
 GRAM = 4
 WINDOW = 4
+LONG_WORD = 64
 POSITION_BITS = 24
 SPACE = "[\\x20\\x09-\\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -48,10 +52,19 @@ def _paired(a: Column, apart: int, n: Column, join: Callable[[Column, Column], C
     return F.zip_with(F.slice(a, F.lit(1), n), F.slice(a, F.lit(1 + apart), n), join)
 
 
-def picks(text: Column) -> Column:
-    """Picked grams of a text, in order, as packed hashes and positions."""
+def picks(text: Column, long_word: int | None = None) -> Column:
+    """Picked grams of a text, in order, as packed hashes and positions.
+
+    Words of more than ``long_word`` code points, if given, are cut into code points.
+    """
     bare = F.trim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
     words = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE))
+    if long_word is not None:
+        apart = F.flatten(
+            F.transform(words, lambda word: F.when(F.length(word) > long_word, F.split(word, "")).otherwise(F.array(word)))
+        )
+        word = "[^\\x20\\x09-\\x0D]"
+        words = F.when(bare.rlike(f"(?<!{word}){word}{{{long_word + 1}}}"), apart).otherwise(words)
     hashes = F.transform(words, lambda word: F.xxhash64(word))
     last = (1 << POSITION_BITS) - 1
 
@@ -113,13 +126,13 @@ def likeness(a: Column, b: Column) -> Column:
     )
 
 
-def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, text: str = "text", long_word: int | None = None) -> DataFrame:
     """The input with ``picks``: position and hash of every picked gram."""
     prepare(docs.sparkSession)
     return docs.withColumn(
         "picks",
         F.transform(
-            picks(F.col(text)), lambda p: F.struct(pick_position(p).alias("position"), pick_hash(p).alias("hash"))
+            picks(F.col(text), long_word), lambda p: F.struct(pick_position(p).alias("position"), pick_hash(p).alias("hash"))
         ),
     )
 
@@ -193,12 +206,12 @@ def report(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     third = F.floor(n / 3).cast("int")
     told = (
         placed.withColumn("next_text", F.lead("text").over(window))
-        .withColumn("chosen", picks(F.col("text")))
+        .withColumn("chosen", picks(F.col("text"), LONG_WORD))
         .withColumn("own", hashes_of(F.col("chosen")))
         .withColumn("next", F.lead("own").over(window))
         .where(~F.col("ghost"))
         .withColumn("edited", F.concat(F.left("text", n - third), F.left("next_text", third)))
-        .withColumn("edited_chosen", picks(F.col("edited")))
+        .withColumn("edited_chosen", picks(F.col("edited"), LONG_WORD))
         .withColumn("edited_own", hashes_of(F.col("edited_chosen")))
     )
     return told.select(
