@@ -1,8 +1,9 @@
 """Personal data by regular expressions, checksums and context words, in DataFrame functions only.
 
 Patterns propose spans. Some are confirmed by a rule: parts of an ip are at most 255, a card number has
-16 to 19 digits and passes Luhn, an iban passes mod-97, a phone number has 8 to 15 digits. Each kind has
-a base score, which words of its ``CONTEXT`` within ``NEAR`` characters before the span raise. A span is
+16 to 19 digits and passes Luhn, an iban passes mod-97, a phone number has 8 to 15 digits, a secret a letter
+and a digit. Each kind has a base score, which words of its ``CONTEXT`` within ``NEAR`` characters before or
+after the span raise, whatever else lies between. A span is
 reported from ``ACCEPT`` on: the first four kinds always are; a ``secret`` (a long mixed token) and an
 ``id`` (a long number that is no card) need a word that names them nearby.
 
@@ -34,7 +35,7 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?+[A-Z0-9]{4}+){2,7}+(?:\x20?+[A-Z0-9]{1,3}+)?+(?![A-Za-z0-9])",
-    "secret": r"(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]{0,64}[0-9])(?=[0-9_/+-]{0,64}[A-Za-z])[A-Za-z0-9_/+-]{20,}+",
+    "secret": r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{20,}+",
     "id": r"(?<![0-9.])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])|(?<![0-9+.])[0-9]{9,19}+(?![0-9])",
 }
 # What a text must hold for the pattern to be tried at all; cheaper than the pattern.
@@ -96,6 +97,8 @@ def confirmed(kind: str, match: Column) -> Column:
         return F.length(digits).between(8, 15)
     if kind == "iban":
         return mod97(F.regexp_replace(match, " ", ""))
+    if kind == "secret":
+        return match.rlike("[0-9]") & match.rlike("[A-Za-z]")
     return F.lit(True)
 
 
@@ -104,13 +107,16 @@ def _proposed(kind: str, text: Column) -> Column:
     pattern = PATTERNS[kind]
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
-    zero = F.struct(F.lit(0).alias("end"), F.array().cast(_SPANS).alias("spans"))
+    # The characters behind every match, which are not part of it.
+    afters = F.regexp_extract_all(text, F.lit(rf"(?:{pattern})(?=([\s\S]{{0,{NEAR}}}))"), F.lit(1))
+    names = rf"(?:^|[^\p{{L}}])(?:{CONTEXT[kind]})"
+    zero = F.struct(F.lit(0).alias("end"), F.lit("").alias("tail"), F.array().cast(_SPANS).alias("spans"))
 
     def step(state, pair):
         begin = state["end"] + F.length(pair["piece"])
         end = begin + F.length(pair["match"])
-        before = F.right(pair["piece"], F.lit(NEAR))
-        near = F.lower(before).rlike(rf"(?:^|[^\p{{L}}])(?:{CONTEXT[kind]})")
+        before = F.right(F.concat(state["tail"], F.right(pair["piece"], F.lit(NEAR))), F.lit(NEAR))
+        near = F.lower(before).rlike(names) | F.lower(pair["after"]).rlike(names)
         score = F.lit(BASE_SCORE[kind]) + F.when(near, CONTEXT_BOOST).otherwise(0.0)
         span = F.struct(
             F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end"), score.alias("score")
@@ -118,13 +124,12 @@ def _proposed(kind: str, text: Column) -> Column:
         good = confirmed(kind, pair["match"]) & (F.lit(kind in BASE_KINDS) | (score >= ACCEPT))
         return F.struct(
             end.alias("end"),
+            F.right(F.concat(before, F.right(pair["match"], F.lit(NEAR))), F.lit(NEAR)).alias("tail"),
             F.when(good, F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"),
         )
 
-    pairs = F.zip_with(
-        F.slice(pieces, 1, F.size(matches)),
-        matches,
-        lambda piece, match: F.struct(piece.alias("piece"), match.alias("match")),
+    pairs = F.arrays_zip(
+        F.slice(pieces, 1, F.size(matches)).alias("piece"), matches.alias("match"), afters.alias("after")
     )
     found = F.aggregate(pairs, zero, step, lambda state: state["spans"])
     return F.when(text.rlike(HINTS[kind]), found).otherwise(F.array().cast(_SPANS))
