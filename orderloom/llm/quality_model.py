@@ -49,7 +49,8 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     first = np.zeros(len(codes), bool)
     first[starts] = True
     double = mix(before * np.uint64(0xD6E8FEB86659FD93) + codes)
-    double[2:][codes[2:] == codes[:-2]] = np.uint64(3)
+    # Not for the second token of a text, which has no token two before it.
+    double[2:][(codes[2:] == codes[:-2]) & ~first[1:-1]] = np.uint64(3)
     double[same] = np.uint64(1)
     double[first] = np.uint64(2)
     out = np.empty(2 * len(codes), np.uint64)
