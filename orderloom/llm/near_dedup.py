@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orderloom.llm.common import mix, prepare
 from orderloom.session import scratch_path
@@ -140,8 +140,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             signatures.append(packed(smallest))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-             pa.array(buckets, pa.list_(pa.int64())), pa.array(signatures, pa.binary())],
-            ["doc_id", "n_shingles", "set_key", "buckets", "signature"],
+             pa.array(buckets, pa.list_(pa.int64())), pa.array(signatures, pa.binary()), *batch.columns[2:]],
+            ["doc_id", "n_shingles", "set_key", "buckets", "signature", *batch.schema.names[2:]],
         )
 
 
@@ -325,15 +325,27 @@ def class_components(docs: DataFrame, signed: DataFrame) -> DataFrame:
     return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every document; one row out per row in."""
+def _with_components(docs: DataFrame, keyed: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, component`` of every document, and ``text_key``, a digest of its text, if ``keyed``."""
     prepare(docs.sparkSession)
-    signed = _kept(docs.selectExpr("cast(doc_id as bigint) AS doc_id", "text").mapInArrow(_sign, _SIGNED), "signed")
+    own, schema, more = docs.selectExpr("cast(doc_id as bigint) AS doc_id", "text"), _SIGNED, []
+    if keyed:
+        own, schema, more = own.withColumn("text_key", _text_key()), f"{_SIGNED}, text_key binary", ["text_key"]
+    signed = _kept(own.mapInArrow(_sign, schema), "signed")
     found = _kept(class_components(docs, signed), "components")
-    rows = signed.select("doc_id", "n_shingles", "set_key").join(
+    rows = signed.select("doc_id", "n_shingles", "set_key", *more).join(
         found.withColumnRenamed("node", "set_key"), "set_key", "left"
     )
-    rows = rows.withColumn("component", F.coalesce("component", "set_key"))
+    return rows.withColumn("component", F.coalesce("component", "set_key"))
+
+
+def _text_key() -> Column:
+    return F.unhex(F.sha2(F.col("text"), 256))
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every document; one row out per row in."""
+    rows = _with_components(docs)
     names = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     names = _kept(names, "names")  # a join of two plain shuffles, which Spark splits where a component is large
     told = rows.join(names, "component", "left").select(
@@ -345,13 +357,19 @@ def groups(docs: DataFrame) -> DataFrame:
 
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
-    """The input's rows of one document per group, with all columns.
+    """The input's rows of exactly one document per group, with all columns.
 
-    Of several rows with that document's id the one with the smallest text stays. Rows without an id cannot
-    be named by a group and all stay.
+    That is the row with the smallest id, of these the one with the smallest digest of its text; a row without an
+    id comes last. Of equal rows of that id and text one stays. Rows whose text has no words belong to no group and all stay.
     """
-    kept = _kept(groups(docs.select("doc_id", "text")).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "kept")
-    named = docs.join(kept, "doc_id", "left_semi")
-    name = "_" + max(docs.columns, key=len)
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return named.withColumn(name, first).where(F.col(name) == 1).drop(name).unionByName(docs.where("doc_id IS NULL"))
+    rows = _with_components(docs.select("doc_id", "text"), keyed=True).where("component IS NOT NULL")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")
+    chosen = rows.groupBy("component").agg(first).select(F.col("first.doc_id").alias("id"), F.col("first.text_key").alias("key"))
+    chosen = _kept(chosen, "kept")
+    words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    key, at = ("_" * k + max(docs.columns, key=len) for k in (1, 2))
+    named = docs.where(words).withColumn(key, _text_key())
+    named = named.join(chosen, (F.col(key) == chosen["key"]) & docs["doc_id"].cast("bigint").eqNullSafe(chosen["id"]), "left_semi")
+    order = F.row_number().over(Window.partitionBy("doc_id", key).orderBy(key))
+    one = named.withColumn(at, order).where(F.col(at) == 1).drop(key, at)
+    return one.unionByName(docs.where(~words))
