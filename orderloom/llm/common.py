@@ -80,7 +80,7 @@ def training_rows(
 
     The choice is by a hash of the id, so it is the same on every run. Only ids and labels of that
     bounded choice are broadcast. Null ids and null labels never train; of several labels of one
-    document the largest counts.
+    document the largest counts, of several texts the smallest.
     """
     chosen = (
         labels.where(F.col(label).isNotNull() & (fold(F.col("doc_id"), folds) != held_out))
@@ -89,6 +89,7 @@ def training_rows(
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most)
     )
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
         F.broadcast(chosen), "doc_id"
     )
+    return found.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label")

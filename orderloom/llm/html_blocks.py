@@ -351,11 +351,11 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(pages: DataFrame, max_pages: int = MAX_PAGES) -> Labeller:
-    """Learn from a bounded choice of pages, by a hash of the id."""
+    """Learn from a bounded choice of pages, by a hash of the id; of several pages of one id from the smallest."""
     ids = pages.where("html <> ''").select("page_id").where("page_id IS NOT NULL").distinct()
     chosen = ids.orderBy(F.xxhash64("page_id"), "page_id").limit(max_pages)
     rows = pages.join(F.broadcast(chosen), "page_id").selectExpr("cast(page_id as bigint) AS page_id", "html")
-    rows = rows.where("html <> ''")
+    rows = rows.where("html <> ''").groupBy("page_id").agg(F.min("html").alias("html"))
     model = Labeller()
     schema = ", ".join(f"{name} binary" for name in Labeller.NAMES)
     for got in rows.repartition(1).mapInArrow(_train, schema).collect():
