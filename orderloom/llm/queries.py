@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderloom.llm import bpe, html_blocks, near_dedup, packing, pii, quality_model, quality_rules, rans, toxicity, winnowing
+from orderloom.llm import (
+    bpe, conversation_repair, hard_negatives, html_blocks, near_dedup, packing, pii, quality_model, quality_rules, rans, suffix_trees,
+    toxicity, winnowing,
+)
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,11 +55,28 @@ def op10_bpe(spark, sf):
     return bpe.digests(table(spark, sf, "documents"))
 
 
+def op11_hard_negatives(spark, sf):
+    label, key = F.col("label").cast("bigint"), F.col("vec_id").cast("bigint")
+    rows = table(spark, sf, "embeddings").select(
+        key.alias("id"), F.when(key % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"), F.col("embedding").alias("vector")
+    )
+    return hard_negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
+def op12_substring_dedup(spark, sf):
+    return suffix_trees.repeats(table(spark, sf, "documents")).digest()
+
+
+def op13_conversation_repair(spark, sf):
+    turns = conversation_repair.damaged(table(spark, sf, "conversations"))
+    return conversation_repair.digest(conversation_repair.edits(turns))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_toxicity, op3_html, op4_pii, op5_winnowing, op6_rans, op7_packing, op8_near_dedup,
-        op9_quality_model, op10_bpe,
+        op9_quality_model, op10_bpe, op11_hard_negatives, op12_substring_dedup, op13_conversation_repair,
     )
 }
 
@@ -122,4 +142,53 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-SQL: dict[str, str] = {"op1_quality_rules": _OP1}
+# Inner products over all pairs of an anchor and a row, then two selections.
+_OP11 = """
+WITH rows AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.id AS anchor_id, a.label AS anchor_label, r.id, r.label,
+    coalesce(list_sum(list_transform(list_zip(a.v, r.v), lambda p: coalesce(p[1] * p[2], 0)))::BIGINT, 0) AS score
+  FROM (SELECT DISTINCT * FROM rows WHERE id % 100 = 0) a, rows r
+), positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score, place FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place
+    FROM scored WHERE label = anchor_label AND id <> anchor_id
+  ) WHERE place <= 5
+), negatives AS (
+  SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, place ORDER BY s.score DESC, s.id)::INTEGER AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND s.label <> s.anchor_label
+    AND 100 * s.score BETWEEN 30 * positive_score AND 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 10
+"""
+
+# Every window as a text; the words under windows that start in an earlier document are left out.
+_OP12 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), windows AS (
+  SELECT row_id, doc_id, pos, md5(array_to_string(w[pos:pos + 49], ' ')) AS own
+  FROM (SELECT *, unnest(range(1, len(w) - 48)) AS pos FROM docs WHERE len(w) >= 50 AND doc_id IS NOT NULL)
+), firsts AS (
+  SELECT own, min(doc_id) AS first_id FROM windows GROUP BY own
+), gone AS (
+  SELECT DISTINCT row_id, pos + step AS pos
+  FROM (SELECT row_id, pos FROM windows JOIN firsts USING (own) WHERE doc_id > first_id), range(50) AS steps(step)
+), kept AS (
+  SELECT row_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS text
+  FROM (SELECT row_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM docs) ANTI JOIN gone USING (row_id, pos)
+  GROUP BY row_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (row_id)
+"""
+
+SQL: dict[str, str] = {"op1_quality_rules": _OP1, "op11_hard_negatives": _OP11, "op12_substring_dedup": _OP12}
