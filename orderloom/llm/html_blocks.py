@@ -17,14 +17,20 @@ elements whose tag, class, id or role names them (``BOILERPLATE``) or in the tit
 labeller does not depend on single hints: kinds of boilerplate the pages may lack (``GRAFTS``) are put in,
 ``article`` becomes a plain division, and tags of the path are left out. All pages are then labelled by the model.
 
-A null or empty page, or one without main text, has the empty text. Repeated rows give repeated results.
+A null or empty page, or one without blocks or main text, has the empty text. Repeated rows give repeated results. A
+quote in a tag opens a value only behind an equals sign; a tag, comment or script without an end reaches to the
+end of the page. Reading takes time and memory in proportion to the page, however deep its elements lie; the
+inputs of the LSTM are taken ``STEPS`` blocks at a time. Ties do not arise; empty tables give empty results (a model
+that has learnt nothing is not used); other columns are not read.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +43,7 @@ INPUT = PATH + WORDS + EXTRA
 MAX_PAGES = 600
 EPOCHS, LEAST_STEPS, BATCH, STEP = 6, 400, 16, 0.01
 CELLS = 16_384
+STEPS = 4096
 COPIES = 300
 SCHEMA = "page_id bigint, url string, text string, n_chars bigint, n_blocks bigint, n_main bigint"
 
@@ -68,9 +75,11 @@ GRAFTS = (
 )
 
 _RAW = "|".join(RAW_TAGS)
+# A quote opens a value only behind an equals sign; anywhere else it is a character like others.
+_ATTRIBUTES = r"(?:[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*"
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
+    rf"<!--.*?(?P<over>-->|\Z)|<(?P<raw>{_RAW})(?=[\s/>]){_ATTRIBUTES}>.*?(?P<close></(?P=raw)(?=[\s/>])[^>]*>|\Z)"
+    rf"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>{_ATTRIBUTES})>|<[!?][^>]*>",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -79,21 +88,99 @@ DIGIT = re.compile(r"\d")
 _HASHES = WordHashes(200_000)
 
 
-class Block:
-    """A leaf of a page: the words of its path, its text, how many of its characters are links."""
+class Element:
+    """An open element: its own words, and over its whole path the sum of the words' places and whether one is boilerplate."""
+
+    __slots__ = ("name", "parent", "words", "sums", "main")
 
-    __slots__ = ("path", "parts", "links", "text")
+    def __init__(self, name: str, parent: Element | None, words: tuple[str, ...]):
+        self.name, self.parent, self.words = name, parent, words
+        self.sums = path_sums(words) + (parent.sums if parent else 0)
+        own = "<title" not in words and not any(word.lstrip("<") in BOILERPLATE for word in words)
+        self.main = own and (parent is None or parent.main)
 
-    def __init__(self, path: tuple[str, ...]):
-        self.path, self.parts, self.links, self.text = path, [], 0, ""
+
+class Block:
+    """A leaf of a page: the element it is in, its text, how many of its characters are links."""
+
+    __slots__ = ("element", "parts", "links", "text")
+
+    def __init__(self, element: Element | None):
+        self.element, self.parts, self.links, self.text = element, [], 0, ""
+
+    @property
+    def path(self) -> tuple[str, ...]:
+        """The words of all elements around the block, outermost first."""
+        found, at = [], self.element
+        while at:
+            found.append(at.words)
+            at = at.parent
+        return tuple(word for words in reversed(found) for word in words)
+
+
+class Stack:
+    """The open elements of a page. Every question takes the same time, however deep the page is."""
+
+    def __init__(self):
+        self.elements: list[Element] = []
+        self.count: Counter[str] = Counter()
+        self.places: dict[str, list[int]] = {"block": [], "foreign": [], "holder": []}
+
+    def top(self) -> Element | None:
+        return self.elements[-1] if self.elements else None
+
+    def last(self, kind: str) -> int:
+        """Where the innermost block, foreign element or holder of page content in one is; -1: nowhere."""
+        return self.places[kind][-1] if self.places[kind] else -1
+
+    def push(self, name: str, words: tuple[str, ...]) -> None:
+        at = len(self.elements)
+        self.elements.append(Element(name, self.top(), words))
+        self.count[name] += 1
+        for kind, names in (("block", BLOCK_TAGS), ("foreign", FOREIGN_TAGS), ("holder", FOREIGN_HOLDERS)):
+            if name in names:
+                self.places[kind].append(at)
+
+    def cut(self, at: int) -> None:
+        """Close the elements from a place on."""
+        while len(self.elements) > at:
+            self.count[self.elements.pop().name] -= 1
+        for places in self.places.values():
+            while places and places[-1] >= at:
+                places.pop()
+
+    def close(self, name: str) -> None:
+        """An end tag: closes the innermost element of its name and those in it, if there is one."""
+        if self.count[name]:
+            at = len(self.elements) - 1
+            while self.elements[at].name != name:
+                at -= 1
+            self.cut(at)
+
+    def open(self, name: str, attrs: str) -> None:
+        if name in FOREIGN_TAGS or self.places["foreign"]:
+            within = self.last("foreign")
+            if attrs.endswith("/"):
+                return
+            # A block tag of the page ends an svg or math element that was left open.
+            if within >= 0 and name in BLOCK_TAGS - FOREIGN_HOLDERS and self.last("holder") < within:
+                self.cut(within)
+        if name in ("p", "li", "dt", "dd", "option", "tr", "td", "th"):
+            # An open element of the same kind, with nothing but text tags in it, ends here.
+            within = self.last("block")
+            if within >= 0 and self.elements[within].name == name:
+                self.cut(within)
+        words = [f"<{name}"]
+        for value in ATTRIBUTE.findall(attrs):
+            words += NAME.findall("".join(value).lower())
+        self.push(name, tuple(words))
 
 
 def blocks(page: str | None) -> list[Block]:
-    """The blocks with text of a page, in order."""
+    """The blocks with text of a page, in order. None for a null or empty page, or one without text."""
     found: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack = Stack()
     now: Block | None = None
-    foreign = False  # whether an svg or math element has been opened
 
     def add(raw: str) -> None:
         nonlocal now
@@ -102,18 +189,21 @@ def blocks(page: str | None) -> list[Block]:
         if now is None:
             if not raw.strip():
                 return
-            now = Block(tuple(word for _, words in stack for word in words))
+            now = Block(stack.top())
             found.append(now)
         text = html.unescape(raw) if "&" in raw else raw
         now.parts.append(text)
-        if any(name == "a" for name, _ in stack):
+        if stack.count["a"]:
             now.links += len(text.strip())
 
     at = 0
     page = page or ""
-    for token in TOKEN.finditer(page):
+    # Nothing behind the last > is a tag.
+    for token in TOKEN.finditer(page, 0, page.rfind(">") + 1):
         add(page[at : token.start()])
         at = token.end()
+        if token["over"] == "" or token["close"] == "":  # a comment or raw text without an end
+            at = len(page)
         name = token["name"]
         if not name:
             continue
@@ -123,32 +213,9 @@ def blocks(page: str | None) -> list[Block]:
         elif name == "br" and now is not None:
             now.parts.append(" ")
         if token["end"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
+            stack.close(name)
         elif name not in VOID_TAGS:
-            if name in FOREIGN_TAGS or foreign:
-                opened = [open_ for open_, _ in stack]
-                within = max((k for k, open_ in enumerate(opened) if open_ in FOREIGN_TAGS), default=None)
-                if token["attrs"].endswith("/") and (name in FOREIGN_TAGS or within is not None):
-                    continue
-                # A block tag of the page ends an svg or math element that was left open.
-                if within is not None and name in BLOCK_TAGS - FOREIGN_HOLDERS and FOREIGN_HOLDERS.isdisjoint(opened[within:]):
-                    del stack[within:]
-                foreign = True
-            if name in ("p", "li", "dt", "dd", "option", "tr", "td", "th"):
-                # An open element of the same kind, with nothing but text tags in it, ends here.
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        del stack[k:]
-                        break
-                    if stack[k][0] in BLOCK_TAGS:
-                        break
-            words = [f"<{name}"]
-            for value in ATTRIBUTE.findall(token["attrs"]):
-                words += NAME.findall("".join(value).lower())
-            stack.append((name, tuple(words)))
+            stack.open(name, token["attrs"])
     add(page[at:])
     kept = []
     for block in found:
@@ -160,7 +227,7 @@ def blocks(page: str | None) -> list[Block]:
 
 def taught(block: Block) -> bool:
     """What the structure says of a block."""
-    return "<title" not in block.path and not any(word.lstrip("<") in BOILERPLATE for word in block.path)
+    return block.element is None or block.element.main
 
 
 def _placed(words: list[str], places: int) -> tuple[np.ndarray, np.ndarray]:
@@ -168,19 +235,28 @@ def _placed(words: list[str], places: int) -> tuple[np.ndarray, np.ndarray]:
     return (codes % np.uint64(places)).astype(np.int64), np.where(codes >> np.uint64(63), 1.0, -1.0)
 
 
-def vectors(page: list[Block]) -> np.ndarray:
-    """One row per block."""
+@lru_cache(4096)
+def path_sums(words: tuple[str, ...]) -> np.ndarray:
+    """The words of a path, summed over their hashed places."""
+    places, signs = _placed(list(words), PATH)
+    return np.bincount(places, signs, PATH) if words else np.zeros(PATH)
+
+
+def vectors(page: list[Block], paths: list[tuple[str, ...]] | None = None) -> np.ndarray:
+    """One row per block; ``paths`` stands for the words of the blocks' own paths."""
     out = np.zeros((len(page), INPUT), np.float32)
-    paths = [block.path for block in page]
+    if not page:
+        return out
+    for k, block in enumerate(page):
+        if paths:
+            out[k, :PATH] = path_sums.__wrapped__(paths[k])
+        elif block.element:
+            out[k, :PATH] = block.element.sums
     words = [block.text.lower().split(" ") for block in page]
-    for at, groups, size in ((0, paths, PATH), (PATH, words, WORDS)):
-        counts = np.array([len(g) for g in groups], np.int64)
-        places, signs = _placed([w for g in groups for w in g], size)
-        rows = np.repeat(np.arange(len(page)), counts)
-        sums = np.bincount(rows * size + places, signs, len(page) * size).reshape(len(page), size)
-        if at:
-            sums /= np.maximum(np.sqrt((sums * sums).sum(1)), 1)[:, None]
-        out[:, at : at + size] = sums
+    places, signs = _placed([w for own in words for w in own], WORDS)
+    rows = np.repeat(np.arange(len(page)), [len(own) for own in words])
+    sums = np.bincount(rows * WORDS + places, signs, len(page) * WORDS).reshape(len(page), WORDS)
+    out[:, PATH : PATH + WORDS] = sums / np.maximum(np.sqrt((sums * sums).sum(1)), 1)[:, None]
     for k, block in enumerate(page):
         text = block.text
         out[k, PATH + WORDS :] = (
@@ -214,9 +290,10 @@ class Labeller:
         steps, width, n = len(x), x.shape[1], HIDDEN
         h = c = np.zeros((width, n), np.float32)
         states, kept = np.empty((steps, width, n), np.float32), []
-        fed = x @ self.p[f"wx{k}"] + self.p[f"b{k}"]
         for t in range(steps):
-            z = fed[t] + h @ self.p[f"wh{k}"]
+            if t % STEPS == 0:  # inputs of a very long page are taken in parts
+                fed = x[t : t + STEPS] @ self.p[f"wx{k}"] + self.p[f"b{k}"]
+            z = fed[t % STEPS] + h @ self.p[f"wh{k}"]
             gates, g = _tanh_gate(z[:, : 3 * n]), np.tanh(z[:, 3 * n :])
             i, f, o = gates[:, :n], gates[:, n : 2 * n], gates[:, 2 * n :]
             before_h, before_c = h, c
@@ -334,10 +411,8 @@ def examples(pages: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
             if not some:
                 continue
             labels = np.array([taught(b) for b in some], np.float32)
-            if leave:
-                for b in some:
-                    b.path = tuple(w for w in b.path if made.random() >= leave)
-            out.append((vectors(some), labels))
+            paths = [tuple(w for w in b.path if made.random() >= leave) for b in some] if leave else None
+            out.append((vectors(some, paths), labels))
     return out
 
 
