@@ -26,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from orderloom.llm.common import prepare
+from orderloom.llm.common import prepare, remembers, serve
 
 CHUNK = 1 << 18
 OVERLAP = 1 << 10
@@ -133,10 +133,12 @@ class Encoder(dict):
 
 
 _OPEN: dict[tuple[str, str], Encoder] = {}
+remembers("bpe", _OPEN.clear)
 
 
 def encoder(path: str, pattern: str) -> Encoder:
-    """The encoder of a rank file, opened once per Python worker."""
+    """The encoder of a rank file, opened once per Python worker that serves no other operator in between."""
+    serve("bpe")
     if (path, pattern) not in _OPEN:
         _OPEN[path, pattern] = Encoder(path, pattern)
     return _OPEN[path, pattern]

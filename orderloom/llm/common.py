@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
 import zlib
+from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderloom.session import shared_folder
@@ -45,6 +48,35 @@ def fold(key: Column, folds: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % folds
 
 
+# What the operators remember in a Python worker, which may serve one after the other.
+_FORGET: dict[str, Callable[[], None]] = {}
+_serving: str | None = None
+# Longer words are not remembered, so that a number of words bounds the bytes they take.
+LONG_WORD = 64
+
+
+def remembers(operator: str, forget: Callable[[], None]) -> None:
+    """An operator that keeps something between batches says how to empty it."""
+    _FORGET[operator] = forget
+
+
+def serve(operator: str) -> None:
+    """Called by the tasks of an operator: a worker that served another one forgets what that one kept."""
+    global _serving
+    if _serving == operator:
+        return
+    for other, forget in _FORGET.items():
+        if other != operator:
+            forget()
+    if _serving is not None:
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # not every C library has it
+            pass
+    _serving = operator
+
+
 class WordHashes(dict):
     """Word to a 32-bit hash, remembered between batches; forgets all when it grows too large."""
 
@@ -53,9 +85,11 @@ class WordHashes(dict):
         self.most = most
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        value = self[word] = zlib.crc32(word.encode("utf-8", "surrogatepass"))
+        value = zlib.crc32(word.encode("utf-8", "surrogatepass"))
+        if len(word) <= LONG_WORD:
+            if len(self) >= self.most:
+                self.clear()
+            self[word] = value
         return value
 
     def of(self, words: list[str]) -> np.ndarray:

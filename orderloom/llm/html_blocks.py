@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderloom.llm.common import WordHashes, mix, prepare
+from orderloom.llm.common import WordHashes, mix, prepare, remembers, serve
 
 PATH, WORDS, EXTRA, HIDDEN = 48, 32, 6, 24
 INPUT = PATH + WORDS + EXTRA
@@ -86,6 +86,7 @@ ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 NAME = re.compile(r"[a-z]+")
 DIGIT = re.compile(r"\d")
 _HASHES = WordHashes(200_000)
+remembers("html_blocks", _HASHES.clear)
 
 
 class Element:
@@ -445,6 +446,7 @@ def main_text(spark: SparkSession, pages: DataFrame, model: Labeller | None = No
     held = spark.sparkContext.broadcast(model or fit(pages))
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        serve("html_blocks")
         for batch in batches:
             read = [blocks(page) for page in batch.column("html").to_pylist()]
             chances = held.value.probabilities([vectors(own) for own in read])

@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from orderloom.llm.common import mix, prepare
+from orderloom.llm.common import LONG_WORD, mix, prepare, remembers, serve
 from orderloom.session import scratch_path
 
 SHINGLE = 5
@@ -60,14 +60,17 @@ class Codes(dict):
         self.most = most
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= self.most:
-            self.clear()
         raw = hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest()
-        value = self[word] = int.from_bytes(raw, "little")
+        value = int.from_bytes(raw, "little")
+        if len(word) <= LONG_WORD:
+            if len(self) >= self.most:
+                self.clear()
+            self[word] = value
         return value
 
 
 _CODES = Codes()
+remembers("near_dedup", _CODES.clear)
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -124,6 +127,7 @@ _SIGNED = "doc_id bigint, n_shingles bigint, set_key binary, buckets array<bigin
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    serve("near_dedup")
     for batch in batches:
         sizes, keys, buckets, signatures = [], [], [], []
         for text in batch.column("text").to_pylist():
@@ -146,6 +150,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    serve("near_dedup")
     for batch in batches:
         own = [shingles(text).tobytes() for text in batch.column("text").to_pylist()]
         keys = [hashlib.blake2b(x, digest_size=16).digest() if x else None for x in own]
@@ -166,6 +171,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Members of two blocks that may be linked with one of another component."""
+    serve("near_dedup")
     least = PERCENT / 100 - SLACK
     for batch in batches:
         found = []
@@ -208,6 +214,7 @@ def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
 
 def _joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links between members of two blocks that join components."""
+    serve("near_dedup")
     for batch in batches:
         found_a, found_b = [], []
         for row in batch.to_pylist():

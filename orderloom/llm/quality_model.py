@@ -23,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from orderloom.llm.common import WordHashes, fold, mix, prepare, sigmoid, training_rows
+from orderloom.llm.common import WordHashes, fold, mix, prepare, remembers, serve, sigmoid, training_rows
 
 DIMENSIONS = 1 << 20
 MAX_ROWS = 12_000
@@ -33,10 +33,12 @@ THRESHOLD = 0.3
 ALPHA, BETA, L1, L2 = 0.15, 1.0, 0.3, 0.5
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 _HASHES = WordHashes()
+remembers("quality_model", _HASHES.clear)
 
 
 def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed n-grams of all texts end to end, and the number of n-grams of each text."""
+    serve("quality_model")
     words = [TOKEN.findall(text) if text else [] for text in texts]
     counts = np.fromiter(map(len, words), np.int64, len(words))
     codes = _HASHES.of([word for doc in words for word in doc])

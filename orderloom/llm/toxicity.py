@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from orderloom.llm.common import fold, mix, prepare, sigmoid, training_rows
+from orderloom.llm.common import fold, mix, prepare, remembers, serve, sigmoid, training_rows
 
 DIMENSIONS = 1 << 18
 FACTORS = 8
@@ -46,10 +46,15 @@ class Terms(dict):
 
     def __init__(self, most: int = 200_000):
         super().__init__()
-        self.most, self.table = most, np.zeros((most, 1 + len(BEGINNINGS)), np.int32)
+        self.most, self.table, self.chars = most, np.zeros((most, 1 + len(BEGINNINGS)), np.int32), 0
+
+    def clear(self) -> None:
+        super().clear()
+        self.chars = 0
 
     def __missing__(self, word: str) -> int:
         at = self[word] = len(self)
+        self.chars += len(word)
         self.table[at] = zlib.crc32(word.encode("utf-8", "surrogatepass")) % DIMENSIONS
         for k, size in enumerate(BEGINNINGS, 1):
             if len(word) > size:
@@ -58,7 +63,7 @@ class Terms(dict):
 
     def of(self, words: set[str]) -> np.ndarray:
         """Distinct places of a text's words."""
-        if len(self) + len(words) > self.most:
+        if len(self) + len(words) > self.most or self.chars > 16 * self.most:
             self.clear()
             if len(words) > self.most:
                 self.most = 2 * len(words)
@@ -67,10 +72,12 @@ class Terms(dict):
 
 
 _TERMS = Terms()
+remembers("toxicity", _TERMS.clear)
 
 
 def terms(text: str | None) -> np.ndarray:
     """The distinct places of a text's terms, in order."""
+    serve("toxicity")
     return _TERMS.of(set(WORD.findall(text.lower()))) if text else np.empty(0, np.int32)
 
 

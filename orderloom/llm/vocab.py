@@ -17,10 +17,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from orderloom.llm.common import remembers, serve
+
 # White space and separators other than space and line feed, for any library's idea of them.
 ODD_SPACE = "[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{180e}\\x{2000}-\\x{200f}\\x{2028}-\\x{202f}\\x{205f}-\\x{2064}\\x{3000}\\x{feff}]"
 BETWEEN = "\x1f"  # one of the odd ones, so free to mark cuts with
-MOST_PARTS = 1_000_000
+# In each of two generations; a part takes some 220 bytes.
+MOST_PARTS = 200_000
 LONG_PART = 100
 
 
@@ -113,10 +116,12 @@ class Vocabulary:
 
 
 _OPEN: dict[tuple[str, bool, bool], Vocabulary] = {}
+remembers("vocabulary", _OPEN.clear)
 
 
 def vocabulary(path: str, drops_space: bool, plain_names: bool = True) -> Vocabulary:
-    """The vocabulary of a file, opened once per Python worker."""
+    """The vocabulary of a file, opened once per Python worker that serves no other operator in between."""
+    serve("vocabulary")
     key = path, drops_space, plain_names
     if key not in _OPEN:
         _OPEN[key] = Vocabulary(*key)
