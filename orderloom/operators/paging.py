@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import stored
+from ..sources import commits
 
 DEFAULT_SIZE = 20
 MAX_SIZE = 100
+# Stored pages lie in row groups of this size, so a page reads little more than its rows.
+GROUP_BYTES = 4 << 20
 
 
 def mart_order(mart: str) -> list[Column]:
@@ -40,9 +43,13 @@ def number_rows(df: DataFrame, order: list[Column], out: str = "row_number") ->
     """Number the rows from 1 in the given order, sorted on all tasks.
 
     Each sorted partition numbers its own rows; the numbers are stored with the
-    rows before partition sizes turn them into positions, so both see one sort.
+    rows before partition sizes turn them into positions, so both see one sort. Rows that the order leaves
+    equal are put in order by a hash of all their columns, and rows that are equal altogether by the task they
+    come from, so that many of them do not meet in one task.
     """
-    placed = stored(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()))
+    ties = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)) if df.columns else F.lit(0)
+    tied = df.withColumns({"_ties": ties, "_from": F.spark_partition_id()}).orderBy(*order, "_ties", "_from")
+    placed = stored(tied.drop("_ties", "_from").withColumn("_place", F.monotonically_increasing_id()))
     placed = placed.withColumn("_part", F.shiftright("_place", 33))
     # One row per sorted partition.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -79,10 +86,31 @@ class Pages:
         _check(page, page_size)
         last = page * page_size
         wanted = F.col("row_number").between(last - page_size + 1, last)
-        rows = self.numbered.where(wanted).orderBy("row_number").drop("row_number")
+        # At most a page of rows: put in order without a sort of its own.
+        rows = self.numbered.where(wanted).orderBy("row_number").limit(page_size).drop("row_number")
         return Page(self.total, page, page_size, rows)
 
 
+def store(df: DataFrame, path: str, order: list[Column] | None = None) -> None:
+    """Sort and number a table for good: ``StoredPages`` then reads its pages without another sort.
+
+    Every file holds a range of numbers in order, and the commit says how many rows there are. The pages are
+    replaced in one step, as tables are.
+    """
+    numbered = number_rows(df, total_order(df, order))
+    dealt = numbered.repartitionByRange("row_number").sortWithinPartitions("row_number")
+    options = {"parquet.block.size": str(GROUP_BYTES)}
+    commits.replace(dealt, path, facts=lambda rows: {"total": rows.count()}, options=options)
+
+
+class StoredPages(Pages):
+    """The pages kept by ``store``. A page is a range of numbers that Parquet looks up in its own statistics."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.numbered = commits.read(spark, path)
+        self.total = commits.facts(spark, path)["total"]
+
+
 def _check(page: int, page_size: int) -> None:
     if page < 1:
         raise ValueError(f"page must be at least 1, got {page}")

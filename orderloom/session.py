@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Settings the operators rely on. They are runtime settings, so a session built
 # elsewhere can be brought in line as well.
@@ -64,18 +66,44 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# Folders made by ``scratch_path`` and not removed since.
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/orderloom-{uuid.uuid4().hex}/{name}"
+    folder = f"{shared_folder(spark)}/orderloom-{uuid.uuid4().hex}"
+    _made.append(folder)
+    return f"{folder}/{name}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch folders made inside are removed at the end, also if it fails.
+
+    For whole jobs, whose results are written by then; a frame that reads from
+    scratch cannot be used afterwards.
+    """
+    before = len(_made)
+    try:
+        yield
+    finally:
+        while len(_made) > before:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once, keep it in the shared folder and cut its lineage.
+    """Compute ``df`` once, keep it in the shared folder as Parquet and read it from there.
 
     Used where a result is read more than once: a lost executor then costs a
-    re-read of files and not a second run of the joins behind them.
+    re-read of files and not a second run of the joins behind them. Readers fetch only
+    the columns they use.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "stored")
+    # Parquet has no type for a column that is null by type.
+    void = [name for name, kind in df.dtypes if kind == "void"]
+    kept = df.drop(*void)
+    kept.write.parquet(path)
+    back = spark.read.schema(kept.schema).parquet(path)
+    return back.select(*(F.lit(None).alias(c) if c in void else F.col(f"`{c}`") for c in df.columns)) if void else back

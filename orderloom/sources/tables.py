@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 import os
-import uuid
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
-from ..operators import cleaning
+from ..operators import cleaning, paging
 from ..session import stored
-
-Check = Callable[[DataFrame], None]
+from . import commits
+from .commits import Check
 
 
 @dataclass(frozen=True)
@@ -20,40 +18,21 @@ class ParquetTables:
     base: str
 
     def replace(self, df: DataFrame, table: str, check: Check | None = None) -> None:
-        """Write beside the table, check what was written, then put it in the table's place.
+        """Write beside the rows of the table, check what was written, then let it count in their place.
 
-        A write or check that fails leaves the table as it was.
+        A job that fails or is stopped anywhere leaves the table as it was, or replaced; see ``commits``.
         """
-        spark = df.sparkSession
-        staged = f"{self.base}/.{table}-{uuid.uuid4().hex}"
-        try:
-            df.write.parquet(staged)
-            if check:
-                check(spark.read.schema(df.schema).parquet(staged))
-        except Exception:
-            _remove(spark, staged)
-            raise
-        _remove(spark, f"{self.base}/{table}")
-        files, path = _files(spark, staged)
-        if not files.rename(path, _path(spark, f"{self.base}/{table}")):
-            raise OSError(f"cannot move {staged} to {self.base}/{table}")
+        commits.replace(df, f"{self.base}/{table}", check)
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.parquet(f"{self.base}/{table}")
-
-
-def _path(spark: SparkSession, path: str):
-    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-
-
-def _files(spark: SparkSession, path: str):
-    at = _path(spark, path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+        return commits.read(spark, f"{self.base}/{table}")
 
+    def replace_pages(self, df: DataFrame, table: str, order: list[Column] | None = None) -> None:
+        """Keep the pages of a table next to it; see ``paging.store``."""
+        paging.store(df, f"{self.base}/{table}.pages", order)
 
-def _remove(spark: SparkSession, path: str) -> None:
-    files, at = _files(spark, path)
-    files.delete(at, True)
+    def pages(self, spark: SparkSession, table: str) -> paging.StoredPages:
+        return paging.StoredPages(spark, f"{self.base}/{table}.pages")
 
 
 @dataclass(frozen=True)
