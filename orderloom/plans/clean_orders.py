@@ -11,17 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.operators import cleaning
 from orderloom.session import build_session
-from orderloom.sources import csv
+from orderloom.sources import csv, records
 from orderloom.sources.tables import ORDERS_TABLE, JdbcTables, ParquetTables, replace_orders
 
 
 def raw_orders(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     """The orders files as text with missing cells as null and rows in file order.
 
-    A file without line breaks inside quotes is split over tasks with ``multi_line=False``.
+    Files are split over tasks, also where quoted cells hold line breaks; ``multi_line=False`` says that none does and
+    saves the look for them.
     """
-    scan = csv.read_csv(spark, path, multi_line=multi_line)
-    return csv.with_null_tokens(csv.with_file_order(scan))
+    if multi_line:
+        return csv.with_null_tokens(records.read_records(spark, path, order="ingest_seq"))
+    return csv.with_null_tokens(csv.with_file_order(csv.read_csv(spark, path)))
 
 
 def run_clean(
@@ -40,7 +42,7 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Clean an orders CSV")
     parser.add_argument("--input", required=True)
     parser.add_argument("--output", required=True, help="folder of the table")
-    parser.add_argument("--single-line", action="store_true", help="no line breaks inside quotes: split files")
+    parser.add_argument("--single-line", action="store_true", help="no line breaks inside quotes: do not look for them")
     args = parser.parse_args(argv)
     spark = build_session("orderloom clean orders")
     row = run_clean(spark, args.input, ParquetTables(args.output), not args.single_line).first()

@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 from orderloom.functions.typing import SCALE
 from orderloom.operators import enrich, marts, quality
 from orderloom.session import build_session, stored
-from orderloom.sources import csv, daily
+from orderloom.sources import csv, daily, records
 from orderloom.sources.tables import JdbcTables, ParquetTables
 
 SOURCES = ("order_items", "reviews", "orders")
@@ -28,7 +28,7 @@ MARTS = (
     "dm_monthly_revenue",
     "dm_review_distribution",
 )
-# Only review comments hold line breaks; the other files stay splittable.
+# Only review comments hold line breaks; the other files are not searched for them.
 MULTI_LINE = frozenset({"reviews"})
 # Scores are read as doubles, since files may spell them 4.0; they become whole later.
 TYPES = {
@@ -46,7 +46,7 @@ class Config:
     amounts reach the raw Parquet scan; other columns stay text. ``infer`` finds all
     types with a pass of its own, and a whole schema of a source in ``schemas`` goes
     before both. ``multi_line`` names the sources with line breaks inside quotes,
-    whose files cannot be split. ``scale`` is the number of decimals that sums keep.
+    whose files are split by ``records``. ``scale`` is the number of decimals that sums keep.
     """
 
     csv: dict[str, str]
@@ -65,14 +65,9 @@ class Config:
 def ingest(spark: SparkSession, cfg: Config, run_date: date) -> None:
     """Copy each CSV file to its day of the raw layer."""
     for name in SOURCES:
-        scan = csv.read_csv(
-            spark,
-            cfg.csv[name],
-            cfg.schemas.get(name),
-            cfg.infer,
-            multi_line=name in cfg.multi_line,
-            types=None if cfg.infer else cfg.types.get(name),
-        )
+        read = records.read_records if name in cfg.multi_line else csv.read_csv
+        types = None if cfg.infer else cfg.types.get(name)
+        scan = read(spark, cfg.csv[name], cfg.schemas.get(name), cfg.infer, types=types)
         daily.write_day(scan, cfg.raw, name, run_date, cfg.raw_files)
 
 
@@ -152,7 +147,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--raw-files", type=int)
     parser.add_argument("--silver-files", type=int)
     parser.add_argument("--infer", action="store_true", help="find column types, with one more pass")
-    parser.add_argument("--single-line", action="store_true", help="no line breaks inside quotes: split all files")
+    parser.add_argument("--single-line", action="store_true", help="no line breaks inside quotes: do not look for them")
     parser.add_argument("--scale", type=int, default=SCALE, choices=range(7), help="decimals that sums of amounts keep")
     args = parser.parse_args(argv)
     tables = ParquetTables(args.marts) if args.marts else JdbcTables.from_environment()
