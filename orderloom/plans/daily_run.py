@@ -1,5 +1,9 @@
 """The daily run: CSV to raw, raw to silver, silver to marts.
 
+Every table a run writes says what it was made from: the versions of its inputs and the settings that matter. A run
+leaves out tables that are made from just what it would make them from, so a run that failed goes on where it
+stopped, and one that finished is not repeated.
+
     spark-submit --py-files orderloom.zip orderloom/plans/daily_run.py \\
         --items .. --reviews .. --orders .. --raw .. --silver .. --marts .. --date 2024-01-15
 """
@@ -7,6 +11,7 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
@@ -15,9 +20,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from orderloom.functions.typing import SCALE
-from orderloom.operators import enrich, marts, quality
-from orderloom.session import build_session, stored
-from orderloom.sources import csv, daily, records
+from orderloom.operators import enrich, marts, paging, quality
+from orderloom.session import build_session, counted_from_footers, scratch, stored
+from orderloom.sources import commits, csv, daily, records
 from orderloom.sources.tables import JdbcTables, ParquetTables
 
 SOURCES = ("order_items", "reviews", "orders")
@@ -46,7 +51,8 @@ class Config:
     amounts reach the raw Parquet scan; other columns stay text. ``infer`` finds all
     types with a pass of its own, and a whole schema of a source in ``schemas`` goes
     before both. ``multi_line`` names the sources with line breaks inside quotes,
-    whose files are split by ``records``. ``scale`` is the number of decimals that sums keep.
+    whose files are split by ``records``. ``scale`` is the number of decimals that sums keep. ``again`` makes all
+    tables anew, also those that are up to date; ``pages`` keeps the pages of every mart next to it.
     """
 
     csv: dict[str, str]
@@ -60,15 +66,33 @@ class Config:
     types: dict[str, dict[str, str]] = field(default_factory=lambda: TYPES)
     multi_line: frozenset[str] = MULTI_LINE
     scale: int = SCALE
+    again: bool = False
+    pages: bool = False
+
+
+def _write_day(
+    spark: SparkSession, cfg: Config, base: str, name: str, run_date: date, made_from: str | None, files: int | None, make: Callable[[], DataFrame]
+) -> None:
+    """Write a day of a table, unless it is there and made from the same."""
+    if cfg.again or not commits.is_made_from(spark, daily.day_path(base, name, run_date), made_from):
+        daily.write_day(make(), base, name, run_date, files, {commits.MADE_FROM: made_from})
+
+
+def _versions(spark: SparkSession, base: str, names: tuple[str, ...], run_date: date) -> dict[str, str | None]:
+    return {name: commits.version(spark, daily.day_path(base, name, run_date)) for name in names}
 
 
 def ingest(spark: SparkSession, cfg: Config, run_date: date) -> None:
     """Copy each CSV file to its day of the raw layer."""
     for name in SOURCES:
         read = records.read_records if name in cfg.multi_line else csv.read_csv
-        types = None if cfg.infer else cfg.types.get(name)
-        scan = read(spark, cfg.csv[name], cfg.schemas.get(name), cfg.infer, types=types)
-        daily.write_day(scan, cfg.raw, name, run_date, cfg.raw_files)
+        schema, types = cfg.schemas.get(name), None if cfg.infer else cfg.types.get(name)
+        settings = name in cfg.multi_line, schema.json() if schema else "", cfg.infer, types or {}, cfg.raw_files or 0
+        made_from = commits.digest("raw", commits.listing(spark, cfg.csv[name]), settings)
+        _write_day(
+            spark, cfg, cfg.raw, name, run_date, made_from, cfg.raw_files,
+            lambda: read(spark, cfg.csv[name], schema, cfg.infer, types=types),
+        )
 
 
 def refine(spark: SparkSession, cfg: Config, run_date: date) -> None:
@@ -77,45 +101,70 @@ def refine(spark: SparkSession, cfg: Config, run_date: date) -> None:
     The join runs once. Both summaries read the written rows and only the columns
     they need.
     """
-    raw = {name: daily.read_day(spark, cfg.raw, name, run_date) for name in SOURCES}
-    valid = {name: quality.valid(df, name) for name, df in raw.items()}
-    joined = enrich.orders_enriched(valid["order_items"], valid["orders"], valid["reviews"])
-    daily.write_day(joined, cfg.silver, "orders_enriched", run_date, cfg.silver_files)
 
+    def joined() -> DataFrame:
+        raw = {name: daily.read_day(spark, cfg.raw, name, run_date) for name in SOURCES}
+        valid = {name: quality.valid(df, name) for name, df in raw.items()}
+        return enrich.orders_enriched(valid["order_items"], valid["orders"], valid["reviews"])
+
+    def sellers() -> DataFrame:
+        return marts.seller_ranking(enrich.row_facts(rows, "price", "seller_id", scale=cfg.scale))
+
+    def months() -> DataFrame:
+        return marts.monthly_stats(enrich.row_facts(rows, "total_amount", "order_purchase_timestamp", scale=cfg.scale))
+
+    files = cfg.silver_files or 0
+    made_from = commits.digest("enriched", _versions(spark, cfg.raw, SOURCES, run_date), files)
+    _write_day(spark, cfg, cfg.silver, "orders_enriched", run_date, made_from, cfg.silver_files, joined)
     rows = daily.read_day(spark, cfg.silver, "orders_enriched", run_date)
-    sellers = marts.seller_ranking(enrich.row_facts(rows, "price", "seller_id", scale=cfg.scale))
-    daily.write_day(sellers, cfg.silver, "seller_ranking", run_date, cfg.silver_files)
-    months = marts.monthly_stats(enrich.row_facts(rows, "total_amount", "order_purchase_timestamp", scale=cfg.scale))
-    daily.write_day(months, cfg.silver, "monthly_stats", run_date, cfg.silver_files)
+    version = _versions(spark, cfg.silver, ("orders_enriched",), run_date)
+    for name, make in (("seller_ranking", sellers), ("monthly_stats", months)):
+        made_from = commits.digest(name, version, cfg.scale, files)
+        _write_day(spark, cfg, cfg.silver, name, run_date, made_from, cfg.silver_files, make)
 
 
 def publish(spark: SparkSession, cfg: Config, run_date: date) -> None:
     """Replace the four marts with those of one silver day."""
     silver = {name: daily.read_day(spark, cfg.silver, name, run_date) for name in SILVER}
-    # Status and review marts share one scan: both add up from (status, delay) groups.
-    groups = stored(
-        enrich.by_status_and_delay(
-            enrich.row_facts(
+    versions = _versions(spark, cfg.silver, SILVER, run_date)
+    held: list[DataFrame] = []
+
+    def groups() -> DataFrame:
+        # Status and review marts share one scan: both add up from (status, delay) groups.
+        if not held:
+            facts = enrich.row_facts(
                 silver["orders_enriched"], "total_amount", "order_status", "delivery_delay_days", scale=cfg.scale
             )
-        )
-    )
-    cfg.marts.replace(marts.status_performance(groups), "dm_order_status_performance")
-    cfg.marts.replace(marts.seller_mart(silver["seller_ranking"]), "dm_seller_performance")
-    cfg.marts.replace(marts.month_mart(silver["monthly_stats"]), "dm_monthly_revenue")
-    cfg.marts.replace(marts.review_distribution(groups), "dm_review_distribution")
+            held.append(stored(enrich.by_status_and_delay(facts)))
+        return held[0]
+
+    made: dict[str, tuple[str, Callable[[], DataFrame]]] = {
+        "dm_order_status_performance": ("orders_enriched", lambda: marts.status_performance(groups())),
+        "dm_seller_performance": ("seller_ranking", lambda: marts.seller_mart(silver["seller_ranking"])),
+        "dm_monthly_revenue": ("monthly_stats", lambda: marts.month_mart(silver["monthly_stats"])),
+        "dm_review_distribution": ("orders_enriched", lambda: marts.review_distribution(groups())),
+    }
+    for name, (source, make) in made.items():
+        made_from = commits.digest(name, {source: versions[source]}, cfg.scale)
+        if cfg.again or not cfg.marts.is_made_from(spark, name, made_from):
+            cfg.marts.replace(make(), name, made_from=made_from)
+        if cfg.pages:
+            cfg.marts.replace_pages(cfg.marts.read(spark, name), name, paging.mart_order(name))
 
 
 def run_report(spark: SparkSession, cfg: Config, run_date: date) -> DataFrame:
     """Row counts of a finished run: stage, name, n_rows.
 
-    Counted on the written tables and by one pass per raw source for its rules.
+    Counted by one pass per raw source for its rules, and on the footers of the other written tables.
     """
     def count(df: DataFrame, stage: str, name: str) -> DataFrame:
         return df.agg(F.count("*").alias("n_rows")).select(
             F.lit(stage).alias("stage"), F.lit(name).alias("name"), "n_rows"
         )
 
+    def silver(name: str) -> DataFrame:
+        return daily.read_day(spark, cfg.silver, name, run_date)
+
     raw = {name: daily.read_day(spark, cfg.raw, name, run_date) for name in SOURCES}
     parts = []
     for name, df in raw.items():
@@ -124,16 +173,21 @@ def run_report(spark: SparkSession, cfg: Config, run_date: date) -> DataFrame:
         read = F.struct(F.lit("raw").alias("stage"), F.col("source").alias("name"), F.col("n_in").alias("n_rows"))
         kept = F.struct(F.lit("rule").alias("stage"), F.col("rule").alias("name"), F.col("n_kept").alias("n_rows"))
         parts.append(rules.select(F.inline(F.when(F.col("is_first"), F.array(read, kept)).otherwise(F.array(kept)))))
-    parts += [count(daily.read_day(spark, cfg.silver, name, run_date), "silver", name) for name in SILVER]
-    parts += [count(cfg.marts.read(spark, name), "mart", name) for name in MARTS]
+    with counted_from_footers(spark):
+        parts += [count(silver(name), "silver", name) for name in SILVER]
+        parts += [count(cfg.marts.read(spark, name), "mart", name) for name in MARTS]
     return reduce(DataFrame.unionByName, parts)
 
 
 def run_day(spark: SparkSession, cfg: Config, run_date: date) -> None:
-    """All three stages for one day, in order; the first failure stops the run."""
-    ingest(spark, cfg, run_date)
-    refine(spark, cfg, run_date)
-    publish(spark, cfg, run_date)
+    """All three stages for one day, in order; the first failure stops the run.
+
+    Steps that are kept between them go with the run, finished or not.
+    """
+    with scratch(spark):
+        ingest(spark, cfg, run_date)
+        refine(spark, cfg, run_date)
+        publish(spark, cfg, run_date)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -148,13 +202,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--silver-files", type=int)
     parser.add_argument("--infer", action="store_true", help="find column types, with one more pass")
     parser.add_argument("--single-line", action="store_true", help="no line breaks inside quotes: do not look for them")
+    parser.add_argument("--again", action="store_true", help="make all tables anew, also those that are up to date")
+    parser.add_argument("--pages", action="store_true", help="keep the pages of every mart next to it")
     parser.add_argument("--scale", type=int, default=SCALE, choices=range(7), help="decimals that sums of amounts keep")
     args = parser.parse_args(argv)
     tables = ParquetTables(args.marts) if args.marts else JdbcTables.from_environment()
     cfg = Config(
         {"order_items": args.items, "reviews": args.reviews, "orders": args.orders},
         args.raw, args.silver, tables, args.raw_files, args.silver_files, infer=args.infer,
-        multi_line=frozenset() if args.single_line else MULTI_LINE, scale=args.scale,
+        multi_line=frozenset() if args.single_line else MULTI_LINE, scale=args.scale, again=args.again, pages=args.pages,
     )
     spark = build_session("orderloom daily run")
     run_day(spark, cfg, args.date)

@@ -19,6 +19,7 @@ stores). Of two replacements at the same time one fails.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import uuid
@@ -182,3 +183,41 @@ def facts(spark: SparkSession, path: str) -> dict:
     """What the last commit says of its rows."""
     now = Folder(spark, path).last()
     return now.facts if now else {}
+
+
+# --- what was made from what ------------------------------------------------------
+
+MADE_FROM = "made_from"
+
+
+def version(spark: SparkSession, path: str) -> str | None:
+    """The id of the last write of a folder; None if it has no commit."""
+    now = Folder(spark, path).last()
+    return now.write if now else None
+
+
+def digest(*parts) -> str | None:
+    """A name for a step's inputs and settings; None if the version of an input is not known."""
+    if any(part is None or isinstance(part, dict) and None in part.values() for part in parts):
+        return None
+    return hashlib.sha256(json.dumps(parts, sort_keys=True, default=str).encode()).hexdigest()
+
+
+def is_made_from(spark: SparkSession, path: str, made_from: str | None) -> bool:
+    """Whether the last write of a folder says it was made from just this."""
+    return made_from is not None and facts(spark, path).get(MADE_FROM) == made_from
+
+
+def listing(spark: SparkSession, path: str | list[str]) -> list[tuple[str, int, int]]:
+    """Name, length and time of every file at some paths, for the version of an input without commits."""
+    hadoop, found = spark.sparkContext._jvm.org.apache.hadoop.fs, []
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for one in [path] if isinstance(path, str) else path:
+        at = hadoop.Path(one)
+        files = at.getFileSystem(conf)
+        for status in files.globStatus(at) or []:
+            each = files.listFiles(status.getPath(), True)
+            while each.hasNext():
+                file = each.next()
+                found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return sorted(found)

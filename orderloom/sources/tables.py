@@ -17,12 +17,15 @@ from .commits import Check
 class ParquetTables:
     base: str
 
-    def replace(self, df: DataFrame, table: str, check: Check | None = None) -> None:
+    def replace(self, df: DataFrame, table: str, check: Check | None = None, made_from: str | None = None) -> None:
         """Write beside the rows of the table, check what was written, then let it count in their place.
 
         A job that fails or is stopped anywhere leaves the table as it was, or replaced; see ``commits``.
         """
-        commits.replace(df, f"{self.base}/{table}", check)
+        commits.replace(df, f"{self.base}/{table}", check, facts={commits.MADE_FROM: made_from})
+
+    def is_made_from(self, spark: SparkSession, table: str, made_from: str | None) -> bool:
+        return commits.is_made_from(spark, f"{self.base}/{table}", made_from)
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return commits.read(spark, f"{self.base}/{table}")
@@ -60,7 +63,11 @@ class JdbcTables:
         properties = {key: os.environ[name] for key, name in names.items() if name in os.environ}
         return cls(os.environ["JDBC_URL"], properties, **options)
 
-    def replace(self, df: DataFrame, table: str, check: Check | None = None) -> None:
+    def is_made_from(self, spark: SparkSession, table: str, made_from: str | None) -> bool:
+        """A database keeps no word of it."""
+        return False
+
+    def replace(self, df: DataFrame, table: str, check: Check | None = None, made_from: str | None = None) -> None:
         if check:
             df = stored(df)  # what is checked is what is written
             check(df)
