@@ -6,7 +6,8 @@ the next one, and every chunk is cut into pieces and encoded by itself. Matching
 back at nothing and ahead at no more than ``AHEAD`` characters, so two chunks agree from the first place in
 their overlap where both begin a piece: there the ids of the one end and those of the other go on. Where an
 overlap has no such place (a run of letters longer than it), the two chunks are cut again as one. The chunks of
-a long text meet by row, in order; texts of one chunk are encoded where they are read, without a shuffle.
+a long text come by row, in order, to a task that holds two of them at a time and hashes ids and bytes as they
+pass; texts of one chunk are encoded where they are read, without a shuffle.
 
 Pieces are remembered with their ids between texts, up to a bound. Decoding puts the bytes of all ids end to
 end. A null or empty text has no ids; repeated rows give repeated results; all 256 single bytes need ranks,
@@ -19,6 +20,7 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import public_tokenizers
@@ -28,8 +30,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from orderloom.llm.common import prepare, remembers, serve
 
-CHUNK = 1 << 18
-OVERLAP = 1 << 10
+CHUNK = 1 << 14
+OVERLAP = 1 << 9
+# Chunks handed on at once.
+SLICES = 64
 MOST_PIECES = 500_000
 LONG_PIECE = 200
 SHORT = 64
@@ -145,52 +149,75 @@ def encoder(path: str, pattern: str) -> Encoder:
 
 
 class Chunk:
-    """A chunk's pieces: where each begins in the document, and its ids' place among the chunk's ids."""
+    """A chunk's pieces: where each begins in the chunk, and its ids' place among the chunk's ids (in bytes)."""
 
-    def __init__(self, text: str, begin: int, starts: np.ndarray, sure: int, at: np.ndarray, ids: bytes):
-        self.text, self.begin, self.starts, self.sure, self.at, self.ids = text, begin, starts, sure, at, ids
+    def __init__(self, text: str, begin: int, last: bool, starts: np.ndarray, sure: int, at: np.ndarray, ids: bytes):
+        self.text, self.begin, self.last = text, begin, last
+        self.starts, self.sure, self.at, self.ids = starts, sure, at, ids
 
     @classmethod
     def cut(cls, coder: Encoder, text: str, begin: int, last: bool) -> Chunk:
         pieces = coder.pattern.findall(text)
         ids = list(map(coder.__getitem__, pieces))
-        edges = begin + np.concatenate([[0], np.cumsum([len(p) for p in pieces], dtype=np.int64)])
+        edges = np.concatenate([[0], np.cumsum([len(p) for p in pieces], dtype=np.int32)]).astype(np.int32)
         # A piece near the end of a chunk that goes on may go on as well.
-        sure = int(np.sum(edges[1:] <= begin + len(text) - (0 if last else AHEAD)))
-        at = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)])
-        return cls(text, begin, edges[:-1], sure, at, b"".join(ids))
+        sure = int(np.sum(edges[1:] <= len(text) - (0 if last else AHEAD)))
+        at = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int32)]).astype(np.int32)
+        return cls(text, begin, last, edges[:-1], sure, at, b"".join(ids))
 
     def between(self, first: int, stop: int) -> bytes:
         """The ids of the pieces from ``first`` up to ``stop``."""
         return self.ids[int(self.at[first]) : int(self.at[stop])]
 
 
-def stitch(coder: Encoder, chunks: list[Chunk]) -> bytes:
-    """The ids of a document from its chunks in order."""
-    out, now, first = [], chunks[0], 0
-    for k, after in enumerate(chunks[1:], 2):
-        own = now.starts[first : now.sure]
-        common = np.intersect1d(own[own >= after.begin], after.starts[: after.sure], assume_unique=True)
+def stitched(coder: Encoder, chunks: Iterator[Chunk]) -> Iterator[bytes]:
+    """The ids of a document from its chunks in order, two of which are held at a time."""
+    now, first = next(chunks), 0
+    for after in chunks:
+        own = now.begin + now.starts[first : now.sure].astype(np.int64)
+        others = after.begin + after.starts[: after.sure].astype(np.int64)
+        common = np.intersect1d(own[own >= after.begin], others, assume_unique=True)
         if len(common):
-            out.append(now.between(first, int(np.searchsorted(now.starts, common[0]))))
-            now, first = after, int(np.searchsorted(after.starts, common[0]))
+            yield now.between(first, int(np.searchsorted(now.begin + now.starts.astype(np.int64), common[0])))
+            now, first = after, int(np.searchsorted(others, common[0]))
             continue
         # No agreement: what is not certain, and the chunk after it, are cut again as one.
         certain = max(first, now.sure - 1)
-        out.append(now.between(first, certain))
+        yield now.between(first, certain)
         start = int(now.starts[certain])
-        text = now.text[start - now.begin : after.begin - now.begin] + after.text
-        now, first = Chunk.cut(coder, text, start, k == len(chunks)), 0
-    return b"".join([*out, now.between(first, len(now.starts))])
+        text = now.text[start : after.begin - now.begin] + after.text
+        now, first = Chunk.cut(coder, text, now.begin + start, after.last), 0
+    yield now.between(first, len(now.starts))
 
 
-def _digests(coder: Encoder, ids: list, encoded: list[bytes]) -> pa.RecordBatch:
-    rows = list(zip(*map(coder.digest, encoded), strict=True)) or [[], [], []]
+class Digest:
+    """Token count and hashes of the ids and of the decoded bytes, taken as ids pass."""
+
+    def __init__(self, coder: Encoder):
+        self.coder, self.size = coder, 0
+        self.ids, self.decoded = hashlib.sha256(), hashlib.sha256()
+
+    def add(self, ids: bytes) -> None:
+        if ids:
+            self.ids.update(b"," * (self.size > 0) + self.coder.written(ids))
+            self.decoded.update(self.coder.decode(ids))
+            self.size += len(ids) // np.dtype(self.coder.kind).itemsize
+
+    def row(self) -> tuple[int, str, str]:
+        return self.size, self.ids.hexdigest(), self.decoded.hexdigest()
+
+
+def _digests(ids: list, rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[], [], []]
     kinds = (pa.int64(), pa.string(), pa.string())
-    arrays = [pa.array(values, kind) for values, kind in zip(rows, kinds, strict=True)]
+    arrays = [pa.array(values, kind) for values, kind in zip(columns, kinds, strict=True)]
     return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *arrays], [c.split()[0] for c in DIGEST.split(", ")])
 
 
+_CHUNKS = "row_no bigint, doc_id bigint, chunk_no int, chunk string, is_last boolean"
+_CUT = f"{_CHUNKS}, starts binary, sure int, at binary, ids binary"
+
+
 def digests(
     docs: DataFrame, path: str | None = None, pattern: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP
 ) -> DataFrame:
@@ -203,42 +230,50 @@ def digests(
         coder = encoder(path, pattern)
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            yield _digests(coder, batch.column("doc_id").to_pylist(), [coder.encode(text or "") for text in texts])
+            yield _digests(batch.column("doc_id").to_pylist(), [coder.digest(coder.encode(text or "")) for text in texts])
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.bool_())
+        names = [part.split()[0] for part in _CHUNKS.split(", ")]
+        for batch in batches:
+            for row_no, doc, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                count = -(-(len(text) - overlap) // chunk)
+                for first in range(0, count, SLICES):
+                    numbers = range(first, min(first + SLICES, count))
+                    texts = [text[k * chunk : (k + 1) * chunk + overlap] for k in numbers]
+                    columns = [[row_no] * len(texts), [doc] * len(texts), list(numbers), texts, [k + 1 == count for k in numbers]]
+                    arrays = [pa.array(values, kind) for values, kind in zip(columns, kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays(arrays, names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path, pattern)
         for batch in batches:
             made = [Chunk.cut(coder, r["chunk"], r["chunk_no"] * chunk, r["is_last"]) for r in batch.to_pylist()]
             columns = [[c.starts.tobytes() for c in made], [c.sure for c in made], [c.at.tobytes() for c in made], [c.ids for c in made]]
-            arrays = [pa.array(v, kind) for v, kind in zip(columns, (pa.binary(), pa.int64(), pa.binary(), pa.binary()), strict=True)]
+            arrays = [pa.array(v, kind) for v, kind in zip(columns, (pa.binary(), pa.int32(), pa.binary(), pa.binary()), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [*batch.schema.names, "starts", "sure", "at", "ids"])
 
-    def joined(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["chunk_no"])
-        chunks = [
-            Chunk(r["chunk"], r["chunk_no"] * chunk, np.frombuffer(r["starts"], np.int64), r["sure"],
-                  np.frombuffer(r["at"], np.int64), r["ids"])
-            for r in rows
-        ]
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row per text; chunks come sorted by row and number."""
         coder = encoder(path, pattern)
-        return pa.Table.from_batches([_digests(coder, [rows[0]["doc_id"]], [stitch(coder, chunks)])])
+
+        def chunks() -> Iterator[tuple[tuple, Chunk]]:
+            for batch in batches:
+                for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                    row_no, doc, number, text, last, starts, sure, at, ids = row
+                    starts, at = np.frombuffer(starts, np.int32), np.frombuffer(at, np.int32)
+                    yield (row_no, doc), Chunk(text, number * chunk, last, starts, sure, at, ids)
+
+        for (_, doc), own in groupby(chunks(), key=lambda found: found[0]):
+            digest = Digest(coder)
+            for ids in stitched(coder, (found for _, found in own)):
+                digest.add(ids)
+            yield _digests([doc], [digest.row()])
 
     rows = docs.selectExpr("cast(doc_id as bigint) AS doc_id", "text")
     n = F.length("text")
     short = rows.where(F.coalesce(n <= chunk + overlap, F.lit(True))).mapInArrow(whole, DIGEST)
-    count = F.ceil((n - overlap) / chunk).cast("int")
-    chunks = F.transform(
-        F.sequence(F.lit(0), count - 1), lambda c: F.substring(F.col("text"), c * chunk + 1, F.lit(chunk + overlap))
-    )
-    dealt = (
-        rows.where(n > chunk + overlap)
-        .withColumn("row_no", F.monotonically_increasing_id())
-        .select("row_no", "doc_id", count.alias("count"), F.posexplode(chunks).alias("chunk_no", "chunk"))
-        .withColumn("is_last", F.col("chunk_no") + 1 == F.col("count"))
-        .drop("count")
-        .repartition("row_no", "chunk_no")
-    )
-    encoded = dealt.mapInArrow(
-        cut, "row_no bigint, doc_id bigint, chunk_no int, chunk string, is_last boolean, starts binary, sure bigint, at binary, ids binary"
-    )
-    return short.unionByName(encoded.groupBy("row_no").applyInArrow(joined, DIGEST))
+    long = rows.where(n > chunk + overlap).select(F.monotonically_increasing_id().alias("row_no"), "doc_id", "text")
+    dealt = long.mapInArrow(sliced, _CHUNKS).repartition("row_no", "chunk_no")
+    met = dealt.mapInArrow(cut, _CUT).repartition("row_no").sortWithinPartitions("row_no", "chunk_no")
+    return short.unionByName(met.mapInArrow(joined, DIGEST))

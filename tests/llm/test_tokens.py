@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import io
 import random
+import weakref
 import zlib
 from collections import defaultdict
 
@@ -164,3 +165,31 @@ def test_bpe_chunks(spark, chunk, overlap):
     got = [tuple(r) for r in bpe.digests(docs, chunk=chunk, overlap=overlap).collect()]
     assert sorted(got, key=key) == sorted(want, key=key)
     assert bpe.digests(empty(spark)).count() == 0
+
+
+def test_given_texts_are_cut_and_stitched(spark):
+    """Whole texts of the table are longer than a chunk, and their ids are those of the library."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where(f"length(text) > {bpe.CHUNK + bpe.OVERLAP}")
+    rows, plain = docs.select("doc_id", "text").collect(), library()
+    assert len(rows) > 10
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in bpe.digests(docs).collect()}
+    for doc, text in rows:
+        ids = plain.encode_ordinary(text)
+        assert got[doc] == (len(ids), *(hashlib.sha256(x.encode()).hexdigest() for x in (",".join(map(str, ids)), text)))
+
+
+def test_a_stitched_text_is_held_two_chunks_at_a_time():
+    coder, plain = bpe.encoder(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN), library()
+    text = "".join(f"Word {k * 7919} it's  {'é' * (k % 90)}\n" for k in range(3000))
+    chunk, overlap, alive = 500, 60, []
+
+    def chunks():
+        count = -(-(len(text) - overlap) // chunk)
+        for k in range(count):
+            alive.append(weakref.ref(own := bpe.Chunk.cut(coder, text[k * chunk : (k + 1) * chunk + overlap], k * chunk, k + 1 == count)))
+            yield own
+            del own
+            assert sum(ref() is not None for ref in alive) <= 3
+
+    ids = b"".join(bpe.stitched(coder, chunks()))
+    assert np.frombuffer(ids, coder.kind).tolist() == plain.encode_ordinary(text)
