@@ -5,18 +5,20 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
-from orderloom.functions import typing  # noqa: E402
+from orderloom.functions import text, typing  # noqa: E402
 from orderloom.operators import cleaning, enrich, marts, paging, quality, ranking, views  # noqa: E402
 from orderloom.plans import clean_orders as clean_plan, daily_run as daily_plan  # noqa: E402
-from orderloom.session import configure, scratch_path, stored  # noqa: E402
-from orderloom.sources import csv, daily, tpch  # noqa: E402
+from orderloom.session import configure, partitions_for, scratch_path, stored, table_bytes  # noqa: E402
+from orderloom.sources import bucketed, commits, csv, daily, records, tpch  # noqa: E402
 from orderloom.sources.tables import ORDERS_TABLE, ParquetTables, replace_orders  # noqa: E402
 
 try:  # the text operators are an optional part
@@ -53,14 +55,14 @@ def _order_facts(spark, sf):
 
 
 def typed_inputs(spark, sf):
-    text = tpch.text_inputs(spark, sf).withColumnsRenamed(
+    cells = tpch.text_inputs(spark, sf).withColumnsRenamed(
         {"score": "review_score", "price_txt": "price", "ts_txt": "order_purchase_timestamp"}
     )
-    typed = quality.typed_reviews(text)
+    typed = quality.typed_reviews(cells)
     return typed.withColumns(
         {
-            "price": typing.amount(text, "price"),
-            "order_purchase_timestamp": typing.timestamp(text, "order_purchase_timestamp"),
+            "price": typing.amount(cells, "price"),
+            "order_purchase_timestamp": typing.timestamp(cells, "order_purchase_timestamp"),
         }
     )
 
@@ -100,7 +102,12 @@ def seller_ranking(spark, sf):
 
 
 def seller_ranking_bucketed(spark, sf):
-    return marts.seller_ranking(_seller_facts(spark, sf))
+    """From tables kept in buckets of their order, which meet without a shuffle."""
+    sources = {"items": tpch.items, "orders": tpch.orders, "reviews": tpch.reviews}
+    kept = [bucketed.keep(read(spark, sf), name, enrich.KEY) for name, read in sources.items()]
+    names = ("order_items", "orders", "reviews")
+    sides = [quality.valid(df, name) for df, name in zip(kept, names)]
+    return marts.seller_ranking(enrich.seller_facts(*sides))
 
 
 def item_ranking_ties(spark, sf):
@@ -156,6 +163,24 @@ def pages_default_order(spark, sf):
     return paging.all_pages(items, page_size=7)
 
 
+def page_sellers_stored(spark, sf):
+    """A page of a mart whose pages are kept with it."""
+    tables, name = ParquetTables(scratch_path(spark, "marts")), "dm_seller_performance"
+    tables.replace_pages(dm_seller_performance(spark, sf), name, paging.mart_order(name))
+    got = tables.pages(spark, name).page(2)
+    return got.data.withColumn("total", F.lit(got.total).cast("bigint"))
+
+
+def page_items_stored(spark, sf):
+    """A page deep in a stored table, in the default order."""
+    tables = ParquetTables(scratch_path(spark, "tables"))
+    items = tpch.items(spark, sf).select("freight_value", "seller_id", "order_id", "order_item_id", "price")
+    tables.replace_pages(items, "items")
+    pages = tables.pages(spark, "items")
+    got = pages.page(pages.total // 70, 50)
+    return got.data.withColumn("total", F.lit(got.total).cast("bigint"))
+
+
 def top_sellers(spark, sf):
     return views.top_sellers(dm_seller_performance(spark, sf))
 
@@ -164,6 +189,11 @@ def seller_scatter(spark, sf):
     return views.seller_scatter(dm_seller_performance(spark, sf))
 
 
+def seller_scatter_first(spark, sf):
+    """Fewer sellers than there are."""
+    return views.seller_scatter(dm_seller_performance(spark, sf), 30)
+
+
 def status_share(spark, sf):
     return views.status_share(stored(dm_order_status_performance(spark, sf)))
 
@@ -176,6 +206,15 @@ def status_score_matrix(spark, sf):
     return views.status_score_matrix(dm_review_distribution(spark, sf))
 
 
+def status_score_matrix_gaps(spark, sf):
+    """With a status that lacks scores, and a score that most statuses lack."""
+    mart = dm_review_distribution(spark, sf)
+    gaps = (F.col("order_status").startswith("d") & F.col("review_score").isin(2, 4)) | (
+        ~F.col("order_status").startswith("d") & (F.col("review_score") == 5)
+    )
+    return views.status_score_matrix(mart.where(~gaps))
+
+
 def revenue_kpis(spark, sf):
     return views.revenue_kpis(dm_monthly_revenue(spark, sf))
 
@@ -221,6 +260,18 @@ def csv_clean_report(spark, sf):
     return clean_plan.run_clean(spark, paths, ParquetTables(scratch_path(spark, "tables")))
 
 
+def csv_null_tokens(spark, sf):
+    """Statuses, many of them spelt as a missing value, written as CSV and read by the cleaning job."""
+    tokens = F.array(*map(F.lit, text.NULL_TOKENS))
+    which = (F.col("order_id") % 25).cast("int")
+    orders = tpch.orders(spark, sf).select("order_id", "order_status")
+    spelt = F.when(which < len(text.NULL_TOKENS), F.get(tokens, which)).otherwise(F.col("order_status"))
+    path = scratch_path(spark, "orders.csv")
+    csv.write_csv(orders.withColumn("order_status", spelt), path)
+    rows = clean_plan.raw_orders(spark, path)
+    return rows.select(F.col("order_id").cast("bigint").alias("order_id"), "order_status")
+
+
 # --- files, days and whole runs ----------------------------------------------------------
 
 
@@ -232,6 +283,20 @@ def csv_roundtrip(spark, sf):
     return quality.valid(back, "orders")
 
 
+def csv_line_breaks(spark, sf):
+    """Texts with line breaks, quotes and commas, written as CSV and read back in splits."""
+    path = scratch_path(spark, "texts.csv")
+    csv.write_csv(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), path)
+    return records.read_records(spark, path, types={"doc_id": "bigint"})
+
+
+def planned_partitions(spark, sf):
+    """Shuffle partitions of 64 KB for each input."""
+    sources = {"order_items": tpch.items, "orders": tpch.orders, "reviews": tpch.reviews}
+    planned = [(name, partitions_for(table_bytes(read(spark, sf)), 1 << 16)) for name, read in sources.items()]
+    return spark.createDataFrame(planned, "name string, n_partitions bigint")
+
+
 def raw_roundtrip(spark, sf):
     base, items = scratch_path(spark, "raw"), tpch.items(spark, sf)
     first, second = RUN_DATE, RUN_DATE.replace(day=16)
@@ -307,6 +372,24 @@ def command_line_run(spark, sf):
     return cfg.marts.read(spark, "dm_order_status_performance")
 
 
+def daily_rerun(spark, sf):
+    """A run, then a second one with other decimals: what is kept and what is made again."""
+    cfg = _config(spark, sf)
+    daily_plan.run_day(spark, cfg, RUN_DATE)
+    paths = {n: daily.day_path(cfg.raw, n, RUN_DATE) for n in daily_plan.SOURCES}
+    paths |= {n: daily.day_path(cfg.silver, n, RUN_DATE) for n in daily_plan.SILVER}
+    paths |= {n: f"{cfg.marts.base}/{n}" for n in daily_plan.MARTS}
+    before = {name: commits.version(spark, path) for name, path in paths.items()}
+    daily_plan.run_day(spark, replace(cfg, scale=4), RUN_DATE)
+    rows = [
+        commits.read(spark, path).agg(F.count("*").alias("n_rows")).select(
+            F.lit(name).alias("name"), F.lit(commits.version(spark, path) == before[name]).alias("kept"), "n_rows"
+        )
+        for name, path in paths.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def daily_run_report(spark, sf):
     cfg = _config(spark, sf)
     daily_plan.run_day(spark, cfg, RUN_DATE)
@@ -319,10 +402,12 @@ QUERIES: dict[str, Query] = {
         typed_inputs, items_valid, reviews_valid, orders_valid, quality_funnel,
         orders_enriched, orders_enriched_hot, seller_ranking, seller_ranking_bucketed, item_ranking_ties, monthly_stats,
         dm_order_status_performance, dm_seller_performance, dm_monthly_revenue, dm_review_distribution,
-        pages_cover_table, pages_default_order, top_sellers, seller_scatter, status_share, score_histogram,
-        status_score_matrix, revenue_kpis, chart_series, month_display,
-        orders_clean, orders_clean_few_dates, clean_report, orders_clean_table, csv_clean_report,
-        csv_roundtrip, raw_roundtrip, empty_day_roundtrip, silver_roundtrip, mart_roundtrip, daily_run, command_line_run, daily_run_report,
+        pages_cover_table, pages_default_order, page_sellers_stored, page_items_stored, top_sellers, seller_scatter,
+        seller_scatter_first, status_share, score_histogram, status_score_matrix, status_score_matrix_gaps, revenue_kpis,
+        chart_series, month_display,
+        orders_clean, orders_clean_few_dates, clean_report, orders_clean_table, csv_clean_report, csv_null_tokens,
+        csv_roundtrip, csv_line_breaks, planned_partitions, raw_roundtrip, empty_day_roundtrip, silver_roundtrip, mart_roundtrip,
+        daily_run, daily_rerun, command_line_run, daily_run_report,
     )
 } | {
     "page_sellers": _paged("dm_seller_performance", 2),

@@ -200,9 +200,17 @@ FROM cleaned""",
     "page_reviews": _page(REVIEW_MART, "review_mart", "review_score, order_status", 1, where="review_score >= 4"),
     "pages_cover_table": f"""WITH {SELLERS} SELECT *, CAST(
   (row_number() OVER (ORDER BY revenue_rank, seller_id) - 1) // 100 + 1 AS INTEGER) AS page FROM sellers""",
+    "page_sellers_stored": _page(SELLERS, "sellers", "revenue_rank, seller_id", 2),
+    "page_items_stored": f"""WITH {ITEMS}, n AS (SELECT COUNT(*) AS total FROM items), numbered AS (
+  SELECT freight_value, seller_id, order_id, order_item_id, price, row_number() OVER (ORDER BY freight_value NULLS LAST,
+    seller_id NULLS LAST, order_id NULLS LAST, order_item_id NULLS LAST, price NULLS LAST) AS place FROM items)
+SELECT numbered.* EXCLUDE (place), total FROM numbered, n
+WHERE place > (total // 70 - 1) * 50 AND place <= total // 70 * 50""",
     "top_sellers": f"WITH {SELLERS} SELECT * FROM sellers ORDER BY revenue_rank, seller_id LIMIT 20",
     "seller_scatter": f"""WITH {SELLERS} SELECT total_revenue, avg_review_score, nb_orders
 FROM sellers ORDER BY revenue_rank, seller_id LIMIT 200""",
+    "seller_scatter_first": f"""WITH {SELLERS} SELECT total_revenue, avg_review_score, nb_orders
+FROM sellers ORDER BY revenue_rank, seller_id LIMIT 30""",
     "status_share": f"""WITH {STATUSES}
 SELECT order_status, CAST(nb_orders AS DOUBLE) / (SELECT SUM(nb_orders) FROM statuses) AS share FROM statuses""",
     "score_histogram": f"""WITH {REVIEW_MART}
@@ -211,6 +219,11 @@ SELECT review_score, CAST(SUM(nb_orders) AS BIGINT) AS nb_orders FROM review_mar
         f"CAST(COALESCE(SUM(nb_orders) FILTER (WHERE review_score = {s}), 0) AS BIGINT) AS score_{s}"
         for s in range(1, 6)
     ) + " FROM review_mart GROUP BY order_status",
+    "status_score_matrix_gaps": f"WITH {REVIEW_MART} SELECT order_status, " + ", ".join(
+        f"CAST(COALESCE(SUM(nb_orders) FILTER (WHERE review_score = {s}), 0) AS BIGINT) AS score_{s}"
+        for s in range(1, 6)
+    ) + """ FROM review_mart WHERE CASE WHEN order_status LIKE 'd%' THEN review_score NOT IN (2, 4)
+    ELSE review_score <> 5 END GROUP BY order_status""",
     "revenue_kpis": f"""WITH {MONTHS}
 SELECT CAST(CAST(SUM(mr) AS VARCHAR) AS DOUBLE) AS total_revenue, CAST(SUM(nb_orders) AS BIGINT) AS nb_orders FROM month_sums""",
     "chart_series": f"""WITH {MONTHS}, statuses AS ({_STATUS_SELECT})
@@ -227,6 +240,14 @@ SELECT n_in, n_kept, n_in - n_kept AS n_rejected FROM n""",
     "csv_clean_report": f"""WITH {CLEAN}, n AS (
   SELECT (SELECT COUNT(*) FROM raw_orders) AS n_in, (SELECT COUNT(*) FROM cleaned) AS n_kept)
 SELECT n_in, n_kept, n_in - n_kept AS n_rejected FROM n""",
+    "csv_null_tokens": f"""WITH {VALID} SELECT order_id, CASE WHEN order_id % 25 < 19 THEN NULL ELSE order_status END AS order_status
+FROM orders_a""",
+    "csv_line_breaks": "SELECT doc_id, text FROM documents",
+    "planned_partitions": f"""WITH {VALID}, n AS (
+  SELECT 'order_items' AS name, COUNT(*) * (8 + 8 + 4 + 8 + 8 + 8) AS n_bytes FROM items
+  UNION ALL SELECT 'orders', COUNT(*) * (8 + 8 + 8 + 20 + 8 + 8 + 8) FROM orders_a
+  UNION ALL SELECT 'reviews', COUNT(*) * (8 + 8 + 8 + 4) FROM reviews)
+SELECT name, CAST((n_bytes + 65535) // 65536 AS BIGINT) AS n_partitions FROM n""",
     "raw_roundtrip": f"WITH {ITEMS} SELECT {_ITEM_DOUBLES} FROM items",
     "silver_roundtrip": f"""WITH {SELLERS}
 SELECT 'orders_enriched' AS name, (SELECT COUNT(*) FROM enriched) AS n_rows
@@ -236,6 +257,22 @@ UNION ALL SELECT 'monthly_stats', (SELECT COUNT(DISTINCT COALESCE(
     "mart_roundtrip": f"WITH {SELLERS} SELECT * FROM sellers",
     "command_line_run": f"WITH {STATUSES} SELECT * FROM statuses",
     "daily_run": f"WITH {STATUSES} SELECT * FROM statuses",
+    "daily_rerun": f"""WITH {SELLERS}, n AS (
+  SELECT (SELECT COUNT(*) FROM enriched) AS joined, (SELECT COUNT(*) FROM sellers) AS sellers,
+         (SELECT COUNT(*) FROM (SELECT DISTINCT date_trunc('month', order_purchase_timestamp) FROM enriched) m) AS months,
+         (SELECT COUNT(DISTINCT order_status) FROM enriched) AS statuses,
+         (SELECT COUNT(*) FROM (SELECT DISTINCT review_score, order_status FROM enriched
+                                WHERE review_score IS NOT NULL) s) AS scores)
+SELECT 'order_items' AS name, TRUE AS kept, COUNT(*) AS n_rows FROM items
+UNION ALL SELECT 'reviews', TRUE, COUNT(*) FROM reviews
+UNION ALL SELECT 'orders', TRUE, COUNT(*) FROM orders_a
+UNION ALL SELECT 'orders_enriched', TRUE, joined FROM n
+UNION ALL SELECT 'seller_ranking', FALSE, sellers FROM n
+UNION ALL SELECT 'monthly_stats', FALSE, months FROM n
+UNION ALL SELECT 'dm_order_status_performance', FALSE, statuses FROM n
+UNION ALL SELECT 'dm_seller_performance', FALSE, sellers FROM n
+UNION ALL SELECT 'dm_monthly_revenue', FALSE, months FROM n
+UNION ALL SELECT 'dm_review_distribution', FALSE, scores FROM n""",
     "daily_run_report": f"""WITH {SELLERS}, n AS (
   SELECT (SELECT COUNT(*) FROM enriched) AS joined, (SELECT COUNT(*) FROM sellers) AS sellers,
          (SELECT COUNT(*) FROM (SELECT DISTINCT date_trunc('month', order_purchase_timestamp) FROM enriched) m) AS months,

@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 
 from orderloom.functions.typing import SCALE
 from orderloom.operators import enrich, marts, paging, quality
-from orderloom.session import build_session, counted_from_footers, scratch, stored
+from orderloom.session import PARTITION_BYTES, build_session, counted_from_footers, scratch, shuffles_of, stored
 from orderloom.sources import commits, csv, daily, records
 from orderloom.sources.tables import JdbcTables, ParquetTables
 
@@ -52,7 +52,8 @@ class Config:
     types with a pass of its own, and a whole schema of a source in ``schemas`` goes
     before both. ``multi_line`` names the sources with line breaks inside quotes,
     whose files are split by ``records``. ``scale`` is the number of decimals that sums keep. ``again`` makes all
-    tables anew, also those that are up to date; ``pages`` keeps the pages of every mart next to it.
+    tables anew, also those that are up to date; ``pages`` keeps the pages of every mart next to it. Shuffles get a partition per ``partition_bytes`` of the
+    CSV files at least.
     """
 
     csv: dict[str, str]
@@ -68,6 +69,7 @@ class Config:
     scale: int = SCALE
     again: bool = False
     pages: bool = False
+    partition_bytes: int = PARTITION_BYTES
 
 
 def _write_day(
@@ -184,7 +186,8 @@ def run_day(spark: SparkSession, cfg: Config, run_date: date) -> None:
 
     Steps that are kept between them go with the run, finished or not.
     """
-    with scratch(spark):
+    n_bytes = sum(size for path in cfg.csv.values() for _, size, _ in commits.listing(spark, path))
+    with scratch(spark), shuffles_of(spark, n_bytes, cfg.partition_bytes):
         ingest(spark, cfg, run_date)
         refine(spark, cfg, run_date)
         publish(spark, cfg, run_date)

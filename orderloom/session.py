@@ -68,6 +68,41 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# Bytes that a shuffle partition should hold.
+PARTITION_BYTES = 128 << 20
+# Bytes of a value as Spark's own estimates have them; others are taken for text.
+_WIDTHS = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4, "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+_TEXT_WIDTH, _ROW_WIDTH = 20, 8
+
+
+def partitions_for(n_bytes: int, target: int = PARTITION_BYTES) -> int:
+    """How many shuffle partitions so many bytes take."""
+    return max(1, -(-n_bytes // target))
+
+
+def table_bytes(df: DataFrame) -> int:
+    """The size of a table's rows: their number, which Parquet has in its footers, times the width of their types."""
+    width = _ROW_WIDTH + sum(_WIDTHS.get(kind, _TEXT_WIDTH) for _, kind in df.dtypes)
+    return width * df.count()
+
+
+@contextmanager
+def shuffles_of(spark: SparkSession, n_bytes: int, target: int = PARTITION_BYTES) -> Iterator[int]:
+    """Inside, shuffles have as many partitions as so many bytes take, and no fewer than before.
+
+    The session's number holds for inputs of any size; where it is too small, partitions
+    spill. Adaptive execution joins partitions that turn out to be small.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    n = max(int(before), partitions_for(n_bytes, target))
+    spark.conf.set(name, str(n))
+    try:
+        yield n
+    finally:
+        spark.conf.set(name, before)
+
+
 _V1_SOURCES = "spark.sql.sources.useV1SourceList"
 
 

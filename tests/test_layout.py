@@ -1,0 +1,44 @@
+"""Bucketed tables and planned shuffle partitions."""
+
+from __future__ import annotations
+
+import pytest
+
+from orderloom import session
+from orderloom.operators import enrich, marts, quality, skew
+from orderloom.sources import bucketed, tpch
+from tests.test_plans import exchanges, plan
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_bucketed_tables_meet_without_a_shuffle(no_broadcast, capsys):
+    reads = ((tpch.items, "order_items"), (tpch.orders, "orders"), (tpch.reviews, "reviews"))
+    plain = [quality.valid(read(no_broadcast, SF), name) for read, name in reads]
+    kept = [quality.valid(bucketed.keep(read(no_broadcast, SF), name, "order_id"), name) for read, name in reads]
+    none = skew.HotKeys("order_id")
+    one, two = (marts.seller_stats(enrich.seller_facts(*sides, hot=none)) for sides in (plain, kept))
+    assert exchanges(plan(two, capsys)) == [("hashpartitioning", "seller_id")]
+    assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
+    assert exchanges(plan(enrich.orders_enriched(*kept, hot=none), capsys)) == []
+
+
+def test_partitions_follow_the_input(spark):
+    assert [session.partitions_for(n, 100) for n in (0, 1, 100, 101, 10**9)] == [1, 1, 1, 2, 10**7]
+    assert session.table_bytes(spark.range(1000).selectExpr("id", "cast(id as int) as i", "'x' as t")) == 1000 * (8 + 8 + 4 + 20)
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    with session.shuffles_of(spark, 100 * session.PARTITION_BYTES) as n:
+        assert n == 100 and spark.conf.get(name) == "100"
+    with pytest.raises(ValueError), session.shuffles_of(spark, 1) as n:
+        assert n == int(before)
+        raise ValueError
+    assert spark.conf.get(name) == before
