@@ -321,17 +321,17 @@ def empty_day_roundtrip(spark, sf):
     return counts[0].unionByName(counts[1])
 
 
-def _write_csv_sources(spark, sf) -> dict[str, str]:
-    sources = {"order_items": tpch.items, "reviews": tpch.reviews, "orders": tpch.orders}
+def _write_csv_sources(spark, sf, **others) -> dict[str, str]:
+    sources = {"order_items": tpch.items, "reviews": tpch.reviews, "orders": tpch.orders} | others
     paths = {name: scratch_path(spark, f"{name}.csv") for name in sources}
     for name, read in sources.items():
         csv.write_csv(read(spark, sf), paths[name])
     return paths
 
 
-def _config(spark, sf) -> daily_plan.Config:
+def _config(spark, sf, **others) -> daily_plan.Config:
     return daily_plan.Config(
-        _write_csv_sources(spark, sf),
+        _write_csv_sources(spark, sf, **others),
         scratch_path(spark, "raw"),
         scratch_path(spark, "silver"),
         ParquetTables(scratch_path(spark, "marts")),
@@ -351,6 +351,15 @@ def silver_roundtrip(spark, sf):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+def silver_hot(spark, sf):
+    """A silver day of hot orders, which the sketches kept with the raw day name."""
+    cfg = _config(spark, sf, order_items=tpch.hot_items, reviews=tpch.hot_reviews)
+    daily_plan.ingest(spark, cfg, RUN_DATE)
+    daily_plan.refine(spark, cfg, RUN_DATE)
+    rows = daily.read_day(spark, cfg.silver, "orders_enriched", RUN_DATE)
+    return rows.groupBy("order_status", "review_score").agg(F.count("*").alias("n_rows"))
+
+
 def mart_roundtrip(spark, sf):
     tables = ParquetTables(scratch_path(spark, "marts"))
     tables.replace(dm_seller_performance(spark, sf), "dm_seller_performance")
@@ -406,7 +415,7 @@ QUERIES: dict[str, Query] = {
         seller_scatter_first, status_share, score_histogram, status_score_matrix, status_score_matrix_gaps, revenue_kpis,
         chart_series, month_display,
         orders_clean, orders_clean_few_dates, clean_report, orders_clean_table, csv_clean_report, csv_null_tokens,
-        csv_roundtrip, csv_line_breaks, planned_partitions, raw_roundtrip, empty_day_roundtrip, silver_roundtrip, mart_roundtrip,
+        csv_roundtrip, csv_line_breaks, planned_partitions, raw_roundtrip, empty_day_roundtrip, silver_roundtrip, silver_hot, mart_roundtrip,
         daily_run, daily_rerun, command_line_run, daily_run_report,
     )
 } | {

@@ -146,6 +146,15 @@ _R1 = "order_id IS NOT NULL"
 _R2 = f"{_R1} AND price > 0"
 _R3 = f"{_R2} AND freight_value >= 0"
 
+_ENRICHED_HOT = (
+    ENRICHED.replace("FROM items WHERE", "FROM items_h WHERE")
+    .replace("FROM reviews WHERE", "FROM reviews_h WHERE")
+    .replace("items_v AS", """items_h AS (
+  SELECT * REPLACE (CASE WHEN order_item_id <= 2 THEN 33 ELSE order_id END AS order_id) FROM items),
+reviews_h AS (SELECT * REPLACE (CASE WHEN review_id % 2 = 0 THEN 34 ELSE order_id END AS order_id) FROM reviews),
+items_v AS""")
+)
+
 SQL: dict[str, str] = {
     "typed_inputs": f"""WITH t AS (
   SELECT event_id,
@@ -170,12 +179,8 @@ FROM t""",
     ]),
     "orders_enriched": f"""WITH {ENRICHED} SELECT * REPLACE (CAST(price AS DOUBLE) AS price,
   CAST(freight_value AS DOUBLE) AS freight_value, CAST(total_amount AS DOUBLE) AS total_amount) FROM enriched""",
-    "orders_enriched_hot": "WITH " + ENRICHED.replace("FROM items WHERE", "FROM items_h WHERE")
-    .replace("FROM reviews WHERE", "FROM reviews_h WHERE")
-    .replace("items_v AS", """items_h AS (
-  SELECT * REPLACE (CASE WHEN order_item_id <= 2 THEN 33 ELSE order_id END AS order_id) FROM items),
-reviews_h AS (SELECT * REPLACE (CASE WHEN review_id % 2 = 0 THEN 34 ELSE order_id END AS order_id) FROM reviews),
-items_v AS""") + " SELECT * FROM enriched",
+    "orders_enriched_hot": f"WITH {_ENRICHED_HOT} SELECT * FROM enriched",
+    "silver_hot": f"WITH {_ENRICHED_HOT} SELECT order_status, review_score, COUNT(*) AS n_rows FROM enriched GROUP BY ALL",
     "item_ranking_ties": f"""WITH {VALID} SELECT order_id, order_item_id, freight_value,
   CAST(rank() OVER (ORDER BY freight_value DESC) AS INTEGER) AS freight_rank FROM items_v""",
     "pages_default_order": f"""WITH {ITEMS} SELECT freight_value, seller_id, order_id, order_item_id, price, CAST(

@@ -20,13 +20,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from orderloom.functions.typing import SCALE
-from orderloom.operators import enrich, marts, paging, quality
+from orderloom.operators import enrich, marts, paging, quality, skew
 from orderloom.session import PARTITION_BYTES, build_session, counted_from_footers, scratch, shuffles_of, stored
 from orderloom.sources import commits, csv, daily, records
 from orderloom.sources.tables import JdbcTables, ParquetTables
 
 SOURCES = ("order_items", "reviews", "orders")
 SILVER = ("orders_enriched", "seller_ranking", "monthly_stats")
+# The source of each side of the join.
+SIDES = {"items": "order_items", "orders": "orders", "reviews": "reviews"}
 MARTS = (
     "dm_order_status_performance",
     "dm_seller_performance",
@@ -84,8 +86,13 @@ def _versions(spark: SparkSession, base: str, names: tuple[str, ...], run_date:
     return {name: commits.version(spark, daily.day_path(base, name, run_date)) for name in names}
 
 
+def _keys(name: str) -> str:
+    """The table of the kept sketches of a source's orders."""
+    return f"{name}.keys"
+
+
 def ingest(spark: SparkSession, cfg: Config, run_date: date) -> None:
-    """Copy each CSV file to its day of the raw layer."""
+    """Copy each CSV file to its day of the raw layer, and sketch which orders are frequent among its valid rows."""
     for name in SOURCES:
         read = records.read_records if name in cfg.multi_line else csv.read_csv
         schema, types = cfg.schemas.get(name), None if cfg.infer else cfg.types.get(name)
@@ -95,6 +102,20 @@ def ingest(spark: SparkSession, cfg: Config, run_date: date) -> None:
             spark, cfg, cfg.raw, name, run_date, made_from, cfg.raw_files,
             lambda: read(spark, cfg.csv[name], schema, cfg.infer, types=types),
         )
+        made_from = commits.digest("keys", _versions(spark, cfg.raw, (name,), run_date))
+        _write_day(
+            spark, cfg, cfg.raw, _keys(name), run_date, made_from, None,
+            lambda: skew.key_sketches(quality.valid(daily.read_day(spark, cfg.raw, name, run_date), name), enrich.KEY),
+        )
+
+
+def _hot_orders(spark: SparkSession, cfg: Config, raw: dict[str, DataFrame], run_date: date) -> skew.HotKeys | None:
+    """The hot orders by the sketches kept with the raw day; None if the day has none, or ids of different types."""
+    days = {side: daily.day_path(cfg.raw, _keys(name), run_date) for side, name in SIDES.items()}
+    kinds = {raw[name].schema[enrich.KEY].dataType for name in SIDES.values()}
+    if len(kinds) > 1 or not all(commits.version(spark, path) for path in days.values()):
+        return None
+    return skew.kept_hot_keys({side: commits.read(spark, path) for side, path in days.items()}, enrich.KEY, kinds.pop())
 
 
 def refine(spark: SparkSession, cfg: Config, run_date: date) -> None:
@@ -106,8 +127,8 @@ def refine(spark: SparkSession, cfg: Config, run_date: date) -> None:
 
     def joined() -> DataFrame:
         raw = {name: daily.read_day(spark, cfg.raw, name, run_date) for name in SOURCES}
-        valid = {name: quality.valid(df, name) for name, df in raw.items()}
-        return enrich.orders_enriched(valid["order_items"], valid["orders"], valid["reviews"])
+        items, orders, reviews = (quality.valid(raw[name], name) for name in ("order_items", "orders", "reviews"))
+        return enrich.orders_enriched(items, orders, reviews, _hot_orders(spark, cfg, raw, run_date))
 
     def sellers() -> DataFrame:
         return marts.seller_ranking(enrich.row_facts(rows, "price", "seller_id", scale=cfg.scale))
