@@ -23,7 +23,9 @@ from orderloom.llm.common import remembers, serve
 ODD_SPACE = "[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{180e}\\x{2000}-\\x{200f}\\x{2028}-\\x{202f}\\x{205f}-\\x{2064}\\x{3000}\\x{feff}]"
 BETWEEN = "\x1f"  # one of the odd ones, so free to mark cuts with
 # In each of two generations; a part takes some 220 bytes.
-MOST_PARTS = 200_000
+MOST_PARTS = 300_000
+# Places where parts leave a mark when they come for the first time.
+DOOR = 1 << 23
 LONG_PART = 100
 
 
@@ -31,7 +33,7 @@ class Vocabulary:
     """Encodes texts; parts and their ids (little-endian unsigned 16 bit) are remembered in two generations.
 
     When the younger generation is full it becomes the elder one, and what the elder one held is forgotten.
-    A part found in the elder one moves to the younger, so parts in use stay. Names of special tokens inside a
+    A part found in the elder one moves to the younger, so parts in use stay; a part is remembered when it comes for the second time. Names of special tokens inside a
     text are ordinary text if ``plain_names``, else they get the ids of those tokens, which is the library's default.
     """
 
@@ -49,17 +51,33 @@ class Vocabulary:
         self.drops_space = drops_space
         self.young: dict[str, bytes] = {}
         self.elder: dict[str, bytes] = {}
+        self.door, self.at_door = bytearray(DOOR), 0
         self.ends = {c: array("H", self.tokenizer.encode(c, add_special_tokens=False).ids).tobytes() for c in ".,"}
 
-    def _learn(self, parts: list[str]) -> list[bytes]:
-        """Encode parts that are not remembered, and remember them."""
+    def _encoded(self, parts: list[str]) -> list[bytes]:
         out = []
         for start in range(0, len(parts), 4096):
             encoded = self.tokenizer.encode_batch_fast(parts[start : start + 4096], add_special_tokens=False)
             out += [array("H", got.ids).tobytes() for got in encoded]
-        self.young.update(zip(parts, out, strict=True))
         return out
 
+    def _remember(self, own: dict[str, bytes]) -> None:
+        """Remember parts that come for the second time; most parts come once."""
+        door, young = self.door, self.young
+        for part, ids in own.items():
+            if len(part) > LONG_PART:
+                continue
+            place = hash(part) & (DOOR - 1)
+            if door[place]:
+                young[part] = ids
+            else:
+                door[place] = 1
+                self.at_door += 1
+        if self.at_door > DOOR // 4:
+            self.door, self.at_door = bytearray(DOOR), 0
+        if len(young) > MOST_PARTS:
+            self.elder, self.young = young, {}
+
     def _of(self, parts: list[str]) -> list[bytes]:
         """The ids of distinct parts."""
         young, elder = self.young, self.elder
@@ -75,18 +93,16 @@ class Vocabulary:
                 tails.append(k)
             else:
                 new.append(k)
-        for k, ids in zip(new, self._learn([parts[k] for k in new]), strict=True):
-            found[k] = ids
-        bases = {parts[k][:-1] for k in tails}
-        self._learn([part for part in bases if part not in young and part not in elder])
+        own = dict(zip((parts[k] for k in new), self._encoded([parts[k] for k in new]), strict=True))
+        for k in new:
+            found[k] = own[parts[k]]
+        bases = [base for base in {parts[k][:-1] for k in tails} if base not in young and base not in elder and base not in own]
+        own.update(zip(bases, self._encoded(bases), strict=True))
         for k in tails:
             part = parts[k]
-            base = young.get(part[:-1])
-            found[k] = young[part] = (elder[part[:-1]] if base is None else base) + self.ends[part[-1]]
-        for part in [part for part in (*(parts[k] for k in new), *bases) if len(part) > LONG_PART]:
-            young.pop(part, None)
-        if len(young) > MOST_PARTS:
-            self.elder, self.young = young, {}
+            base = next(ids for ids in (own.get(part[:-1]), young.get(part[:-1]), elder.get(part[:-1])) if ids is not None)
+            found[k] = own[part] = base + self.ends[part[-1]]
+        self._remember(own)
         return found
 
     def encode(self, texts: pa.Array) -> list[bytes]:
