@@ -175,8 +175,9 @@ def report(docs: DataFrame) -> DataFrame:
     base = F.filter("pii_spans", lambda s: s["kind"].isin(*BASE_KINDS))
     counts = [_count(kind).alias(f"n_{kind}") for kind in KINDS]
     return found.select(
-        "doc_id", *counts, F.sha2(_written(base), 256).alias("base_sha256"), _written(F.col("pii_spans")).alias("spans")
-    )
+        "doc_id", *counts, F.sha2(_written(base), 256).alias("base_sha256"), _written(F.col("pii_spans")).alias("spans"),
+        F.size("pii_spans").cast("bigint").alias("n_spans"),
+    )
 
 
 def masked(docs: DataFrame) -> DataFrame:
@@ -185,7 +186,8 @@ def masked(docs: DataFrame) -> DataFrame:
     Overlapping spans are replaced together, under the kind of the one that begins first (of equals, the
     longest). ``n_chars``, if there is one, follows the new text. A null text stays null.
     """
-    found = spans(docs)
+    given = "_given_pii_spans"  # a column of the input may have the name of the found ones
+    found = spans(docs.withColumnRenamed("pii_spans", given))
     order = F.array_sort(
         F.transform(
             "pii_spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"))
@@ -210,4 +212,5 @@ def masked(docs: DataFrame) -> DataFrame:
         ),
     )
     out = found.withColumn("text", F.when(F.size("pii_spans") > 0, cut).otherwise(F.col("text"))).drop("pii_spans")
+    out = out.withColumnRenamed(given, "pii_spans")
     return out.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else out

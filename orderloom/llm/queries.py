@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderloom.llm import (
-    bpe, conversation_repair, hard_negatives, html_blocks, near_dedup, packing, pii, quality_model, quality_rules, rans, suffix_trees,
+    bpe, conversation_repair, hard_negatives, html_blocks, near_dedup, oracles, packing, pii, quality_model, quality_rules, rans, suffix_trees,
     toxicity, winnowing,
 )
 from orderloom.llm.common import table
@@ -31,6 +31,11 @@ def op4_pii(spark, sf):
     return pii.report(table(spark, sf, "documents"))
 
 
+def pii_base(spark, sf):
+    """What the base patterns of the operator find, without its own kinds."""
+    return op4_pii(spark, sf).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+
+
 def op5_winnowing(spark, sf):
     return winnowing.report(table(spark, sf, "documents"))
 
@@ -76,7 +81,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_toxicity, op3_html, op4_pii, op5_winnowing, op6_rans, op7_packing, op8_near_dedup,
-        op9_quality_model, op10_bpe, op11_hard_negatives, op12_substring_dedup, op13_conversation_repair,
+        op9_quality_model, op10_bpe, op11_hard_negatives, op12_substring_dedup, op13_conversation_repair, pii_base,
     )
 }
 
@@ -191,4 +196,11 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 FROM docs LEFT JOIN kept USING (row_id)
 """
 
-SQL: dict[str, str] = {"op1_quality_rules": _OP1, "op11_hard_negatives": _OP11, "op12_substring_dedup": _OP12}
+SQL: dict[str, str] = {
+    "op1_quality_rules": _OP1,
+    "op8_near_dedup": oracles.NEAR_DEDUP,
+    "op11_hard_negatives": _OP11,
+    "op12_substring_dedup": _OP12,
+    "op13_conversation_repair": oracles.CONVERSATIONS,
+    "pii_base": oracles.PII_BASE,
+}
