@@ -9,7 +9,7 @@
 3. Stars: the members of a bucket are paired with the bucket's smallest class. Linked pairs are united
    (connected components), which settles nearly all of a large group at a cost linear in its size.
 4. The rest, exactly: a bucket that still holds several components is dealt out as pairs of blocks of about
-   ``BLOCK`` members. One task compares the signatures of two blocks, leaving out pairs that share an earlier
+   ``BLOCK`` members, over as many lanes as the root of its blocks. One task compares the signatures of two blocks, leaving out pairs that share an earlier
    bucket. Members with a partner in another component whose estimated similarity, corrected for chance
    agreement of low bits, reaches ``SLACK`` below the threshold are looked at again: their whole sets meet by
    bucket, in pairs of blocks of about ``SET_BLOCK``, and a task counts all intersections of two blocks at once.
@@ -123,7 +123,7 @@ def estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (same / PERMUTATIONS - chance) / (1 - chance)
 
 
-_SIGNED = "doc_id bigint, n_shingles bigint, set_key binary, buckets array<bigint>, signature binary"
+_SIGNED = "doc_id bigint, n_shingles bigint, set_key binary, buckets array<bigint>, signature binary, text_hash bigint"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,10 +265,12 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
                 break
             state = now
         both = pairs.union(pairs.select("b", "a"))
+        # Read from tables, so that each join is one of two plain shuffles, which Spark splits where a centre is in most links.
         low = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
-        low = low.select("node", F.least("node", "least").alias("least"))
+        low = _kept(low.select("node", F.least("node", "least").alias("least")), "least")
         large = both.where("b > a").join(low, F.col("a") == F.col("node")).select(F.col("b").alias("a"), F.col("least").alias("b"))
-        low = large.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
+        large = _kept(large, "large")
+        low = _kept(large.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")), "least")
         small = large.join(low, F.col("a") == F.col("node")).select(F.col("b").alias("a"), F.col("least").alias("b"))
         pairs, done = _kept(small.where("a <> b").union(low).distinct(), "links"), done + 1
     named = pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).union(pairs.select("b", "b"))
@@ -282,12 +284,31 @@ def _confirmed(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").mapInArrow(_linked, "a binary, b binary")
 
 
+def _lanes(size: int) -> Column:
+    """Lanes of a bucket of ``n`` members in blocks of ``size``: the square root of the number of blocks."""
+    return F.ceil(F.sqrt(F.ceil(F.col("n") / size))).cast("bigint")
+
+
+def _dealt(blocks: DataFrame, members: str, size: int) -> DataFrame:
+    """The blocks of a bucket, dealt out over its lanes."""
+    return blocks.select("bucket", "block", (F.col("block") % _lanes(size)).alias("lane"), members)
+
+
+def _copied(blocks: DataFrame, members: str, size: int) -> DataFrame:
+    """The blocks of a bucket, once for each of its lanes."""
+    lanes = F.sequence(F.lit(0).cast("bigint"), _lanes(size) - 1)
+    return blocks.select("bucket", "block", F.explode(lanes).alias("lane"), members)
+
+
 def class_components(docs: DataFrame, signed: DataFrame) -> DataFrame:
     """``node, component`` of all classes with a link; both are set digests."""
     classes = _kept(
         signed.where("set_key IS NOT NULL")
         .groupBy("set_key")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("buckets").alias("buckets"), F.first("signature").alias("signature")),
+        .agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("one"),
+            F.first("buckets").alias("buckets"), F.first("signature").alias("signature"),
+        ),
         "classes",
     )
     placed = classes.select("set_key", F.explode("buckets").alias("bucket"))
@@ -295,10 +316,14 @@ def class_components(docs: DataFrame, signed: DataFrame) -> DataFrame:
     members = _kept(placed.join(shared, "bucket"), "members")
 
     # Whole sets of the classes that meet another one, made again from one text of each class.
-    key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    meeting = members.select("set_key").distinct().join(classes, "set_key").select(key.alias("key")).distinct()
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("key"), "text")
-    sets = texts.join(meeting, "key").select("text").mapInArrow(_sets, "set_key binary, own binary")
+    # Rows without an id are named by their text, one for each, so that they do not meet under one key.
+    meeting = members.select("set_key").distinct().join(classes, "set_key")
+    meeting = meeting.select(F.coalesce("one.doc_id", F.lit(0).cast("bigint")).alias("id"), F.col("one.none").alias("none"), F.col("one.text_hash").alias("hash")).distinct()
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.xxhash64("text").alias("hash"), "text")
+    nameless = texts.where("id IS NULL").groupBy("hash").agg(F.first("text").alias("text"))
+    zero, no, yes = F.lit(0).cast("bigint").alias("id"), F.lit(False).alias("none"), F.lit(True).alias("none")
+    texts = texts.where("id IS NOT NULL").select("id", no, "hash", "text").union(nameless.select(zero, yes, "hash", "text"))
+    sets = texts.join(meeting, ["id", "none", "hash"]).select("text").mapInArrow(_sets, "set_key binary, own binary")
     sets = _kept(sets.join(members.select("set_key").distinct(), "set_key").dropDuplicates(["set_key"]), "sets")
 
     centers = members.groupBy("bucket").agg(F.min("set_key").alias("center"))
@@ -316,18 +341,18 @@ def class_components(docs: DataFrame, signed: DataFrame) -> DataFrame:
     member = F.struct("set_key", "component", "signature", "buckets")
     block = F.pmod(F.xxhash64("set_key"), F.ceil(F.col("n") / BLOCK)).alias("block")
     # Members of the bucket's largest-named component meet all others, but not each other.
-    few = rest.where("component <> most").groupBy("bucket", block).agg(F.collect_list(member).alias("few"))
-    every = rest.groupBy("bucket", block).agg(F.collect_list(member).alias("all"))
-    met = few.select("bucket", "few").join(every.select("bucket", "all"), "bucket")
+    few = rest.where("component <> most").groupBy("bucket", "n", block).agg(F.collect_list(member).alias("few"))
+    every = rest.groupBy("bucket", "n", block).agg(F.collect_list(member).alias("all"))
+    met = _dealt(few, "few", BLOCK).join(_copied(every, "all", BLOCK), ["bucket", "lane"]).drop("lane", "block")
     again = _kept(met.mapInArrow(_compare, "bucket bigint, set_key binary, component binary").distinct(), "again")
 
     counts = again.groupBy("bucket").agg(F.count("*").alias("n"))
     block = F.pmod(F.xxhash64("set_key"), F.ceil(F.col("n") / SET_BLOCK)).alias("block")
-    whole = again.join(counts, "bucket").join(sets, "set_key").groupBy("bucket", block)
+    whole = again.join(counts, "bucket").join(sets, "set_key").groupBy("bucket", "n", block)
     whole = _kept(whole.agg(F.collect_list(F.struct("set_key", "component", "own")).alias("members")), "whole")
-    left = whole.select("bucket", F.col("block").alias("i"), F.col("members").alias("left"))
-    right = whole.select("bucket", F.col("block").alias("j"), F.col("members").alias("right"))
-    met = left.join(right, "bucket").where("i <= j").select("left", "right")
+    left = _dealt(whole.withColumnRenamed("members", "left"), "left", SET_BLOCK).withColumnRenamed("block", "i")
+    right = _copied(whole.withColumnRenamed("members", "right"), "right", SET_BLOCK).withColumnRenamed("block", "j")
+    met = left.join(right, ["bucket", "lane"]).where("i <= j").select("left", "right")
     more = met.mapInArrow(_joining, "a binary, b binary")
     return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
@@ -335,7 +360,7 @@ def class_components(docs: DataFrame, signed: DataFrame) -> DataFrame:
 def _with_components(docs: DataFrame, keyed: bool = False) -> DataFrame:
     """``doc_id, n_shingles, component`` of every document, and ``text_key``, a digest of its text, if ``keyed``."""
     prepare(docs.sparkSession)
-    own, schema, more = docs.selectExpr("cast(doc_id as bigint) AS doc_id", "text"), _SIGNED, []
+    own, schema, more = docs.selectExpr("cast(doc_id as bigint) AS doc_id", "text", "xxhash64(text) AS text_hash"), _SIGNED, []
     if keyed:
         own, schema, more = own.withColumn("text_key", _text_key()), f"{_SIGNED}, text_key binary", ["text_key"]
     signed = _kept(own.mapInArrow(_sign, schema), "signed")
