@@ -19,9 +19,10 @@ alike (1.0).
 
 ``neighbours`` finds each row's successor in descending order of ids without a global sort: ids are cut into
 buckets at approximate quantiles (from a hash sample of ids; the result is the same for any cut points), the
-rows of a bucket are ordered by one window, and the first rows of a bucket are copied to the bucket before
-it, where the last row needs them. Whole texts are shuffled once. Rows with equal ids are ordered by text
-(null first), a null id counts as the smallest, the successor of the last row is the first.
+rows of a bucket are ordered by one window, and the first row of a bucket is copied to the bucket before
+it, where the last row needs it. Whole texts are shuffled once. Rows with equal ids are ordered by a hash of
+their text (largest first), and an id with the rows of several buckets is cut by that hash, so that only rows equal in
+both stay together. A null id counts as the smallest, the successor of the last row is the first.
 """
 
 from __future__ import annotations
@@ -137,61 +138,77 @@ def fingerprints(docs: DataFrame, text: str = "text", long_word: int | None = No
     )
 
 
-def _cut_points(ids: DataFrame, buckets: int) -> list[int]:
+def _cut_points(ids: DataFrame, buckets: int) -> list[tuple[int, int]]:
+    """Pairs of id and text hash at which buckets begin, in order: quantiles of the ids, and even
+    steps of the hash inside an id that has the rows of several buckets. There are at most a few per bucket."""
     n = ids.count()
     every = max(1, n // (SAMPLE_PER_BUCKET * buckets))
     steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     some = ids.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0)
-    return sorted(set(some.agg(F.percentile_approx("key", steps, 10 * buckets)).first()[0] or []))
+    cuts = {(key, SMALLEST) for key in some.agg(F.percentile_approx("key", steps, 10 * buckets)).first()[0] or []}
+    often = ids.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") * buckets >= 2 * n)
+    for key, rows in often.collect():
+        parts = -(-rows * buckets // n)
+        cuts |= {(key, SMALLEST + (i << 64) // parts) for i in range(parts)}
+        if key < -(SMALLEST + 1):
+            cuts.add((key + 1, SMALLEST))
+    return sorted(cuts)
 
 
-def _bucket(key: Column, cuts: list[int]) -> Column:
-    """The number of cut points that are at most ``key``: a binary search."""
+def _numbers(values: list[int]) -> Column:
+    """Whole numbers as one constant, not as an expression for each."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def _bucket(key: Column, mark: Column, cuts: list[tuple[int, int]]) -> Column:
+    """The number of cut points that are at most the pair of ``key`` and ``mark``: a binary search."""
     if not cuts:
         return F.lit(0)
-    held = F.array(*[F.lit(c).cast("bigint") for c in cuts])
+    keys, marks = (_numbers(list(part)) for part in zip(*cuts, strict=True))
     steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(cuts).bit_length()))])
+
+    def reached(s, place):
+        k = F.get(s["keys"], place)
+        return (k < s["key"]) | ((k == s["key"]) & (F.get(s["marks"], place) <= s["mark"]))
+
     return let(
-        F.struct(held.alias("cuts"), key.alias("key")),
+        F.struct(keys.alias("keys"), marks.alias("marks"), key.alias("key"), mark.alias("mark")),
         lambda s: F.aggregate(
             steps,
             F.lit(0),
-            lambda low, step: F.when(
-                (low + step <= len(cuts)) & (F.get(s["cuts"], low + step - 1) <= s["key"]), low + step
-            ).otherwise(low),
+            lambda low, step: F.when((low + step <= len(cuts)) & reached(s, low + step - 1), low + step).otherwise(low),
         ),
     )
 
 
 def neighbours(docs: DataFrame, buckets: int | None = None) -> tuple[DataFrame, Window]:
-    """``key, bucket, ghost, doc_id, text`` rows, and the window under which ``lead`` gives the successor.
+    """``key, mark, bucket, ghost, doc_id, text`` rows, and the window under which ``lead`` gives the successor.
 
     Rows with ``ghost`` are copies that only serve as successors; drop them after the last ``lead``.
     """
     spark = prepare(docs.sparkSession)
     buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(SMALLEST))
-    ids = docs.select(key.alias("key"))
-    cuts = _cut_points(ids, buckets)
-    # One row per bucket, so at most ``buckets``.
+    key, text = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(SMALLEST)), F.coalesce("text", F.lit(""))
+    cuts = _cut_points(docs.select(key.alias("key")), buckets)
+    given = docs.select("doc_id", text.alias("text"), key.alias("key"), F.xxhash64(text).alias("mark"))
+    rows = given.withColumn("bucket", _bucket(F.col("key"), F.col("mark"), cuts))
+    # One row per bucket, a few times ``buckets`` at most.
     first = {
         r["bucket"]: r["first"]
-        for r in ids.groupBy(_bucket(F.col("key"), cuts).alias("bucket")).agg(F.max("key").alias("first")).collect()
+        for r in rows.groupBy("bucket").agg(F.max(F.struct("key", "mark")).alias("first")).collect()
     }
     order = sorted(first)
     before = dict(zip(order, order[1:] + order[:1]))
-    size = len(cuts) + 1
-    firsts = F.array(*[F.lit(first.get(b)).cast("bigint") for b in range(size)])
-    targets = F.array(*[F.lit(before.get(b, b)).cast("int") for b in range(size)])
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), key.alias("key")).withColumn(
-        "bucket", _bucket(F.col("key"), cuts)
-    )
+    numbers = range(len(cuts) + 1)
+    first_key, first_mark = (_numbers([first[b][part] if b in first else 0 for b in numbers]) for part in ("key", "mark"))
+    targets = _numbers([before.get(b, b) for b in numbers])
     own = F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("ghost"))
-    copy = F.struct(F.get(targets, F.col("bucket")).alias("bucket"), F.lit(True).alias("ghost"))
-    placed = rows.withColumn(
-        "place", F.explode(F.when(F.get(firsts, F.col("bucket")) == F.col("key"), F.array(own, copy)).otherwise(F.array(own)))
-    ).select("doc_id", "text", "key", "place.bucket", "place.ghost")
-    window = Window.partitionBy("bucket").orderBy("ghost", F.desc("key"), "text")
+    copy = F.struct(F.get(targets, F.col("bucket")).cast("int").alias("bucket"), F.lit(True).alias("ghost"))
+    is_first = (F.get(first_key, F.col("bucket")) == F.col("key")) & (F.get(first_mark, F.col("bucket")) == F.col("mark"))
+    placed = rows.withColumn("place", F.explode(F.when(is_first, F.array(own, copy)).otherwise(F.array(own)))).select(
+        "doc_id", "text", "key", "mark", "place.bucket", "place.ghost"
+    )
+    window = Window.partitionBy("bucket").orderBy("ghost", F.desc("key"), F.desc("mark"), "text")
     return placed, window
 
 

@@ -1,0 +1,51 @@
+"""Half of all rows under one id, or without one."""
+
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderloom.llm import near_dedup, pii, winnowing
+
+TEXTS = [" ".join(f"w{k * 31 % 997}x{j}" for j in range(12)) for k in range(400)]
+HALF = {"no id": None, "one id": 7}
+
+
+def half(spark, same):
+    rows = [(same if k % 2 else 1000 + k, text) for k, text in enumerate(TEXTS)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+
+
+@pytest.mark.parametrize("same", HALF.values(), ids=HALF)
+def test_rows_of_one_id_lie_in_many_buckets(spark, same):
+    rows, docs = half(spark, same)
+    placed, _ = winnowing.neighbours(docs, 40)
+    sizes = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.col("ghost").cast("int")).alias("ghosts")).collect()
+    assert sum(r["n"] - r["ghosts"] for r in sizes) == len(rows) and max(r["n"] for r in sizes) <= 3 * len(rows) / 40 + 5
+    assert all(r["ghosts"] == 1 for r in sizes)
+    got = {r["edited_sha256"]: r for r in winnowing.report(docs, 40).collect()}
+    # Whatever the order under one id, every row has one successor and is the successor of one row.
+    heads = Counter()
+    for _, text in rows:
+        cut = len(text) - len(text) // 3
+        fits = [t for _, t in rows if hashlib.sha256((text[:cut] + t[: len(text) // 3]).encode()).hexdigest() in got]
+        assert len({t[: len(text) // 3] for t in fits}) == 1
+        heads[fits[0]] += 1
+    assert len(got) == len(rows) and len(heads) == len(rows)
+
+
+def test_groups_without_ids(spark):
+    """Near copies among rows without an id, half of all rows, are still found."""
+    base = " ".join(f"b{j}" for j in range(60))
+    rows = [(None, base.replace("b5 ", f"c{k} ")) for k in range(100)] + [(k, f"{base} end{k}") for k in range(5, 105)]
+    got = near_dedup.groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    assert {r["component_id"] for r in got} == {5} and sum(r["kept"] for r in got) == 1
+
+
+def test_masking_keeps_a_column_of_the_name_of_the_spans(spark):
+    docs = spark.createDataFrame([(1, "mail a@b.example now", "mine")], "doc_id long, text string, pii_spans string")
+    (row,) = pii.masked(docs).collect()
+    assert tuple(row) == (1, "mail <email> now", "mine") and pii.masked(docs).columns == docs.columns
