@@ -4,10 +4,12 @@ Words are runs of anything but space and the control characters 9 to 13. The rul
 words:
 
 - punctuation: at least half of its words end in (or are) a run of symbols, or it has ``MIN_SHOUTED``
-  words or more and no lower-case letter, or one word fills at least half of ``MIN_SHOUTED`` or more;
+  words or more and no lower-case letter, or one word fills at least half of ``MIN_SHOUTED`` or more, or it
+  has fewer than ``MIN_SENTENCE`` words and ends without punctuation (a heading, list item or cut-off line; a longer
+  line may be a sentence that something was put behind);
 - navigation: it has three or more separators (``| > » › • ·``) that stand alone as words, or it is a
   list item or heading of at most three words that ends without punctuation and holds a link word;
-- boilerplate: it holds one of ``BOILERPLATE``'s phrases, whatever its case;
+- boilerplate: it holds one of ``BOILERPLATE``'s phrases, in English, French, German or Spanish, whatever its case;
 - repetition: it equals an earlier line of the document.
 
 A document is kept if it passes the base test (``MIN_WORDS`` words, at most half of them in repeated
@@ -31,13 +33,25 @@ MIN_WORDS = 50
 MAX_REPEATED = 0.5
 MAX_LOST = 0.4
 MIN_SHOUTED = 8
-# What a boilerplate line says.
+MIN_SENTENCE = 12
+# What a boilerplate line says, and words of links, in the languages of the corpus.
 BOILERPLATE = (
     "all rights reserved", "cookie policy", "enable javascript", "licensed under", "lorem ipsum",
     "privacy policy", "released under", "sign up for our newsletter", "skip to content",
     "terms of service", "terms of use", "uses cookies",
+    "activez javascript", "aller au contenu", "conditions d'utilisation", "mentions légales",
+    "politique de confidentialité", "politique de cookies", "tous droits réservés", "utilise des cookies",
+    "alle rechte vorbehalten", "cookie-richtlinie", "datenschutzerklärung", "javascript aktivieren",
+    "lizenziert unter", "nutzungsbedingungen", "verwendet cookies", "zum inhalt springen",
+    "aviso legal", "habilite javascript", "política de cookies", "política de privacidad",
+    "saltar al contenido", "todos los derechos reservados", "términos de uso", "utiliza cookies",
+)
+LINK_WORDS = (
+    "about", "contact", "home", "login", "menu", "next", "previous", "search", "sitemap",
+    "accueil", "connexion", "précédent", "recherche", "suivant",
+    "anmelden", "impressum", "kontakt", "startseite", "suche", "weiter", "zurück",
+    "anterior", "buscar", "contacto", "inicio", "siguiente",
 )
-LINK_WORDS = ("about", "contact", "home", "login", "menu", "next", "previous", "search", "sitemap")
 SEPARATORS = ("|", ">", "»", "›", "•", "·")
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -68,6 +82,8 @@ def failed_rule(line: str, words: list[str]) -> str | None:
         return "navigation"
     if any(phrase in low for phrase in BOILERPLATE):
         return "boilerplate"
+    if len(words) < MIN_SENTENCE and not ENDING.search(words[-1]):
+        return "punctuation"
     return None
 
 

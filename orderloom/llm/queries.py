@@ -16,7 +16,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_quality_rules(spark, sf):
-    return quality_rules.quality_rules(table(spark, sf, "documents")).drop("cleaned")
+    judged = quality_rules.quality_rules(table(spark, sf, "documents"))
+    return judged.withColumn("cleaned_sha256", F.sha2("cleaned", 256)).drop("cleaned")
 
 
 def op2_toxicity(spark, sf):
@@ -118,32 +119,37 @@ WITH docs AS (
     list_max(list_transform(list_distinct(w), lambda x: len(list_filter(w, lambda y: y = x)))) AS most
   FROM line_words
 ), line_verdicts AS (
-  SELECT row_id, again, list_sum(list_transform(w, lambda x: length(x))) AS chars,
+  SELECT row_id, line_no, again, list_sum(list_transform(w, lambda x: length(x))) AS chars,
     again OR (symbols > 0 AND 2 * symbols >= n)
       OR (n >= 8 AND ((upper(line) = line AND lower(line) <> line) OR 2 * most >= n))
       OR separators >= 3
-      OR (n <= 3 AND NOT regexp_matches(w[-1], '[.!?…:;,"'')\]»”]$')
-          AND len(list_filter(regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+'), lambda x: x IN
-            ('about', 'contact', 'home', 'login', 'menu', 'next', 'previous', 'search', 'sitemap'))) > 0)
+      OR (n < 12 AND NOT regexp_matches(w[-1], '[.!?…:;,"'')\]»”]$'))
       OR regexp_matches(lower(line), 'all rights reserved|cookie policy|enable javascript|licensed under|lorem ipsum|privacy policy|released under|sign up for our newsletter|skip to content|terms of service|terms of use|uses cookies')
+      OR regexp_matches(lower(line), 'activez javascript|aller au contenu|conditions d''utilisation|mentions légales|politique de confidentialité|politique de cookies|tous droits réservés|utilise des cookies')
+      OR regexp_matches(lower(line), 'alle rechte vorbehalten|cookie-richtlinie|datenschutzerklärung|javascript aktivieren|lizenziert unter|nutzungsbedingungen|verwendet cookies|zum inhalt springen')
+      OR regexp_matches(lower(line), 'aviso legal|habilite javascript|política de cookies|política de privacidad|saltar al contenido|todos los derechos reservados|términos de uso|utiliza cookies')
       AS failed
   FROM line_facts
 ), line_stats AS (
   SELECT row_id, count(*) AS n_lines, count(*) FILTER (NOT failed) AS n_lines_kept,
     count(*) FILTER (again) AS n_dup_lines, coalesce(sum(chars) FILTER (failed), 0) AS lost_chars
   FROM line_verdicts GROUP BY row_id
+), cleaned AS (
+  SELECT row_id, string_agg(line, chr(10) ORDER BY line_no) AS cleaned
+  FROM lines LEFT JOIN line_verdicts USING (row_id, line_no) WHERE NOT coalesce(failed, FALSE) GROUP BY row_id
 ), counts AS (
-  SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+  SELECT doc_id, sha256(coalesce(cleaned, '')) AS cleaned_sha256, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
     len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
     coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
     coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_lines_kept, 0)::BIGINT AS n_lines_kept,
     coalesce(lost_chars, 0)::BIGINT AS lost_chars
   FROM docs LEFT JOIN word_stats USING (row_id) LEFT JOIN repeats USING (row_id) LEFT JOIN line_stats USING (row_id)
+    LEFT JOIN cleaned USING (row_id)
 ), judged AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND lost_chars <= 0.4 * word_chars AS kept, n_lines, n_lines_kept, lost_chars
+  NOT base_failed AND lost_chars <= 0.4 * word_chars AS kept, n_lines, n_lines_kept, lost_chars, cleaned_sha256
 FROM judged
 """
 
