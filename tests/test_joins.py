@@ -32,13 +32,19 @@ def frames(spark, hot_items=False, hot_orders=False, hot_reviews=False):
     return items, orders, reviews
 
 
+# What the join means, as text: every item with every copy of its order and every review of that, or none.
+PLAIN = """
+SELECT i.order_id, {items}, {orders}, r.review_score, i.price + i.freight_value AS total_amount,
+  datediff(o.order_delivered_customer_date, o.order_estimated_delivery_date) AS delivery_delay_days
+FROM v_orders o LEFT OUTER JOIN v_reviews r ON r.order_id = o.order_id, LATERAL (SELECT * FROM v_items WHERE order_id = o.order_id) i
+"""
+
+
 def plain_join(items, orders, reviews):
-    return (
-        items.join(orders, "order_id")
-        .join(reviews.select("order_id", "review_score"), "order_id", "left")
-        .withColumn("total_amount", enrich.total_amount())
-        .withColumn("delivery_delay_days", enrich.delay_days())
-    )
+    for name, df in (("v_items", items), ("v_orders", orders), ("v_reviews", reviews)):
+        df.createOrReplaceTempView(name)
+    names = {"items": [f"i.{c}" for c in items.columns[1:]], "orders": [f"o.{c}" for c in orders.columns[1:]]}
+    return items.sparkSession.sql(PLAIN.format(**{k: ", ".join(v) for k, v in names.items()}))
 
 
 def rows(df):
