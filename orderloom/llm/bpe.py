@@ -10,8 +10,9 @@ a long text come by row, in order, to a task that holds two of them at a time an
 pass; texts of one chunk are encoded where they are read, without a shuffle.
 
 Pieces are remembered with their ids between texts, up to a bound. Decoding puts the bytes of all ids end to
-end. A null or empty text has no ids; repeated rows give repeated results; all 256 single bytes need ranks,
-so that any text can be encoded.
+end. A null or empty text has no ids; repeated rows, with or without an id, give repeated results; of two pairs of equal rank
+the left one is joined first; all 256 single bytes need ranks, so that any text can be encoded. An empty table gives an
+empty result; other columns are not read.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@
 Nothing is capped and no pairs are written out: a pair that shares a bucket is either in one component already
 or compared. A link counts if 100 * intersection >= 75 * union of the full sets. Classes, links and components
 are tables in the shared folder. Rows with an equal id are taken as they are; a null id forms groups like any
-other but is never a group's name unless it is alone. Texts without words are linked with nothing.
+other but is never a group's name unless it is alone. Texts without words are linked with nothing. Rows that repeat
+are one class; a very long text is one set in the memory of a task; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

@@ -10,7 +10,10 @@ Learning sees at most ``max_rows`` labelled documents (parameter, default ``MAX_
 features are made by many tasks and learnt from by one, in an order given by a hash of the id. Only
 the non-zero weights come back. Every document is scored.
 
-A null or empty text scores the bias alone. With no labelled rows at all every score is 0.5.
+A null or empty text scores the bias alone. With no labelled rows at all every score is 0.5. Rows without an id never
+train and are not held out; rows that repeat have repeated scores and train once (of several texts of one id the smallest).
+A text is scored whole, in memory in proportion to its length; equal tokens at the border of two texts of a batch do not
+meet. An empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

@@ -11,7 +11,9 @@ word make no difference.
 
 Learning sees at most ``max_rows`` labelled documents (parameter, default ``MAX_ROWS``) from outside
 the held-out fold; every document is scored. A null or empty text scores the bias alone; without any
-labelled rows every score is next to 0, so that nothing is rejected.
+labelled rows every score is next to 0, so that nothing is rejected. Rows without an id never train and are not held out;
+rows that repeat have repeated scores and train once (of several texts of one id the smallest). An empty table gives an
+empty result; other columns are not read.
 """
 
 from __future__ import annotations
