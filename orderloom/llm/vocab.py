@@ -23,7 +23,7 @@ from orderloom.llm.common import remembers, serve
 ODD_SPACE = "[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{180e}\\x{2000}-\\x{200f}\\x{2028}-\\x{202f}\\x{205f}-\\x{2064}\\x{3000}\\x{feff}]"
 BETWEEN = "\x1f"  # one of the odd ones, so free to mark cuts with
 # In each of two generations; a part takes some 220 bytes.
-MOST_PARTS = 500_000
+MOST_PARTS = 700_000
 LONG_PART = 100
 
 
