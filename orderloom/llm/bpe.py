@@ -152,19 +152,22 @@ def encoder(path: str, pattern: str) -> Encoder:
 class Chunk:
     """A chunk's pieces: where each begins in the chunk, and its ids' place among the chunk's ids (in bytes)."""
 
-    def __init__(self, text: str, begin: int, last: bool, starts: np.ndarray, sure: int, at: np.ndarray, ids: bytes):
-        self.text, self.begin, self.last = text, begin, last
-        self.starts, self.sure, self.at, self.ids = starts, sure, at, ids
+    def __init__(self, begin: int, last: bool, lengths: np.ndarray, sizes: np.ndarray, ids: bytes):
+        self.begin, self.last, self.lengths, self.sizes, self.ids = begin, last, lengths, sizes, ids
+        edges, self.at = (np.concatenate([[0], np.cumsum(part, dtype=np.int64)]) for part in (lengths, sizes))
+        self.starts = edges[:-1]
+        # A piece near the end of a chunk that goes on may go on as well.
+        self.sure = int(np.sum(edges[1:] <= edges[-1] - (0 if last else AHEAD)))
 
     @classmethod
     def cut(cls, coder: Encoder, text: str, begin: int, last: bool) -> Chunk:
         pieces = coder.pattern.findall(text)
         ids = list(map(coder.__getitem__, pieces))
-        edges = np.concatenate([[0], np.cumsum([len(p) for p in pieces], dtype=np.int32)]).astype(np.int32)
-        # A piece near the end of a chunk that goes on may go on as well.
-        sure = int(np.sum(edges[1:] <= len(text) - (0 if last else AHEAD)))
-        at = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int32)]).astype(np.int32)
-        return cls(text, begin, last, edges[:-1], sure, at, b"".join(ids))
+        return cls(begin, last, np.array([len(p) for p in pieces], np.int64), np.array([len(x) for x in ids], np.int64), b"".join(ids))
+
+    def text(self, coder: Encoder) -> str:
+        """What the chunk was cut from: its ids say it."""
+        return coder.decode(self.ids).decode("utf-8", "replace")
 
     def between(self, first: int, stop: int) -> bytes:
         """The ids of the pieces from ``first`` up to ``stop``."""
@@ -175,18 +178,17 @@ def stitched(coder: Encoder, chunks: Iterator[Chunk]) -> Iterator[bytes]:
     """The ids of a document from its chunks in order, two of which are held at a time."""
     now, first = next(chunks), 0
     for after in chunks:
-        own = now.begin + now.starts[first : now.sure].astype(np.int64)
-        others = after.begin + after.starts[: after.sure].astype(np.int64)
+        own, others = now.begin + now.starts[first : now.sure], after.begin + after.starts[: after.sure]
         common = np.intersect1d(own[own >= after.begin], others, assume_unique=True)
         if len(common):
-            yield now.between(first, int(np.searchsorted(now.begin + now.starts.astype(np.int64), common[0])))
+            yield now.between(first, int(np.searchsorted(now.begin + now.starts, common[0])))
             now, first = after, int(np.searchsorted(others, common[0]))
             continue
         # No agreement: what is not certain, and the chunk after it, are cut again as one.
         certain = max(first, now.sure - 1)
         yield now.between(first, certain)
         start = int(now.starts[certain])
-        text = now.text[start : after.begin - now.begin] + after.text
+        text = now.text(coder)[start : after.begin - now.begin] + after.text(coder)
         now, first = Chunk.cut(coder, text, now.begin + start, after.last), 0
     yield now.between(first, len(now.starts))
 
@@ -216,7 +218,16 @@ def _digests(ids: list, rows: list[tuple]) -> pa.RecordBatch:
 
 
 _CHUNKS = "row_no bigint, doc_id bigint, chunk_no int, chunk string, is_last boolean"
-_CUT = f"{_CHUNKS}, starts binary, sure int, at binary, ids binary"
+_CUT = "row_no bigint, doc_id bigint, chunk_no int, is_last boolean, n_pieces int, lengths binary, sizes binary, ids binary"
+
+
+def _small(values: np.ndarray) -> bytes:
+    """Whole numbers in as many bytes each as the largest takes."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0)))).tobytes()
+
+
+def _read_small(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{len(raw) // n}") if n else np.empty(0, np.uint8)
 
 
 def digests(
@@ -250,9 +261,11 @@ def digests(
         coder = encoder(path, pattern)
         for batch in batches:
             made = [Chunk.cut(coder, r["chunk"], r["chunk_no"] * chunk, r["is_last"]) for r in batch.to_pylist()]
-            columns = [[c.starts.tobytes() for c in made], [c.sure for c in made], [c.at.tobytes() for c in made], [c.ids for c in made]]
-            arrays = [pa.array(v, kind) for v, kind in zip(columns, (pa.binary(), pa.int32(), pa.binary(), pa.binary()), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [*batch.schema.names, "starts", "sure", "at", "ids"])
+            # Neither the text, which the ids say, nor places, which lengths add up to, go with a chunk.
+            columns = [[len(c.lengths) for c in made], [_small(c.lengths) for c in made], [_small(c.sizes) for c in made], [c.ids for c in made]]
+            arrays = [pa.array(v, kind) for v, kind in zip(columns, (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)]
+            given = [batch.column(name) for name in ("row_no", "doc_id", "chunk_no", "is_last")]
+            yield pa.RecordBatch.from_arrays([*given, *arrays], [part.split()[0] for part in _CUT.split(", ")])
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One row per text; chunks come sorted by row and number."""
@@ -261,9 +274,8 @@ def digests(
         def chunks() -> Iterator[tuple[tuple, Chunk]]:
             for batch in batches:
                 for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                    row_no, doc, number, text, last, starts, sure, at, ids = row
-                    starts, at = np.frombuffer(starts, np.int32), np.frombuffer(at, np.int32)
-                    yield (row_no, doc), Chunk(text, number * chunk, last, starts, sure, at, ids)
+                    row_no, doc, number, last, n, lengths, sizes, ids = row
+                    yield (row_no, doc), Chunk(number * chunk, last, _read_small(lengths, n), _read_small(sizes, n), ids)
 
         for (_, doc), own in groupby(chunks(), key=lambda found: found[0]):
             digest = Digest(coder)
