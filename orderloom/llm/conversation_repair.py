@@ -276,7 +276,9 @@ def edits(turns: DataFrame) -> DataFrame:
     symbols = rows.where("present").select("conv_id", "place", "symbol")
     handed = symbols.repartition("conv_id").sortWithinPartitions("conv_id", F.col("place").desc()).mapInArrow(_backwards, _HANDED)
     whole = rows.withColumn("leave", F.lit(None).cast("array<bigint>")).unionByName(handed, allowMissingColumns=True)
-    return whole.repartition("conv_id").sortWithinPartitions("conv_id", "place").mapInArrow(_forwards, EDITS)
+    # Prices have the place of the last turn before their piece and come behind it, in whatever order they arrive.
+    ahead = F.col("leave").isNotNull()
+    return whole.repartition("conv_id").sortWithinPartitions("conv_id", "place", ahead).mapInArrow(_forwards, EDITS)
 
 
 _DIGEST = (

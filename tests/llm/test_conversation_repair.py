@@ -119,6 +119,18 @@ def test_conversations_of_many_pieces(spark):
     assert repaired(spark, rows) == brute(rows)
 
 
+def test_prices_may_arrive_before_the_turns(spark, monkeypatch):
+    # Executors fetch shuffled rows in any order; here those of the first job come before all turns.
+    frame = type(spark.range(0))
+    union = frame.unionByName
+    monkeypatch.setattr(
+        frame, "unionByName", lambda turns, handed, **more: union(handed, turns, **more).select(*turns.columns)
+    )
+    dice = random.Random(6)
+    rows = [row for conv in range(20) for row in conversation(dice, conv, dice.randint(60, 300))]
+    assert repaired(spark, rows) == brute(rows)
+
+
 def test_half_of_all_rows_are_one_turn(spark):
     rows = [(1, 5, "user", "Same.")] * 300 + [(k, k % 4, "user", f"{k}.") for k in range(2, 300)]
     assert repaired(spark, rows) == brute(rows)
