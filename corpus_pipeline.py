@@ -41,8 +41,8 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the packed sequences."""
-    return packing.digest(packing.pack(docs, plain_names=False))
+    """The pieces of the packed sequences. Four stages have filled the executors' heaps by now, so the workers are lean."""
+    return packing.digest(packing.pack(docs, plain_names=False, lean=True))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

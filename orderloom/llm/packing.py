@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from orderloom.llm.common import prepare
-from orderloom.llm.vocab import joined, vocabulary
+from orderloom.llm.vocab import LEAN_PARTS, LEAN_ROWS, ROWS, joined, vocabulary
 from orderloom.session import scratch_path
 
 WINDOW = 4096
@@ -38,13 +38,16 @@ def _schema(ddl: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (part.split() for part in ddl.split(", "))])
 
 
-def tokens(docs: DataFrame, path: str, end_id: int, drops_space: bool, plain_names: bool = True) -> DataFrame:
+def tokens(
+    docs: DataFrame, path: str, end_id: int, drops_space: bool, plain_names: bool = True, lean: bool = False
+) -> DataFrame:
     """Per document its task's number, its offset there, its token count and its ids (16 bit)."""
+    most_parts, most_rows = (LEAN_PARTS, LEAN_ROWS) if lean else (None, ROWS)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = TaskContext.get().partitionId(), 0
-        vocab, end = vocabulary(path, drops_space, plain_names), np.array([end_id], "<u2").tobytes()
-        for batch in joined(batches):
+        vocab, end = vocabulary(path, drops_space, plain_names, most_parts), np.array([end_id], "<u2").tobytes()
+        for batch in joined(batches, most_rows):
             ids = [got + end for got in vocab.encode(batch.column("text"))]
             n = np.array([len(x) // 2 for x in ids], np.int64)
             starts = at + np.cumsum(n) - n
@@ -72,12 +75,16 @@ def pack(
     end_id: int = END_ID,
     drops_space: bool = True,
     plain_names: bool = True,
+    lean: bool = False,
 ) -> DataFrame:
-    """Pieces of all documents with their ids (little-endian unsigned 32 bit)."""
+    """Pieces of all documents with their ids (little-endian unsigned 32 bit).
+
+    ``lean`` trades CPU seconds for bytes in the Python workers; the ids are the same.
+    """
     spark = prepare(docs.sparkSession)
     path = path or public_tokenizers.path("word_bpe_49k.json")
     stored = scratch_path(spark, "tokens")
-    tokens(docs, path, end_id, drops_space, plain_names).write.parquet(stored)
+    tokens(docs, path, end_id, drops_space, plain_names, lean).write.parquet(stored)
     rows = spark.read.parquet(stored)
     placed = rows.join(F.broadcast(bases(rows)), "part").withColumn("at", F.col("base") + F.col("at"))
 

@@ -25,6 +25,9 @@ BETWEEN = "\x1f"  # one of the odd ones, so free to mark cuts with
 # In each of two generations; a part takes some 220 bytes.
 MOST_PARTS = 700_000
 LONG_PART = 100
+# For a worker that shares its executor with the full heap of earlier stages: fewer parts, and fewer rows at once.
+LEAN_PARTS = 200_000
+ROWS, LEAN_ROWS = 1024, 256
 
 
 class Vocabulary:
@@ -33,9 +36,10 @@ class Vocabulary:
     When the younger generation is full it becomes the elder one, and what the elder one held is forgotten.
     A part found in the elder one moves to the younger, so parts in use stay. Names of special tokens inside a
     text are ordinary text if ``plain_names``, else they get the ids of those tokens, which is the library's default.
+    ``most_parts`` is the size of a generation (``MOST_PARTS``); the ids do not depend on it.
     """
 
-    def __init__(self, path: str, drops_space: bool, plain_names: bool = True):
+    def __init__(self, path: str, drops_space: bool, plain_names: bool = True, most_parts: int | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -46,7 +50,7 @@ class Vocabulary:
             raise ValueError("names of special tokens must not hold white space")
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit in 16 bits")
-        self.drops_space = drops_space
+        self.drops_space, self.most_parts = drops_space, most_parts or MOST_PARTS
         self.young: dict[str, bytes] = {}
         self.elder: dict[str, bytes] = {}
         self.ends = {c: array("H", self.tokenizer.encode(c, add_special_tokens=False).ids).tobytes() for c in ".,"}
@@ -85,7 +89,7 @@ class Vocabulary:
             found[k] = young[part] = (elder[part[:-1]] if base is None else base) + self.ends[part[-1]]
         for part in [part for part in (*(parts[k] for k in new), *bases) if len(part) > LONG_PART]:
             young.pop(part, None)
-        if len(young) > MOST_PARTS:
+        if len(young) > self.most_parts:
             self.elder, self.young = young, {}
         return found
 
@@ -115,20 +119,20 @@ class Vocabulary:
         return [out[2 * a : 2 * b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
 
 
-_OPEN: dict[tuple[str, bool, bool], Vocabulary] = {}
+_OPEN: dict[tuple[str, bool, bool, int | None], Vocabulary] = {}
 remembers("vocabulary", _OPEN.clear)
 
 
-def vocabulary(path: str, drops_space: bool, plain_names: bool = True) -> Vocabulary:
+def vocabulary(path: str, drops_space: bool, plain_names: bool = True, most_parts: int | None = None) -> Vocabulary:
     """The vocabulary of a file, opened once per Python worker that serves no other operator in between."""
     serve("vocabulary")
-    key = path, drops_space, plain_names
+    key = path, drops_space, plain_names, most_parts
     if key not in _OPEN:
         _OPEN[key] = Vocabulary(*key)
     return _OPEN[key]
 
 
-def joined(batches: Iterator[pa.RecordBatch], rows: int = 1024, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def joined(batches: Iterator[pa.RecordBatch], rows: int = ROWS, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Neighbouring batches put together, up to a number of rows and bytes, so that more parts are shared."""
     held, n, total = [], 0, 0
     for batch in batches:

@@ -142,6 +142,28 @@ def test_packing_digest_and_empty(spark):
     assert packing.pack(empty(spark)).count() == 0
 
 
+def test_lean_workers_remember_less():
+    path, parts = public_tokenizers.path("word_bpe_49k.json"), [f"w{k} x{k}." for k in range(2000)]
+    made, lean = vocab.Vocabulary(path, True), vocab.Vocabulary(path, True, most_parts=100)
+    held = []
+    for k in range(0, 2000, 50):
+        texts = pa.array(parts[k : k + 50])
+        assert lean.encode(texts) == made.encode(texts)
+        held.append(len(lean.young) + len(lean.elder))
+    assert max(held) <= 2 * (100 + 150) < len(made.young)
+
+
+def test_the_last_stage_packs_with_lean_workers(spark, monkeypatch):
+    asked = []
+    pack = packing.pack
+    monkeypatch.setattr(packing, "pack", lambda docs, **more: asked.append(more) or pack(docs, **more))
+    docs = documents(spark).coalesce(1)
+    got = corpus_pipeline.packed(spark, docs, "").collect()
+    assert asked == [{"plain_names": False, "lean": True}]
+    assert vocab.LEAN_PARTS < vocab.MOST_PARTS and vocab.LEAN_ROWS < vocab.ROWS
+    assert got == packing.digest(pack(docs, plain_names=False)).collect()
+
+
 def library() -> tiktoken.Encoding:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
