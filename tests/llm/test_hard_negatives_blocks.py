@@ -1,0 +1,88 @@
+"""Hard negatives of many blocks: what files hold, what tasks read and return, and searches that go on over blocks."""
+
+from __future__ import annotations
+
+import glob
+import random
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from orderloom.llm import hard_negatives as hn
+
+
+def test_readers_hold_little_at_once(spark, monkeypatch):
+    """At 2 million rows in large row groups, one row group of all of a task's blocks broke the executors' heap."""
+    monkeypatch.setattr(hn, "scratch_path", lambda spark, name, made=hn.scratch_path: paths.append(made(spark, name)) or paths[-1])
+    paths = []
+    rows = spark.range(0, 10_000, 1, 1).select("id", (F.col("id") % 7).alias("label"), F.expr("transform(sequence(1, 1024), x -> sin(x * id))").alias("vector"))
+    assert hn._blocks(rows, 256, hn.ROWS, "rows").agg(F.sum("n")).first()[0] == 10_000
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(paths[0].removeprefix("file://") + "/*.parquet")]
+    groups = [m.row_group(i) for m in files for i in range(m.num_row_groups)]
+    assert sum(g.total_byte_size for g in groups) > 15 << 20
+    assert max(g.total_byte_size for g in groups) <= 11 << 20
+
+
+def test_tasks_return_an_anchor_once(spark, monkeypatch):
+    """Blocks of rows are read where they are, and what tasks return does not grow with their number."""
+    rows = spark.range(0, 600, 1, 2).select("id", (F.col("id") % 3).alias("label"), F.array(F.sin("id"), F.cos("id")).alias("vector"))
+    blocks, anchors = hn._blocks(rows, 256, 16, "rows"), hn._blocks(rows.where("id % 50 = 0"), 256, 4, "anchors")
+    assert blocks.count() >= 600 / 16
+    met = hn._meeting(blocks, anchors)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "CartesianProduct" in plan
+    found = met.mapInArrow(hn._positives(3), hn._POSITIVE)
+    tasks = blocks.rdd.getNumPartitions()
+    assert tasks <= int(spark.conf.get("spark.sql.shuffle.partitions")) and found.count() <= 12 * 3 * tasks
+
+
+def packed(side: str, rows: list[tuple], most: int) -> list[hn.Block]:
+    """Blocks of (id, label, vector)."""
+    ids, labels, vectors = zip(*rows, strict=True)
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(labels, pa.int64()), pa.array(vectors, pa.list_(pa.float64()))], ["id", "label", "vector"])
+    made = hn._packer(1, most)(iter([batch]))
+    return [hn.Block(b.rename_columns([f"{side}_{name}" for name in b.schema.names]), 0, side) for b in made]
+
+
+@pytest.mark.parametrize("labels, size", [(1, 2), (2, 2), (3, 40), (40, 3), (3, 3000), (3, 1 << 24), (3, 1 << 29)])
+def test_searches_go_on_over_blocks(monkeypatch, labels, size):
+    for name, value in {"TILE": 4, "STEP": 7, "LEAST": 2}.items():
+        monkeypatch.setattr(hn, name, value)
+    dice = random.Random(size)
+    rows = [(k, dice.randrange(labels), [dice.randint(-size, size) for _ in range(3)]) for k in range(150)]
+    # Blocks of small numbers come between those of large ones.
+    rows += [(k, dice.randrange(labels), [dice.randint(-2, 2) for _ in range(3)]) for k in range(120, 220)] + rows[:20]
+    dice.shuffle(rows)
+    [asking] = packed("a", rows[::9], 100)
+    shape = len(asking.ids), 2
+    bottom, top = (np.array([[dice.randint(-size, size) * s for s in (1, size)] for _ in asking.ids]) for _ in range(2))
+    same = hn.Search(asking, 3, True, np.full((shape[0], 1), hn.NONE), np.full((shape[0], 1), hn.MOST))
+    other = hn.Search(asking, 4, False, bottom, top)
+    for block in packed("b", rows, 32):
+        same.meet(block)
+        other.meet(block)
+
+    def found(search):
+        return sorted((int(a), int(p), -int(v), int(k)) for part in search.found() for a, p, v, k in zip(*part, strict=True))
+
+    want_same, want_other = [], []
+    for a, (key, label, vector) in enumerate(zip(asking.ids.tolist(), asking.labels.tolist(), asking.residues.vectors.tolist(), strict=True)):
+        scored = sorted((-sum(x * y for x, y in zip(vector, w, strict=True)), k, n) for k, n, w in rows)
+        want_same += [(a, 0, v, k) for v, k, n in scored if n == label and k != key][:3]
+        for p in range(2):
+            want_other += [(a, p, v, k) for v, k, n in scored if n != label and bottom[a, p] <= -v <= top[a, p]][:4]
+    assert found(same) == sorted(want_same) and found(other) == sorted(want_other)
+
+
+@pytest.mark.parametrize("width", [1, 3, 64, 65, 200])
+def test_scores_as_large_as_can_be(width):
+    for power in range(0, 120, 3):
+        most = int(2 ** (power / 4))
+        if width * most * most >= 1 << 62:
+            break
+        a = np.array([[most] * width, [-most] * width, [most - 1] * width, [most, 0] * (width // 2) + [most] * (width % 2)])
+        exact = [[sum(x * y for x, y in zip(p, q, strict=True)) for q in a.tolist()] for p in a.tolist()]
+        assert hn.scores(a, a).tolist() == exact
