@@ -277,7 +277,10 @@ class Search:
         # A lower score is of no use to a place; one outside of low and high is of no use to any place of the anchor.
         self._least = self.bottom.copy()
         self._low, self._high = self.bottom.min(axis=1), top.max(axis=1)
-        self._met = [0] * -(-len(block.ids) // TILE)
+        # By tile: rows met, rows met when the best were last picked, and what was found since.
+        tiles = range(-(-len(block.ids) // TILE))
+        self._met, self._picked = [0 for _ in tiles], [0 for _ in tiles]
+        self._since: list[list[tuple[np.ndarray, ...]]] = [[] for _ in tiles]
 
     def meet(self, rows: Block) -> None:
         """The anchors look through the rows of a block."""
@@ -294,11 +297,15 @@ class Search:
             for at, stop in parts:
                 while at < stop:
                     part = slice(at, min(stop, at + max(LEAST, min(STEP, self._met[number]))))
-                    self._look(tile, part, product.tile(tile, part), rows)
+                    self._look(number, tile, part, product.tile(tile, part), rows)
                     self._met[number] += part.stop - at
                     at = part.stop
+                    # Picked when the rows have doubled, or much was found.
+                    n = sum(len(asker) for asker, _, _ in self._since[number])
+                    if n and (self._met[number] >= 2 * self._picked[number] or n >= TILE * STEP // 4):
+                        self._pick(number, tile)
 
-    def _look(self, tile: slice, part: slice, values: np.ndarray, rows: Block) -> None:
+    def _look(self, number: int, tile: slice, part: slice, values: np.ndarray, rows: Block) -> None:
         kind = values.dtype
         fits = values >= self._low[tile].astype(kind)[:, None]
         if not self.same:
@@ -317,11 +324,11 @@ class Search:
         at, value, own = at[which], value[which], own[which]
         fit = (value > self.values[at, place, -1]) | (own < self.ids[at, place, -1])
         if fit.any():
-            self._add((at * self.top.shape[1] + place)[fit], value[fit], own[fit])
-            self._least[tile] = np.maximum(self.bottom[tile], self.values[tile, :, -1])
-            self._low[tile] = self._least[tile].min(axis=1)
+            self._since[number].append(((at * self.top.shape[1] + place)[fit], value[fit], own[fit]))
 
-    def _add(self, asker: np.ndarray, value: np.ndarray, own: np.ndarray) -> None:
+    def _pick(self, number: int, tile: slice) -> None:
+        """The best of those kept and of what was found since."""
+        asker, value, own = (np.concatenate(parts) for parts in zip(*self._since[number], strict=True))
         values, ids = self.values.reshape(-1, self.k), self.ids.reshape(-1, self.k)
         asking = np.unique(asker)
         asker = np.concatenate((np.repeat(asking, self.k), asker))
@@ -333,9 +340,15 @@ class Search:
         keep = order[rank < self.k]
         values[asking] = value[keep].reshape(-1, self.k)
         ids[asking] = own[keep].reshape(-1, self.k)
+        self._least[tile] = np.maximum(self.bottom[tile], self.values[tile, :, -1])
+        self._low[tile] = self._least[tile].min(axis=1)
+        self._picked[number], self._since[number] = self._met[number], []
 
     def found(self) -> Iterator[tuple[np.ndarray, ...]]:
         """Anchor, place, score and id of the rows found, some anchors at a time."""
+        for number, since in enumerate(self._since):
+            if since:
+                self._pick(number, slice(number * TILE, (number + 1) * TILE))
         for first in range(0, len(self.values), STEP):
             part = self.values[first : first + STEP]
             at, place, rank = np.nonzero(part != NONE)
